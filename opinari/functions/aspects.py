@@ -36,11 +36,11 @@ def aspect_found(text, aspect: Aspect, use_context: bool = True) -> Column:
 
 def extract_aspects(text, lexicon: Lexicon, use_context: bool = True) -> Column:
     """Array of found aspect names in lexicon order; ``[]`` for null or
-    blank text."""
-    flags = [F.when(aspect_found(text, a, use_context), F.lit(a.name)) for a in lexicon.aspects]
-    arr = F.filter(F.array(*flags), lambda x: x.isNotNull())
-    blank = _c(text).isNull() | (F.length(F.trim(_c(text))) == 0)
-    return F.when(blank, F.array().cast("array<string>")).otherwise(arr)
+    blank text. Built with ``array_remove`` (not a lambda ``filter``) so it
+    stays inside whole-stage codegen."""
+    flags = [F.when(aspect_found(text, a, use_context), F.lit(a.name)).otherwise(F.lit(""))
+             for a in lexicon.aspects]
+    return F.array_remove(F.array(*flags), "")
 
 
 def aspect_sentiments(aspects, label) -> Column:

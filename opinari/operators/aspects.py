@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import SENTIMENT_LABELS, Lexicon, LexiconScorer
 from opinari.functions import aspects as fa
+from opinari.operators.base import with_columns_once
 from opinari.schemas import require_columns
 
 
@@ -21,7 +22,8 @@ def add_aspects(df: DataFrame, lexicon: Lexicon, text_col: str = "cleaned_commen
                 use_context: bool = True) -> DataFrame:
     """``detected_aspects`` array column."""
     require_columns(df, text_col)
-    return df.withColumn("detected_aspects", fa.extract_aspects(F.col(text_col), lexicon, use_context))
+    return with_columns_once(
+        df, detected_aspects=fa.extract_aspects(F.col(text_col), lexicon, use_context))
 
 
 def keep_with_aspects(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import ANALYSIS_TYPES, DEFAULT_THRESHOLDS, Lexicon, Thresholds
 from opinari.functions import text as tx
+from opinari.operators.base import with_columns_once
 from opinari.schemas import require_columns
 
 
@@ -46,7 +47,7 @@ def comment_filter(df: DataFrame, text_col: str = "value",
     """P2 → P3a → T1 → P5: drop null and short raw text, clean, drop empty."""
     require_columns(df, text_col)
     out = min_length(drop_null_text(df, text_col), text_col, thresholds.min_comment_length)
-    out = out.withColumn("cleaned_comment", tx.clean_text(F.col(text_col), char_filter))
+    out = with_columns_once(out, cleaned_comment=tx.clean_text(F.col(text_col), char_filter))
     return out.filter(F.length("cleaned_comment") > 0)
 
 

@@ -11,14 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from opinari.operators.base import spread
 from opinari.session import table_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Text tables and the key used to spread a scan that arrives in few splits.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id",
+             "benchmark": "item_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if name in TEXT_KEYS:
+        df = spread(df, TEXT_KEYS[name])
+    return df
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
