@@ -167,7 +167,12 @@ def rating_or_zero(c) -> Column:
 
 def clean_username(c) -> Column:
     """Missing -> 'anonymous', then strip."""
-    return F.regexp_replace(F.coalesce(_c(c), F.lit("anonymous")), rf"^[{WS}]+|[{WS}]+$", "")
+    return strip_ws(F.coalesce(_c(c), F.lit("anonymous")))
+
+
+def strip_ws(c) -> Column:
+    """Python ``str.strip()``: remove leading and trailing whitespace."""
+    return F.regexp_replace(_c(c), rf"^[{WS}]+|[{WS}]+$", "")
 
 
 def round6(c) -> Column:
