@@ -277,7 +277,7 @@ def comments_page(spark, sf):
     return filters.comments_page(d, "src3", limit=20, offset=5)
 
 
-@query("clean_job", f"""{C},
+CLEAN_JOB_CTES = f"""{C},
 dd AS (SELECT * FROM comments QUALIFY row_number() OVER (PARTITION BY game_id, value ORDER BY comment_id) = 1),
 dc AS (SELECT comment_id,
   {S.remove_stopwords(S.tokenize(S.deep_clean_text('value')))} AS toks FROM dd),
@@ -286,12 +286,16 @@ j AS (SELECT dd.*, out.lemmas AS cleaned_comment FROM dd JOIN out USING (comment
 r AS (SELECT * FROM j WHERE length(cleaned_comment) BETWEEN 10 AND 5000),
 g AS (SELECT *, CASE WHEN length(trim(cleaned_comment)) < 10 THEN 'unknown'
                      WHEN {S.is_english('cleaned_comment')} THEN 'en' ELSE 'unknown' END AS detected_language
-      FROM r)
-SELECT comment_id, game_id, {_strip_sql("coalesce(username, 'anonymous')")} AS username,
+      FROM r)"""
+
+CLEAN_JOB_SELECT = f"""SELECT comment_id, game_id, {_strip_sql("coalesce(username, 'anonymous')")} AS username,
   coalesce(CASE WHEN regexp_matches(trim(rating), {S.lit(tx.NUMBER)})
                 THEN TRY_CAST(trim(rating) AS DOUBLE) END, 0.0) AS rating,
   cleaned_comment, detected_language, CAST(length(cleaned_comment) AS BIGINT) AS comment_length
-FROM g WHERE detected_language IN ('en') AND length({S.rx('cleaned_comment', tx.WS_RUN)}) > 0""")
+FROM g WHERE detected_language IN ('en') AND length({S.rx('cleaned_comment', tx.WS_RUN)}) > 0"""
+
+
+@query("clean_job", f"{CLEAN_JOB_CTES}\n{CLEAN_JOB_SELECT}")
 def clean_job(spark, sf):
     """P10 + the ETL cleaning job end to end (cleaned_at left out of the oracle)."""
     d = jobs.clean_job(comments(spark, sf))
