@@ -36,23 +36,23 @@ def score_lexicon(df: DataFrame, scorer: LexiconScorer, text_col: str = "cleaned
 
 
 def score_ml(df: DataFrame, model, text_col: str = "cleaned_comment") -> DataFrame:
-    """M6 with a fitted pipeline whose input column is ``text`` and which
-    outputs ``probability``. Null/blank text → ``('unknown', 0.0)``."""
+    """M6 with a fitted pipeline that reads a ``text`` column and outputs
+    ``probability`` (see ``operators.ml``). Null/blank text →
+    ``('unknown', 0.0)``. Columns of ``df`` are kept unchanged."""
     from pyspark.ml.functions import vector_to_array
 
     require_columns(df, text_col)
-    blank = F.col(text_col).isNull() | (F.length(F.trim(F.col(text_col))) == 0)
-    inp = df.withColumn("_row_text", F.coalesce(F.col(text_col), F.lit("")))
-    out = model.transform(inp.withColumnRenamed("_row_text", "text") if "text" not in df.columns
-                          else inp.withColumn("text", F.col("_row_text")))
+    src = "_orig_text" if text_col == "text" else text_col
+    inp = df.withColumnRenamed("text", "_orig_text") if "text" in df.columns else df
+    inp = inp.withColumn("text", F.coalesce(F.col(src), F.lit("")))
+    out = model.transform(inp)
     p = vector_to_array("probability")
-    label = F.when(p[1] > p[0], F.lit(CLASS_LABELS[1])).otherwise(F.lit(CLASS_LABELS[0]))
-    conf = F.greatest(p[0], p[1])
-    keep = [c for c in df.columns]
-    res = out.select(*[F.col(c) for c in keep if c != "text"] + ([F.col("text")] if "text" in df.columns else []),
-                     F.when(blank, F.lit("unknown")).otherwise(label).alias("sentiment"),
-                     F.when(blank, F.lit(0.0)).otherwise(conf).alias("sentiment_confidence"))
-    return res
+    blank = F.length(F.trim(F.col("text"))) == 0
+    label = (F.when(blank, F.lit("unknown"))
+             .when(p[1] > p[0], F.lit(CLASS_LABELS[1])).otherwise(F.lit(CLASS_LABELS[0])))
+    conf = F.when(blank, F.lit(0.0)).otherwise(F.greatest(p[0], p[1]))
+    keep = [F.col("_orig_text").alias("text") if c == "text" else F.col(c) for c in df.columns]
+    return out.select(*keep, label.alias("sentiment"), conf.alias("sentiment_confidence"))
 
 
 def model_scorer_udf(load_model: Callable[[], Callable[[list[str]], list[tuple[str, float]]]]):
