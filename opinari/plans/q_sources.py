@@ -1 +1,95 @@
-"""Queries (filled in below)."""
+"""Source queries: S1, S3–S6, S14. File round trips write to a fresh folder
+under the session's shared directory (``spark.checkpoint.dir``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from opinari.config import NA_TOKENS
+from opinari.plans import sqlfrag as S
+from opinari.plans.registry import query
+from opinari.session import scratch_path
+from opinari.sources import files, sinks
+from opinari.sources.tables import comments, games
+
+C = f"WITH {S.COMMENTS_CTE}"
+_NA = ", ".join(S.lit(t) for t in NA_TOKENS)
+
+RAW_CSV = T.StructType([
+    T.StructField("comment_id", T.LongType()), T.StructField("game_id", T.StringType()),
+    T.StructField("username", T.StringType()), T.StructField("rating", T.StringType()),
+    T.StructField("value", T.StringType()),
+])
+
+
+@query("scan_csv_roundtrip", f"""{C}
+SELECT comment_id, game_id, username, CASE WHEN rating IN ({_NA}) THEN NULL ELSE rating END AS rating,
+  value FROM comments""")
+def scan_csv_roundtrip(spark, sf):
+    """S1 + S8: comments written as CSV (quoted newlines, doubled quotes) and
+    read back with a fixed schema; NA tokens normalised in ``rating``."""
+    path = scratch_path(spark, "csv-comments")
+    files.write_csv(comments(spark, sf).select(*RAW_CSV.fieldNames()), path)
+    return files.read_comments_csv(spark, path, RAW_CSV)
+
+
+@query("xml_comments", f"""{C}
+SELECT game_id AS boardgame_id, comment_id, username, rating, value FROM comments""")
+def xml_comments(spark, sf):
+    """S3: comments → API-shaped XML pages → parsed back with ``from_xml``."""
+    pages = files.comment_pages(comments(spark, sf))
+    parsed = files.parse_comment_pages(pages)
+    return parsed.select("boardgame_id", "comment_id", "username", "rating", "value")
+
+
+@query("xml_games", f"""WITH {S.GAMES_CTE}
+SELECT game_id AS id, CASE WHEN rank % 3 = 0 THEN 'Unknown' ELSE name END AS name,
+  CASE WHEN rank % 4 = 0 THEN '0' ELSE CAST(rank AS VARCHAR) END AS rank FROM games""")
+def xml_games(spark, sf):
+    """Ranking pages where every third game lacks a name and every
+    fourth a rank element; defaults fill them."""
+    g = games(spark, sf)
+    name = F.when(F.col("rank") % 3 != 0, F.concat(F.lit('<name value="'), files.xml_escape(F.col("name")),
+                                                  F.lit('"/>'))).otherwise(F.lit(""))
+    rank = F.when(F.col("rank") % 4 != 0, F.concat(
+        F.lit('<statistics><ratings><ranks><rank value="'), F.col("rank").cast("string"),
+        F.lit('"/></ranks></ratings></statistics>'))).otherwise(F.lit(""))
+    pages = g.select(F.concat(F.lit('<items><item id="'), files.xml_escape(F.col("game_id")), F.lit('">'),
+                              name, rank, F.lit("</item></items>")).alias("payload"))
+    return files.parse_game_pages(pages)
+
+
+@query("page_reconciliation", f"""{C}
+SELECT game_id AS boardgame_id, count(*) AS declared_total, count(DISTINCT comment_id // 100) AS pages_landed,
+  count(*) AS comments_landed, CAST(ceil(count(*) / 100) AS BIGINT) AS expected_pages, true AS complete
+FROM comments GROUP BY game_id""")
+def page_reconciliation(spark, sf):
+    """S5 over the landed XML pages of S3."""
+    parsed = files.parse_comment_pages(files.comment_pages(comments(spark, sf)))
+    return files.page_reconciliation(parsed)
+
+
+@query("quarantine_corrupt")
+def quarantine_corrupt(spark, sf):
+    """Comments exported as JSON lines, where the export of rows without
+    a user name broke off mid-record; PERMISSIVE read splits good rows from
+    the quarantine and the job continues."""
+    path = scratch_path(spark, "json-comments")
+    c = comments(spark, sf).select(*RAW_CSV.fieldNames())
+    line = F.to_json(F.struct(*RAW_CSV.fieldNames()))
+    broken = F.when(F.col("username").isNull(), F.substr(line, F.lit(1), F.length(line) - 2)).otherwise(line)
+    c.select(broken.alias("value")).write.mode("overwrite").text(path)
+    good, bad = files.read_json_quarantine(spark, path, RAW_CSV)
+    return (good.select("comment_id", F.lit(False).alias("quarantined"))
+            .unionByName(bad.select(F.col("comment_id").cast("long").alias("comment_id"),
+                                    F.lit(True).alias("quarantined"))))
+
+
+@query("list_layer")
+def list_layer(spark, sf):
+    """S9 + S14: load comments into the raw layer by ingest date, then list
+    the layer's files (content column pruned)."""
+    base = scratch_path(spark, "lake")
+    path = sinks.load_raw(comments(spark, sf).select(*RAW_CSV.fieldNames()), base, "2024-01-01")
+    return files.list_layer(spark, path)
