@@ -29,6 +29,10 @@ WS_RUN = rf"[{WS}]+"
 NOT_BASIC = rf"[^{WORD} .,!?;:-]"
 URL = r"https?://[a-z!$-_]+"
 EMAIL = rf"[^{WS}]+@[^{WS}]+"
+# The same matches as EMAIL in linear time for the JVM engine: start only at a
+# run start, check for an interior "@" ahead, then take the whole run. (The
+# plain form backtracks over every start in long runs without spaces.)
+EMAIL_LINEAR = rf"(?<![^{WS}])(?=[^{WS}]+?@[^{WS}])[^{WS}]++"
 NOT_KEPT_PUNCT = rf"[^{WORD}{WS}.,!?;:'" + '"' + r"-]"
 ASCII_PUNCT = r"[!-/:-@\[-`{-~]"
 TOKEN = rf"([{WORD}]+|[^{WORD}{WS}])"
@@ -71,7 +75,7 @@ def strip_urls(c) -> Column:
 
 def strip_emails(c) -> Column:
     """Remove e-mail-like tokens ``\\S+@\\S+``."""
-    return F.regexp_replace(_c(c), EMAIL, "")
+    return F.regexp_replace(_c(c), EMAIL_LINEAR, "")
 
 
 def strip_punctuation(c, remove_all: bool = False) -> Column:

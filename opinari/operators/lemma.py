@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinari.config import NOUN_SUFFIX_RULES, CleaningConfig
+from opinari.config import NOUN_SUFFIX_RULES, SPARK_ENGLISH_STOPWORDS, CleaningConfig
 from opinari.functions import text as tx
 from opinari.operators.base import with_columns_once
 
@@ -60,6 +60,18 @@ def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemma
             .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>"))))
 
 
+def drop_stopwords(df: DataFrame, tokens_col: str, stopwords=SPARK_ENGLISH_STOPWORDS) -> DataFrame:
+    """T6 at table level: Spark ML's ``StopWordsRemover`` tests each token
+    against a hash set (the ``Column`` form in ``functions.text`` scans the
+    list per token). Tokens are already lower-cased, so the comparison is
+    case-sensitive."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    remover = StopWordsRemover(inputCol=tokens_col, outputCol="_sw", stopWords=list(stopwords),
+                               caseSensitive=True)
+    return remover.transform(df).drop(tokens_col).withColumnRenamed("_sw", tokens_col)
+
+
 def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_comment",
                id_col: str = "comment_id", config: CleaningConfig = CleaningConfig()) -> DataFrame:
     """T4: text rules (T4a–c), lower case, then tokens → stop words → lemmas
@@ -67,10 +79,9 @@ def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_c
     d = with_columns_once(df, _deep=tx.deep_clean_text(F.col(text_col), config.remove_punctuation))
     if not (config.remove_stopwords or config.lemmatize):
         return d.withColumn(out_col, F.trim(F.col("_deep"))).drop("_deep")
-    toks = tx.tokenize(F.col("_deep"))
+    d = d.withColumn("_toks", tx.tokenize(F.col("_deep"))).drop("_deep")
     if config.remove_stopwords:
-        toks = tx.remove_stopwords(toks)
-    d = d.withColumn("_toks", toks).drop("_deep")
+        d = drop_stopwords(d, "_toks")
     if config.lemmatize:
         d = lemmatize(d, id_col, "_toks", "_lem").drop("_toks").withColumnRenamed("_lem", "_toks")
     return d.withColumn(out_col, F.array_join("_toks", " ")).drop("_toks")
