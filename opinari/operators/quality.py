@@ -145,7 +145,8 @@ def quality_terms(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> list[Col
 
 def quality_score_expr(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
     raw = reduce(lambda a, b: a + b, quality_terms(df, t), F.lit(100.0))
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), raw))
+    # ``least``/``greatest`` skip nulls, so an empty table is tested first.
+    return F.when(F.count(F.lit(1)) > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), raw)))
 
 
 def quality_score(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
