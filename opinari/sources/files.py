@@ -154,15 +154,21 @@ def page_reconciliation(parsed: DataFrame, page_size: int = 100) -> DataFrame:
 def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType,
                          corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """PERMISSIVE read; good rows and the quarantine (raw text of the
-    records that did not parse). Bad input never fails the job."""
+    records that did not parse). Bad input never fails the job.
+
+    The parsed records are written once to a table in the shared folder and
+    both sides are read from it: Spark refuses plans over raw files that
+    reference only the corrupt-record column (which column pruning produces
+    for a plain count), and the landing files are parsed only once."""
+    from opinari.session import scratch_path
+
     full = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt_col).json(path))
-    # Every query references a parsed column next to the corrupt-record
-    # column (Spark refuses plans that read only the latter from raw files).
-    first = schema.fields[0].name
+    parsed_path = scratch_path(spark, "parsed-json")
+    (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+     .json(path).write.mode("overwrite").parquet(parsed_path))
+    df = spark.read.parquet(parsed_path)
     good = df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
-    bad = df.filter(F.col(corrupt_col).isNotNull()).select(first, corrupt_col)
+    bad = df.filter(F.col(corrupt_col).isNotNull())
     return good, bad
 
 
