@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from opinari.functions import text as tx
 from opinari.operators.base import with_columns_once
+from opinari.session import shared_dir
 
 
 def normalised(c) -> Column:
@@ -57,7 +58,10 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Trig
     labelled-document total); the profile itself stays a distributed table."""
     labelled = df.filter(F.col(lang_col).isNotNull())
     grams = _gram_rows(labelled.select(F.col(lang_col).alias("lang"), text_col), "lang", text_col)
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c"))
+    # The fitted profile is read three times; materialise it once in the
+    # shared checkpoint folder (it is the model).
+    shared_dir(df.sparkSession)
+    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     v = counts.select(F.countDistinct("gram")).first()[0] or 0
     per_lang = counts.groupBy("lang").agg(F.sum("c").alias("n_l"))
     docs = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))

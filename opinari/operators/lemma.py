@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from opinari.config import NOUN_SUFFIX_RULES, SPARK_ENGLISH_STOPWORDS, CleaningConfig
 from opinari.functions import text as tx
 from opinari.operators.base import with_columns_once
+from opinari.session import shared_dir
 
 
 def candidate_forms(token) -> F.Column:
@@ -83,5 +84,10 @@ def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_c
     if config.remove_stopwords:
         d = drop_stopwords(d, "_toks")
     if config.lemmatize:
+        # The lemma job reads the token table three times (vocabulary,
+        # positions, join back); materialise it once in the shared checkpoint
+        # folder so the regex chain runs once and lineage is cut.
+        shared_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
         d = lemmatize(d, id_col, "_toks", "_lem").drop("_toks").withColumnRenamed("_lem", "_toks")
     return d.withColumn(out_col, F.array_join("_toks", " ")).drop("_toks")

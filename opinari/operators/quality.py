@@ -255,37 +255,76 @@ def quality_metric_rows(spark: SparkSession, df: DataFrame, t: Thresholds = DEFA
 
 
 def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """The combined report as a long table ``(section, metric, value)``."""
-    def longify(frame: DataFrame, section: str, names: list[str]) -> DataFrame:
-        stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in names)
-        return frame.select(F.lit(section).alias("section"),
-                            F.expr(f"stack({len(names)}, {stack}) AS (metric, value)"))
+    """The combined report as a long table ``(section, metric, value)``.
 
+    Four passes over the table: one wide aggregate for every scalar metric
+    (A1, A2, A6, A7, text counts of A3/A4, aspect total), then the character,
+    word and aspect explodes. Each part would otherwise re-read and re-clean
+    the table on its own."""
     text = "cleaned_comment"
-    parts = [
-        longify(text_length_profile(df, text, t), "text",
-                ["total_texts", "avg_length", "median_length", "min_length", "max_length",
-                 "empty_texts", "very_short_texts", "very_long_texts"]),
-        longify(readability(df, text), "readability", ["avg_sentence_length", "avg_sentences_per_text"]),
-        longify(char_diversity(df, text), "language", ["char_diversity"]),
-        longify(vocabulary(df, text), "language", ["unique_words", "total_words", "avg_words_per_text"]),
+    c = F.col(text)
+    nn = c.isNotNull()
+    ln = F.when(nn, F.length(c))
+    w = tx.sentence_word_counts(c)
+    metrics: list[tuple[str, str, Column]] = [
+        ("text", "total_texts", F.count_if(nn)),
+        ("text", "avg_length", F.avg(ln)),
+        ("text", "median_length", F.median(ln)),
+        ("text", "min_length", F.min(ln)),
+        ("text", "max_length", F.max(ln)),
+        ("text", "empty_texts", F.count_if(ln == 0)),
+        ("text", "very_short_texts", F.count_if(ln < t.min_comment_length)),
+        ("text", "very_long_texts", F.count_if(ln > t.very_long_text)),
+        ("_", "_sent", F.sum(F.when(nn, F.size(w)))),
+        ("_", "_sent_words", F.sum(F.when(nn, F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + x)))),
+        ("_", "_chars", F.sum(ln)),
     ]
     if "sentiment" in df.columns:
-        dist = sentiment_distribution(df)
-        parts.append(dist.select(F.lit("sentiment").alias("section"),
-                                 F.concat(F.col("sentiment"), F.lit("_pct")).alias("metric"),
-                                 F.col("percentage").cast("double").alias("value")))
-        parts.append(longify(df.agg(F.count(F.lit(1)).alias("total_analyzed")), "sentiment",
-                             ["total_analyzed"]))
+        metrics.append(("sentiment", "total_analyzed", F.count(F.lit(1))))
+        for s_ in SENTIMENT_LABELS:
+            metrics.append(("sentiment", f"{s_}_pct",
+                            F.try_divide(F.count_if(F.col("sentiment") == s_) * 100.0, F.count(F.lit(1)))))
     if "sentiment_confidence" in df.columns:
-        parts.append(longify(confidence_profile(df, t), "confidence",
-                             ["avg_confidence", "median_confidence", "low_confidence_count",
-                              "high_confidence_count"]))
+        conf = F.col("sentiment_confidence")
+        metrics += [("confidence", "avg_confidence", F.avg(conf)),
+                    ("confidence", "median_confidence", F.median(conf)),
+                    ("confidence", "low_confidence_count", F.count_if(conf < t.low_confidence)),
+                    ("confidence", "high_confidence_count", F.count_if(conf > t.high_confidence))]
     if "detected_aspects" in df.columns:
-        with_aspects = df.filter(F.size("detected_aspects") > 0)
-        parts.append(longify(with_aspects.agg(F.count(F.lit(1)).alias("total_with_aspects")), "absa",
-                             ["total_with_aspects"]))
-        parts.append(with_aspects.select(F.explode("detected_aspects").alias("a")).groupBy("a")
+        metrics.append(("absa", "total_with_aspects", F.count_if(F.size("detected_aspects") > 0)))
+    one = df.agg(*[m.cast("double").alias(f"m{i}") for i, (_, _, m) in enumerate(metrics)])
+    names = {name: f"m{i}" for i, (_, name, _) in enumerate(metrics)}
+    texts = df.filter(nn)
+    chars = (texts.select(F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(.)"), 1))).alias("ch"))
+        .agg(F.count_distinct("ch").alias("dc"), F.max(F.when(F.col("ch") == " ", 1).otherwise(0)).alias("hs")))
+    words = words_long(df, text).agg(F.count_distinct("word").alias("uw"), F.count(F.lit(1)).alias("tw"))
+    # One row with every scalar: each input aggregate runs exactly once.
+    row = combine_rows(one, chars, words)
+    n, sent, sent_words = F.col(names["total_texts"]), F.col(names["_sent"]), F.col(names["_sent_words"])
+    total = F.coalesce(F.col(names["_chars"]), F.lit(0.0)) + F.greatest(n - 1, F.lit(0.0))
+    distinct = (F.coalesce(F.col("dc"), F.lit(0))
+                + F.when((n >= 2) & (F.coalesce(F.col("hs"), F.lit(0)) == 0), 1).otherwise(0))
+    row = row.select(
+        "*",
+        F.coalesce(F.try_divide(sent_words, sent), F.lit(0.0)).alias("_avg_sentence_length"),
+        F.when(sent > 0, F.try_divide(sent, n)).otherwise(F.lit(0.0)).alias("_avg_sentences_per_text"),
+        F.when(total > 0, distinct / total).otherwise(F.lit(0.0)).alias("_char_diversity"),
+        F.coalesce(F.col("uw"), F.lit(0)).cast("double").alias("_unique_words"),
+        F.coalesce(F.col("tw"), F.lit(0)).cast("double").alias("_total_words"),
+        F.when(n > 0, F.coalesce(F.col("tw"), F.lit(0)) / n).otherwise(F.lit(0.0)).alias("_avg_words_per_text"))
+    rows = [(sec, name, names[name]) for sec, name, _ in metrics if sec != "_"]
+    rows += [("readability", "avg_sentence_length", "_avg_sentence_length"),
+             ("readability", "avg_sentences_per_text", "_avg_sentences_per_text"),
+             ("language", "char_diversity", "_char_diversity"),
+             ("language", "unique_words", "_unique_words"),
+             ("language", "total_words", "_total_words"),
+             ("language", "avg_words_per_text", "_avg_words_per_text")]
+    stack = ", ".join(f"'{sec}', '{name}', CAST(`{col}` AS DOUBLE)" for sec, name, col in rows)
+    scalars = row.select(F.expr(f"stack({len(rows)}, {stack}) AS (section, metric, value)"))
+    parts = [scalars]
+    if "detected_aspects" in df.columns:
+        parts.append(df.select(F.explode("detected_aspects").alias("a")).groupBy("a")
                      .agg(F.count(F.lit(1)).cast("double").alias("value"))
                      .select(F.lit("absa").alias("section"), F.concat(F.lit("aspect_"), "a").alias("metric"),
                              "value"))
