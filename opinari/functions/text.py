@@ -39,6 +39,12 @@ TOKEN = rf"([{WORD}]+|[^{WORD}{WS}])"
 WORD_RUN = rf"([{WORD}]+)"
 NON_WS_RUN = rf"([^{WS}]+)"
 SENTENCE_END = r"[.!?]+"
+# Counting forms of T10 for the table-level sums (A2): a word of a non-blank
+# sentence is a run of characters that are neither whitespace nor an end
+# mark; a non-blank sentence starts at the first such character after the
+# text start or an end mark. Both are linear scans with no per-sentence array.
+SENTENCE_WORD = rf"[^{WS}.!?]+"
+SENTENCE_START = rf"(?:^|[.!?])[{WS}]*+[^{WS}.!?]"
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -131,6 +137,13 @@ def sentence_word_counts(c) -> Column:
                        lambda s: F.size(F.regexp_extract_all(s, F.lit(NON_WS_RUN), 1)))
 
 
+def sentence_totals(c) -> tuple[Column, Column]:
+    """T10 summed per text: (non-blank sentences, words in them); equal to
+    ``size`` and the sum of ``sentence_word_counts``."""
+    t = F.coalesce(_c(c), F.lit(""))
+    return F.regexp_count(t, F.lit(SENTENCE_START)), F.regexp_count(t, F.lit(SENTENCE_WORD))
+
+
 def words(c) -> Column:
     """``\\b\\w+\\b`` on the lower-cased text = maximal word-character runs."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit(WORD_RUN), 1)

@@ -127,3 +127,32 @@ def test_custom_lexicon_roundtrip():
     lex = Lexicon((Aspect("a", ("x",), (("y",),)),))
     assert lex.without_context().aspects[0].context == ()
     assert FIXTURE_LEXICON.names == ["plain_a", "plain_b", "ctx_wait", "ctx_lead"]
+
+
+SENTENCE_ROWS = ["Hi. there!! ok?", "...", "   ", "no end mark", None, "", "a.b c", " . a", ".a",
+                 "x?!  \n y z.", "one two. 　 .three", "?", "a" * 50 + "." + " " * 30]
+
+
+def _py_sentence_totals(text):
+    parts = [p for p in re.split(r"[.!?]+", text or "") if p.strip()]
+    return len(parts), sum(len(p.split()) for p in parts)
+
+
+def test_sentence_totals_equal_array_form(spark):
+    n, w = tx.sentence_totals(F.col("t"))
+    arr = tx.sentence_word_counts(F.col("t"))
+    rows = _col(spark, SENTENCE_ROWS).select(
+        n.alias("n"), w.alias("w"), F.size(arr).alias("an"),
+        F.aggregate(arr, F.lit(0), lambda a, x: a + x).alias("aw")).collect()
+    for text, r in zip(SENTENCE_ROWS, rows):
+        assert (r.n, r.w) == (r.an, r.aw) == _py_sentence_totals(text), text
+
+
+def test_sentence_totals_on_documents(spark):
+    from tests.conftest import SF_SMALL
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    n, w = tx.sentence_totals(F.col("text"))
+    arr = tx.sentence_word_counts(F.col("text"))
+    bad = d.select(((n != F.size(arr)) | (w != F.aggregate(arr, F.lit(0), lambda a, x: a + x)))
+                   .alias("bad")).filter("bad").count()
+    assert bad == 0
