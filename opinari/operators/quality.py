@@ -253,13 +253,17 @@ def quality_metric_rows(spark: SparkSession, df: DataFrame, t: Thresholds = DEFA
     return j.select("metric_name", "value", "threshold", status.alias("status"))
 
 
+def _tag(arr: Column, prefix: str) -> Column:
+    return F.transform(arr, lambda x: F.concat(F.lit(prefix), x))
+
+
 def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """The combined report as a long table ``(section, metric, value)``.
 
-    Four passes over the table: one wide aggregate for every scalar metric
-    (A1, A2, A6, A7, text counts of A3/A4, aspect total), then the character,
-    word and aspect explodes. Each part would otherwise re-read and re-clean
-    the table on its own."""
+    Two passes over the table: one wide aggregate for every scalar metric
+    (A1, A2, A6, A7, text counts of A3/A4, aspect total), then one tagged
+    explode of characters, words and aspects. Each part would otherwise
+    re-read and re-clean the table on its own."""
     text = "cleaned_comment"
     c = F.col(text)
     nn = c.isNotNull()
@@ -293,13 +297,28 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
         metrics.append(("absa", "total_with_aspects", F.count_if(F.size("detected_aspects") > 0)))
     one = df.agg(*[m.cast("double").alias(f"m{i}") for i, (_, _, m) in enumerate(metrics)])
     names = {name: f"m{i}" for i, (_, name, _) in enumerate(metrics)}
-    texts = df.filter(nn)
-    chars = (texts.select(F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(.)"), 1))).alias("ch"))
-        .agg(F.count_distinct("ch").alias("dc"), F.max(F.when(F.col("ch") == " ", 1).otherwise(0)).alias("hs")))
-    words = words_long(df, text).agg(F.count_distinct("word").alias("uw"), F.count(F.lit(1)).alias("tw"))
+    # Second pass: distinct characters (c), words (w) and aspects (a) of every
+    # row, tagged by a one-letter prefix, in one explode and one grouped count
+    # (partial counts map-side). Aspect counts leave the aggregate as one
+    # list (at most one entry per lexicon aspect), so the grouped items have
+    # a single consumer and the table is read exactly twice.
+    empty = F.array().cast("array<string>")
+    lists = [_tag(F.when(nn, F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?s)(.)"), 1)))
+                  .otherwise(empty), "c"),
+             _tag(F.when(nn, tx.words(c)).otherwise(empty), "w")]
+    if "detected_aspects" in df.columns:
+        lists.append(_tag(F.coalesce(F.col("detected_aspects"), empty), "a"))
+    items = (df.select(F.explode(F.concat(*lists)).alias("it"))
+             .groupBy("it").agg(F.count(F.lit(1)).alias("n")))
+    kind = F.substring("it", 1, 1)
+    stats = items.agg(F.count_if(kind == "c").alias("dc"),
+                      F.max(F.when(F.col("it") == "c ", 1).otherwise(0)).alias("hs"),
+                      F.count_if(kind == "w").alias("uw"),
+                      F.sum(F.when(kind == "w", F.col("n"))).alias("tw"),
+                      F.collect_list(F.when(kind == "a", F.struct(F.expr("substring(it, 2)").alias("a"),
+                                                                  F.col("n").alias("n")))).alias("asp"))
     # One row with every scalar: each input aggregate runs exactly once.
-    row = combine_rows(one, chars, words)
+    row = combine_rows(one, stats)
     n, sent, sent_words = F.col(names["total_texts"]), F.col(names["_sent"]), F.col(names["_sent_words"])
     total = F.coalesce(F.col(names["_chars"]), F.lit(0.0)) + F.greatest(n - 1, F.lit(0.0))
     distinct = (F.coalesce(F.col("dc"), F.lit(0))
@@ -319,12 +338,10 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
              ("language", "unique_words", "_unique_words"),
              ("language", "total_words", "_total_words"),
              ("language", "avg_words_per_text", "_avg_words_per_text")]
-    stack = ", ".join(f"'{sec}', '{name}', CAST(`{col}` AS DOUBLE)" for sec, name, col in rows)
-    scalars = row.select(F.expr(f"stack({len(rows)}, {stack}) AS (section, metric, value)"))
-    parts = [scalars]
+    out = F.array(*[F.struct(F.lit(sec).alias("section"), F.lit(name).alias("metric"),
+                             F.col(col).cast("double").alias("value")) for sec, name, col in rows])
     if "detected_aspects" in df.columns:
-        parts.append(df.select(F.explode("detected_aspects").alias("a")).groupBy("a")
-                     .agg(F.count(F.lit(1)).cast("double").alias("value"))
-                     .select(F.lit("absa").alias("section"), F.concat(F.lit("aspect_"), "a").alias("metric"),
-                             "value"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        out = F.concat(out, F.transform(F.coalesce(F.col("asp"), F.array()), lambda x: F.struct(
+            F.lit("absa").alias("section"), F.concat(F.lit("aspect_"), x["a"]).alias("metric"),
+            x["n"].cast("double").alias("value"))))
+    return row.select(F.inline(out))

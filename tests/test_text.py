@@ -156,3 +156,8 @@ def test_sentence_totals_on_documents(spark):
     bad = d.select(((n != F.size(arr)) | (w != F.aggregate(arr, F.lit(0), lambda a, x: a + x)))
                    .alias("bad")).filter("bad").count()
     assert bad == 0
+
+
+def test_ws_chars_are_python_whitespace():
+    py_ws = {chr(c) for c in range(0x110000) if re.match(r"\s", chr(c))}
+    assert set(tx.WS_CHARS) == py_ws and len(tx.WS_CHARS) == len(py_ws)
