@@ -30,7 +30,7 @@ def length_range(df: DataFrame, col: str = "cleaned_comment", lo: int = 10,
 
 def drop_blank(df: DataFrame, col: str = "cleaned_comment") -> DataFrame:
     """P5: drop empty text (after stripping whitespace)."""
-    return df.filter(F.length(F.regexp_replace(F.col(col), tx.WS_RUN, "")) > 0)
+    return df.filter(F.length(F.regexp_replace(F.col(col), tx.J_WS_RUN, "")) > 0)
 
 
 def language_filter(df: DataFrame, col: str = "detected_language",
@@ -71,7 +71,7 @@ def request_rule_failures(df: DataFrame, text_col: str, request_col: str,
     sizes = df.groupBy(request_col).agg(F.count(F.lit(1)).alias("_request_size"))
     t = F.col(text_col)
     rules = {
-        "blank_comment": t.isNull() | (F.length(F.regexp_replace(t, tx.WS_RUN, "")) < 1),
+        "blank_comment": t.isNull() | (F.length(F.regexp_replace(t, tx.J_WS_RUN, "")) < 1),
         "comment_too_long": F.length(t) > thresholds.max_comment_chars,
         "too_many_comments": F.col("_request_size") > thresholds.max_request_comments,
     }

@@ -30,7 +30,7 @@ from opinari.session import shared_dir
 
 def normalised(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), tx.WS_RUN, " ")))
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), tx.J_WS_RUN, " ")))
 
 
 def trigrams(norm_col: str) -> Column:

@@ -161,3 +161,11 @@ def test_sentence_totals_on_documents(spark):
 def test_ws_chars_are_python_whitespace():
     py_ws = {chr(c) for c in range(0x110000) if re.match(r"\s", chr(c))}
     assert set(tx.WS_CHARS) == py_ws and len(tx.WS_CHARS) == len(py_ws)
+
+
+def test_jvm_whitespace_class_equals_python(spark):
+    cps = [*range(0, 0x3101), 0x10000, 0x1F600, 0xFEFF, 0x180E, 0x200B]
+    rows = [(c, chr(c)) for c in cps if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame(rows, "cp int, ch string")
+    got = {r.cp for r in df.filter(F.col("ch").rlike(f"^[{tx.JWS}]$")).collect()}
+    assert got == {c for c, ch in rows if re.match(r"\s", ch)}
