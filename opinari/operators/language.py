@@ -2,9 +2,11 @@
 model, and the English fallback check (T8).
 
 Training is one aggregate: explode trigrams of labelled texts and count them
-per ``(lang, gram)``. Detection explodes each text's trigram counts, joins
-them with the profile on the gram, sums the smoothed log-likelihoods per
-``(text, lang)`` and takes the best language with ``max_by``:
+per ``(lang, gram)``. Detection explodes each text's trigrams, joins them
+with the profile on the gram (broadcast when the fitted profile's row count
+is under a fixed bound, else a shuffle join of per-text counts), sums the
+smoothed log-likelihoods per ``(text, lang)`` and takes the best language
+with ``max_by``:
 
     score(d, L) = log P(L) - T_d * log(N_L + V) + sum_g n(d, g) * log(c(L, g) + 1)
 
@@ -33,12 +35,16 @@ def normalised(c) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), tx.J_WS_RUN, " ")))
 
 
-def trigrams(norm_col: str) -> Column:
-    """All overlapping character trigrams of a normalised text column, in one
+def trigrams_of(c: Column) -> Column:
+    """All overlapping character trigrams of a normalised text, in one
     linear regex pass (a zero-width lookahead match at every position).
     Slicing with ``substr`` per position would be quadratic: a character
     offset into UTF-8 is found by scanning from the start."""
-    return F.regexp_extract_all(F.col(norm_col), F.lit(r"(?s)(?=(.{3}))"), 1)
+    return F.regexp_extract_all(c, F.lit(r"(?s)(?=(.{3}))"), 1)
+
+
+def trigrams(norm_col: str) -> Column:
+    return trigrams_of(F.col(norm_col))
 
 
 def _gram_rows(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
@@ -46,23 +52,33 @@ def _gram_rows(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
     return norm.select(key_col, F.explode(trigrams("_norm")).alias("gram"))
 
 
+# A fitted profile up to this many (gram, lang) rows is broadcast to the
+# detection tasks (~50 bytes a row: at most ~100 MB). Trigram profiles
+# saturate with the alphabet (25k rows for four languages at sf0.1); a larger
+# one takes the shuffle join.
+PROFILE_BROADCAST_ROWS = 2_000_000
+
+
 @dataclass
 class TrigramModel:
     profile: DataFrame      # gram, lang, log_c   (log(c + 1))
     languages: DataFrame    # lang, log_prior, log_norm   (one row per language)
+    profile_rows: int = PROFILE_BROADCAST_ROWS + 1
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TrigramModel:
     """Fit the profile from a labelled table. Like a Spark ML ``fit`` this
-    runs two small jobs to get the model's scalars (distinct gram count and
-    labelled-document total); the profile itself stays a distributed table."""
+    runs small jobs for the model's scalars (distinct gram count, profile
+    rows, labelled-document total); the profile itself stays a distributed
+    table."""
     labelled = df.filter(F.col(lang_col).isNotNull())
     grams = _gram_rows(labelled.select(F.col(lang_col).alias("lang"), text_col), "lang", text_col)
-    # The fitted profile is read three times; materialise it once in the
+    # The fitted profile is read several times; materialise it once in the
     # shared checkpoint folder (it is the model).
     shared_dir(df.sparkSession)
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    v = counts.select(F.countDistinct("gram")).first()[0] or 0
+    sizes = counts.agg(F.count_distinct("gram").alias("v"), F.count(F.lit(1)).alias("rows")).first()
+    v, rows = sizes["v"] or 0, sizes["rows"]
     per_lang = counts.groupBy("lang").agg(F.sum("c").alias("n_l"))
     docs = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
     all_docs = labelled.count()
@@ -71,32 +87,48 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Trig
         F.log(F.col("docs") / F.lit(float(all_docs))).alias("log_prior"),
         F.log(F.col("n_l") + F.lit(float(v))).alias("log_norm"))
     profile = counts.select("gram", "lang", F.log(F.col("c") + 1.0).alias("log_c"))
-    return TrigramModel(profile, langs)
+    return TrigramModel(profile, langs, rows)
 
 
-def detect(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
-           out_col: str = "detected_language", min_chars: int = 10) -> DataFrame:
-    """Add ``out_col`` with the most likely language (``id_col`` unique).
+def detect_ids(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
+               out_col: str = "detected_language", min_chars: int = 10) -> DataFrame:
+    """``(id_col, out_col)`` for every row of ``df`` (``id_col`` unique), from
+    aggregates only: the text never leaves its task.
 
     Candidates are the languages that share at least one trigram with the
     text; a text sharing none (or under ``min_chars`` non-blank characters)
-    is ``unknown``."""
-    grams = _gram_rows(df, id_col, text_col)
-    per_doc = grams.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
-    totals = per_doc.groupBy(id_col).agg(F.sum("n").alias("t_d"))
-    matched = (per_doc.join(model.profile, "gram")
-               .groupBy(id_col, "lang").agg(F.sum(F.col("n") * F.col("log_c")).alias("hit")))
-    # ``languages`` has one row per label value: a bounded broadcast.
-    scored = (matched.join(totals, id_col).join(F.broadcast(model.languages), "lang")
-              .select(id_col, "lang",
-                      (F.col("log_prior") - F.col("t_d") * F.col("log_norm") + F.col("hit"))
-                      .alias("score")))
-    best = scored.groupBy(id_col).agg(F.max_by("lang", "score").alias("_best"))
+    is ``unknown``. ``T_d`` is the size of the text's trigram array; the
+    short-text flag rides along as a grouping key. With a profile under
+    ``PROFILE_BROADCAST_ROWS`` each trigram occurrence meets the broadcast
+    profile where it is produced and partial sums per ``(text, lang)`` are
+    all that is shuffled; a larger profile is joined by gram after counting
+    each text's grams (AQE splits hot grams)."""
     short = F.length(tx.strip_ws(F.coalesce(F.col(text_col), F.lit("")))) < min_chars
-    return (df.join(best, id_col, "left")
-            .withColumn(out_col, F.when(short | F.col("_best").isNull(), F.lit("unknown"))
-                        .otherwise(F.col("_best")))
-            .drop("_best"))
+    norm = with_columns_once(df.select(id_col, short.alias("_short"), text_col),
+                             _grams=trigrams_of(normalised(text_col)))
+    keys = [id_col, "_short", "_t"]
+    occ = norm.select(id_col, "_short", F.size("_grams").alias("_t"),
+                      F.explode_outer("_grams").alias("gram"))
+    if model.profile_rows <= PROFILE_BROADCAST_ROWS:
+        hits = occ.join(F.broadcast(model.profile), "gram", "left").select(*keys, "lang", "log_c")
+    else:
+        per_doc = occ.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("_n"))
+        hits = per_doc.join(model.profile, "gram", "left").select(
+            *keys, "lang", (F.col("_n") * F.col("log_c")).alias("log_c"))
+    per_lang = hits.groupBy(*keys, "lang").agg(F.sum("log_c").alias("hit"))
+    # ``languages`` has one row per label value: a bounded broadcast.
+    scored = per_lang.join(F.broadcast(model.languages), "lang", "left").select(
+        *keys, "lang", (F.col("log_prior") - F.col("_t") * F.col("log_norm") + F.col("hit")).alias("score"))
+    best = scored.groupBy(*keys).agg(F.max_by("lang", "score").alias("_best"))
+    return best.select(id_col, F.when(F.col("_short") | F.col("_best").isNull(), F.lit("unknown"))
+                       .otherwise(F.col("_best")).alias(out_col))
+
+
+def detect(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
+           out_col: str = "detected_language", min_chars: int = 10) -> DataFrame:
+    """Add ``out_col`` with the most likely language (``id_col`` unique):
+    ``detect_ids`` joined back to the rows."""
+    return df.join(detect_ids(df, model, id_col, text_col, out_col, min_chars), id_col, "left")
 
 
 def english_fallback(df: DataFrame, text_col: str, out_col: str = "detected_language") -> DataFrame:

@@ -156,9 +156,8 @@ FROM kept k LEFT JOIN best USING (comment_id)""")
 def detect_language(spark, sf):
     """Trigram model trained on labelled documents, applied to comments."""
     model = language.train(read_table(spark, sf, "documents"), "text", "lang")
-    d = language.detect(_kept(spark, sf).select("comment_id", "cleaned_comment"), model,
-                        "comment_id", "cleaned_comment")
-    return d.select("comment_id", "detected_language")
+    return language.detect_ids(_kept(spark, sf).select("comment_id", "cleaned_comment"), model,
+                               "comment_id", "cleaned_comment")
 
 
 # --- T10–T12, T16 --------------------------------------------------------------

@@ -135,3 +135,21 @@ def test_required_columns():
         columns = ["a"]
     with pytest.raises(ValueError):
         require_columns(Fake(), "a", "b")
+
+
+def test_detect_broadcast_and_shuffle_paths_agree(spark):
+    import dataclasses
+
+    from opinari.operators import language
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = language.train(docs, "text", "lang")
+    assert model.profile_rows <= language.PROFILE_BROADCAST_ROWS
+    big = dataclasses.replace(model, profile_rows=language.PROFILE_BROADCAST_ROWS + 1)
+    texts = docs.select("doc_id", "text")
+    a = {r[0]: r[1] for r in language.detect_ids(texts, model, "doc_id", "text").collect()}
+    b = {r[0]: r[1] for r in language.detect_ids(texts, big, "doc_id", "text").collect()}
+    assert a == b and len(a) == docs.count()
+    assert sum(v == "unknown" for v in a.values()) < len(a)
+    full = language.detect(texts, model, "doc_id", "text")
+    assert full.columns == ["doc_id", "text", "detected_language"] and full.count() == len(a)
