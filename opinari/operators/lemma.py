@@ -5,15 +5,18 @@ corpus itself: a candidate form made by a noun suffix rule counts only if it
 occurs as a token somewhere in the table, and the shortest known form wins
 (the original first on equal length). The work is relational:
 
-1. explode tokens with their position;
+1. explode each text's distinct tokens;
 2. distinct vocabulary (partial aggregate, so a token filling a third of the
    corpus shrinks map-side before the shuffle);
 3. candidates per vocabulary token, semi-joined with the vocabulary, reduced
-   with ``min_by`` to one lemma per token;
-4. join the mapping back on the token (AQE splits a hot token's partition, or
-   broadcasts the mapping when its measured size is small);
-5. re-assemble each text in position order (one group per text, bounded by
-   that text's length).
+   with ``min_by`` to one lemma per token; only tokens whose lemma differs
+   are kept;
+4. join those with each text's distinct tokens (AQE splits a hot token's
+   partition, or broadcasts the changed tokens when their measured size is
+   small) and collect one replacement map per text (bounded by that text's
+   distinct tokens);
+5. join the map back by id and apply it to the token array in place, so
+   token positions are never shuffled.
 """
 
 from __future__ import annotations
@@ -49,16 +52,20 @@ def lemma_map(tokens: DataFrame, token_col: str = "token") -> DataFrame:
 
 def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemmas") -> DataFrame:
     """Replace each token of ``tokens_col`` with its lemma; the result is
-    an array in the original order. Rows with no tokens get ``[]``."""
-    pos = df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
-    mapping = lemma_map(pos)
-    lem = (pos.join(mapping, "token", "left")
-           .select(id_col, "pos", F.coalesce("lemma", "token").alias("lemma")))
-    assembled = lem.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_pl"))
-    assembled = assembled.select(id_col, F.transform("_pl", lambda x: x["lemma"]).alias(out_col))
-    return (df.join(assembled, id_col, "left")
-            .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>"))))
+    an array in the original order. Rows with no tokens get ``[]``.
+
+    Token positions never move: each text's distinct tokens are joined with
+    the tokens whose lemma differs, giving a small per-text replacement map
+    that is joined back by id and applied in place."""
+    per_doc = df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
+    changed = lemma_map(per_doc).filter(F.col("lemma") != F.col("token"))
+    repl = (per_doc.join(changed, "token")
+            .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_m")))
+    toks = F.col(tokens_col)
+    lem = F.when(F.col("_m").isNull(), toks).otherwise(
+        F.transform(toks, lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t)))
+    return (df.join(repl, id_col, "left")
+            .withColumn(out_col, F.coalesce(lem, F.array().cast("array<string>"))).drop("_m"))
 
 
 def drop_stopwords(df: DataFrame, tokens_col: str, stopwords=SPARK_ENGLISH_STOPWORDS) -> DataFrame:

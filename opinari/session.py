@@ -25,6 +25,12 @@ def build_session(master: str = "local[8]", app: str = "opinari",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # No broadcast from plan-time estimates: the estimate of an exploded
+        # table ignores the explode's row growth. AQE broadcasts a side only
+        # after measuring its materialised shuffle output; tables with a
+        # bound of their own are broadcast explicitly after a size check.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
