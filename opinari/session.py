@@ -46,8 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). If neither is set, as in local tests, a scratch folder is
-    created and registered as the checkpoint dir.
+    checkpoint dir). If neither is set and the master is local, as in tests,
+    a scratch folder is created and registered; on a cluster that is an
+    error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local"):
+        # A machine-local folder would lose the checkpoint with its executor.
+        raise RuntimeError("spark.checkpoint.dir is not set; a cluster job needs a shared folder "
+                           "(HDFS or object store) for checkpoints and written tables")
     local = tempfile.mkdtemp(prefix="opinari-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
