@@ -58,7 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         # A machine-local folder would lose the checkpoint with its executor.
         raise RuntimeError("spark.checkpoint.dir is not set; a cluster job needs a shared folder "
                            "(HDFS or object store) for checkpoints and written tables")
