@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import langid
+from opinari.llm import langid, neardup
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -22,3 +22,8 @@ def query(name: str, sql: str | None = None):
 @query("op8_language_id")
 def op8_language_id(spark, sf_dir):
     return langid.op8(documents(spark, sf_dir))
+
+
+@query("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(documents(spark, sf_dir))
