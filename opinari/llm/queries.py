@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import langid, neardup
+from opinari.llm import decontam, langid, neardup
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -27,3 +27,33 @@ def op8_language_id(spark, sf_dir):
 @query("op6_minhash_near_dedup")
 def op6_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+         "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(10, len(w)) AS size,
+              array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS win
+       FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS p
+             FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS win
+       FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS p
+             FROM d, sizes WHERE len(w) >= size)),
+hit AS (SELECT doc_id, p, dw.size, item_id FROM dw JOIN iw ON dw.size = iw.size AND dw.win = iw.win),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+        FROM (SELECT DISTINCT doc_id, unnest(generate_series(p, p + size - 1)) AS q FROM hit) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
+        FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""
+
+
+@query("op5_benchmark_decontamination", OP5_SQL)
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontam.op5(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))

@@ -44,6 +44,10 @@ _FOLD[65:91] += np.uint64(32)
 _CODES = mix64(_FOLD + np.uint64(1))
 
 
+#: Odd multiplier of the first word in the hash of two neighbouring words.
+ODD_PAIR = np.uint64(0xD6E8FEB86659FD93)
+
+
 class _Powers:
     """M**i and M**-i (mod 2**64), grown on demand."""
 
