@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import decontam, langid, neardup
+from opinari.llm import decontam, langid, neardup, secrets
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -57,3 +57,48 @@ FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.do
 @query("op5_benchmark_decontamination", OP5_SQL)
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.op5(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def _parts_sql(no: int, pattern: str, valid: str) -> str:
+    return f"""SELECT r, {no} AS no, unnest(regexp_extract_all(t, '{pattern}', 0)) AS m,
+       unnest(regexp_extract_all(t, '{pattern}', {2 if no == 0 else 0})) AS v,
+       unnest(string_split_regex(t, '{pattern}')) AS p,
+       unnest(generate_series(1, len(string_split_regex(t, '{pattern}')))) AS k, {no} AS n2
+       FROM d WHERE {valid}"""
+
+
+_ASSIGN_SQL = ("((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"
+               "[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)")
+_ID_SQL = "regexp_matches(t, 'AKIA|ASIA|AROA|AIDA')"
+_NEAR = """coalesce("start" - max(CASE WHEN no IN ({0}) THEN "end" END) OVER b <= 300, false)
+     OR coalesce(min(CASE WHEN no IN ({0}) THEN "start" END) OVER a - "end" <= 300, false)"""
+
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS ({' UNION ALL '.join([
+    _parts_sql(0, _ASSIGN_SQL, 'true'), _parts_sql(1, 'AKIA[A-Z0-9]+', 'true'), _parts_sql(2, '[0-9a-f]+', 'true'),
+    _parts_sql(3, '[A-Za-z0-9+/]+', _ID_SQL), _parts_sql(4, '(?:ASIA|AROA|AIDA)[A-Z0-9]+', _ID_SQL),
+    _parts_sql(5, secrets.ENDPOINT.replace("'", "''"), _ID_SQL)])}),
+runs AS (SELECT r, no, m, v, sum(length(p) + coalesce(length(m), 0)) OVER
+           (PARTITION BY r, no ORDER BY k ROWS UNBOUNDED PRECEDING) AS "end" FROM parts),
+s AS (SELECT r, no, "end" - length(m) AS "start", "end" FROM runs
+      WHERE m IS NOT NULL AND CASE no WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN length(m) >= 24
+        WHEN 3 THEN length(m) = 40 AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')
+        WHEN 4 THEN length(m) >= 20 ELSE true END),
+n AS (SELECT *, {_NEAR.format('1')} AS by_access, {_NEAR.format('1, 4')} AS by_id, {_NEAR.format('0, 2, 3')} AS by_secret
+      FROM s WINDOW b AS (PARTITION BY r ORDER BY "start", no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    a AS (PARTITION BY r ORDER BY "start", no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+f AS (SELECT r, no, "start", ['assign', 'access', 'hex', 'key', 'client', 'endpoint'][no + 1] || ':' || "start" || ':' || "end" AS x
+      FROM n WHERE no < 3 OR (no = 3 AND by_access) OR (no = 4 AND by_secret) OR (no = 5 AND by_id AND by_secret)),
+g AS (SELECT r, count(*) FILTER (no = 0) AS a, count(*) FILTER (no = 1) AS c, count(*) FILTER (no = 2) AS h,
+             string_agg(x, ',' ORDER BY "start", no) FILTER (no < 3) AS base, string_agg(x, ',' ORDER BY "start", no) AS spans
+      FROM f GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.r = g.r
+"""
+
+
+@query("op7_secret_scan", OP7_SQL)
+def op7_secret_scan(spark, sf_dir):
+    return secrets.op7(documents(spark, sf_dir))
