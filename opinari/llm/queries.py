@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import decontam, langid, neardup, secrets
+from opinari.llm import decontam, langid, neardup, packing, secrets, tokens
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -102,3 +102,18 @@ FROM d LEFT JOIN g ON d.r = g.r
 @query("op7_secret_scan", OP7_SQL)
 def op7_secret_scan(spark, sf_dir):
     return secrets.op7(documents(spark, sf_dir))
+
+
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark, sf_dir):
+    return tokens.op1(documents(spark, sf_dir), vocabulary_path())
+
+
+@query("op9_packing")
+def op9_packing(spark, sf_dir):
+    return packing.op9(documents(spark, sf_dir), vocabulary_path())
