@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import decontam, langid, neardup, packing, secrets, tokens
+from opinari.llm import decontam, langid, licenses, neardup, packing, secrets, tokens
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -117,3 +117,41 @@ def op1_token_counts(spark, sf_dir):
 @query("op9_packing")
 def op9_packing(spark, sf_dir):
     return packing.op9(documents(spark, sf_dir), vocabulary_path())
+
+
+def _places_sql(words: list[str], lo: int = 0) -> str:
+    match = " AND ".join(f"w[p + {i}] = '{x}'" for i, x in enumerate(words))
+    return f"list_filter(generate_series(1, len(w)), lambda p: {match})"
+
+
+def _op2_sql() -> str:
+    """Every key phrase at every position; shares of the notices' IDF at those places."""
+    index = licenses.Index(licenses.BASE + licenses.NOTICES)
+    cols, shares = [], []
+    for n, t in enumerate(index.templates):
+        lo, hi = t.key
+        cols.append(f"{_places_sql(list(t.words[lo:hi]))} AS t{n}")
+        whole = sum(index.idf[x] for x in t.words)
+        parts = " + ".join(f"CASE WHEN p + {i - lo} >= 1 AND w[p + {i - lo}] = '{x}' THEN {index.idf[x]!r}::DOUBLE ELSE 0.0::DOUBLE END"
+                           for i, x in enumerate(t.words))
+        shares.append(f"coalesce(list_max(list_transform(t{n}, lambda p: ({parts}) / {whole!r}::DOUBLE)), 0.0::DOUBLE)")
+    base = [n for n, t in enumerate(index.templates) if t.base]
+
+    def labels(numbers):
+        names = ", ".join(f"CASE WHEN len(t{n}) > 0 THEN '{index.templates[n].label}' END" for n in numbers)
+        return f"coalesce(array_to_string(list_sort(list_distinct([{names}])), ','), '')"
+
+    places = " || ".join(f"t{n}" for n in base)
+    return f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+f AS (SELECT doc_id, w, {', '.join(cols)} FROM d)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len({places}) AS BIGINT) AS n_base,
+       list_min({places}) - 1 AS first_word, list_max({places}) - 1 AS last_word,
+       {labels(base)} AS base_labels, {labels(range(len(index.templates)))} AS labels,
+       greatest({', '.join(shares)}) AS score
+FROM f"""
+
+
+@query("op2_license_scan", _op2_sql())
+def op2_license_scan(spark, sf_dir):
+    return licenses.op2(documents(spark, sf_dir))
