@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import decontam, langid, licenses, neardup, packing, secrets, tokens
+from opinari.llm import decontam, langid, licenses, neardup, packing, secrets, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -155,3 +155,24 @@ FROM f"""
 @query("op2_license_scan", _op2_sql())
 def op2_license_scan(spark, sf_dir):
     return licenses.op2(documents(spark, sf_dir))
+
+
+def _op10_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
+    hosts = ", ".join(f"'{h}'" for h in urls.HOSTS)
+    return f"""
+WITH r(verdict, rhost, rpath) AS (VALUES {rules}),
+u AS (SELECT page_id, row_number() OVER () AS i,
+        CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, i, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+m AS (SELECT i, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+      FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN len(list_filter([{hosts}],
+         lambda h: host = h OR ends_with(host, '.' || h))) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m ON p.i = m.i"""
+
+
+@query("op10_url_filter", _op10_sql())
+def op10_url_filter(spark, sf_dir):
+    return urls.op10(documents(spark, sf_dir, "pages"))
