@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import decontam, langid, licenses, neardup, packing, secrets, tokens, urls
+from opinari.llm import ann, decontam, langid, licenses, neardup, packing, secrets, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -176,3 +176,8 @@ FROM p LEFT JOIN m ON p.i = m.i"""
 @query("op10_url_filter", _op10_sql())
 def op10_url_filter(spark, sf_dir):
     return urls.op10(documents(spark, sf_dir, "pages"))
+
+
+@query("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark, sf_dir):
+    return ann.op3(documents(spark, sf_dir, "embeddings"))
