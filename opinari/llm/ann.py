@@ -40,9 +40,9 @@ SAMPLE = 50_000
 LIST = 128            # entries per list that the number of lists aims at
 BLOCK = 2_000
 DEGREE = 24
-BEAM = 64
+BEAM = 96
 REPLICATE, REPLICAS = 0.15, 4
-PRUNE, PROBES = 0.6, 48
+PRUNE, PROBES = 0.6, 64
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
