@@ -3,7 +3,7 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from opinari.llm import ann, decontam, langid, licenses, neardup, packing, secrets, tokens, urls
+from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, secrets, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -181,3 +181,8 @@ def op10_url_filter(spark, sf_dir):
 @query("op3_nearest_neighbours")
 def op3_nearest_neighbours(spark, sf_dir):
     return ann.op3(documents(spark, sf_dir, "embeddings"))
+
+
+@query("op4_lm_scores")
+def op4_lm_scores(spark, sf_dir):
+    return lm.score(documents(spark, sf_dir))
