@@ -1,13 +1,23 @@
 """Corpus pipeline: language ID, near-duplicate removal, benchmark
 decontamination, secret redaction, packing. Each stage is one operator of
-``opinari.llm`` and works on all rows that its predecessor kept."""
+``opinari.llm`` and works on all rows that its predecessor kept; all but the
+last return the columns of ``documents``.
+
+Null and empty texts have no language and go in the first stage; rows
+without an id go through to the end; extra columns go along until packing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinari.llm import langid
+from opinari.llm import decontam, langid, neardup, packing, secrets, tokens
 from opinari.llm.common import documents, written
+from opinari.llm.queries import vocabulary_path
+
+
+def _length(docs: DataFrame) -> str | None:
+    return "n_chars" if "n_chars" in docs.columns else None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +25,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.language_stage(docs)
 
 
-STAGES = [("language_id", language_id)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates."""
+    return neardup.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut benchmark passages out; drop documents that are mostly benchmark."""
+    return decontam.remove_spans(docs, documents(spark, sf_dir, "benchmark"), length=_length(docs))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets by a mark."""
+    return secrets.redact(docs, length=_length(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, one row per piece."""
+    return packing.pack(packing.pieces(docs, tokens.load(vocabulary_path())))
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
+          ("redact_secrets", redact_secrets), ("pack", pack)]
 
 #: Fitted models, sketches and a tokenizer: not SQL. Tested against brute force.
 ORACLE_SQL = None

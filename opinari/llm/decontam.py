@@ -284,12 +284,13 @@ def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_coverage: float = 0.5,
-                 window: int = WINDOW) -> DataFrame:
+                 window: int = WINDOW, length: str | None = None) -> DataFrame:
     """``docs`` without the texts' benchmark spans: every hit word goes, with the
     characters between the hit words; a document of which more than
-    ``max_coverage`` of the words are hit is dropped. Untouched documents stay
-    as they are, byte for byte."""
-    at = docs.columns.index(text)
+    ``max_coverage`` of the words are hit is dropped. ``length`` names a column that
+    holds the text's length and follows it. Untouched documents stay as they are,
+    byte for byte."""
+    at = docs.columns.index(text), docs.columns.index(length) if length else None
     out = docs
     for automaton in automata(benchmark, window=window):
         shared = out.sparkSession.sparkContext.broadcast(automaton)
@@ -297,7 +298,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_
     return out
 
 
-def _remover(shared, at: int, max_coverage: float):
+def _remover(shared, where: tuple[int, int | None], max_coverage: float):
+    at, sized = where
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(at)
@@ -321,6 +324,11 @@ def _remover(shared, at: int, max_coverage: float):
                     texts[k] = v
                 columns = list(batch.columns)
                 columns[at] = pa.array(texts, column.type)
+                if sized is not None:
+                    n = columns[sized].to_pylist()
+                    for k, v in changed.items():
+                        n[k] = len(v or "")
+                    columns[sized] = pa.array(n, columns[sized].type)
                 batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[[k for k, v in changed.items() if v is None]] = False

@@ -26,7 +26,7 @@ def op8_language_id(spark, sf_dir):
 
 @query("op6_minhash_near_dedup")
 def op6_minhash_near_dedup(spark, sf_dir):
-    return neardup.near_duplicates(documents(spark, sf_dir))
+    return neardup.near_duplicates(documents(spark, sf_dir), neardup.Params(shingle=3, percent=85, rows=8))
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
