@@ -128,7 +128,7 @@ def scan(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "tex
             for i, x in enumerate(t.words):
                 spot = p - lo + i
                 total = total + F.when((spot >= 0) & (F.get("w", spot) == x), F.lit(index.idf[x])).otherwise(F.lit(0.0))
-            return total / F.lit(whole)
+            return F.least(total / F.lit(whole), F.lit(1.0))
         return F.coalesce(F.array_max(F.transform(f"t{n}", of)), F.lit(0.0))
 
     names = {f"t{n}": F.coalesce(places(t, rare), F.array().cast("array<int>"))

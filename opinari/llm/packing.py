@@ -126,7 +126,7 @@ def pack(parts: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFram
     narrow = parts.select("piece", "doc_id", "start", "length", "ids_crc32",
                           F.pmod(F.xxhash64("piece"), F.lit(blocks)).alias("block"))
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key, frame):
         frame = frame.sort_values(["length", "doc_id", "start", "ids_crc32", "piece"],
                                   ascending=[False, True, True, True, True], kind="stable")
         number, offset, _ = best_fit(frame["length"].tolist(), window)

@@ -134,7 +134,7 @@ def _op2_sql() -> str:
         whole = sum(index.idf[x] for x in t.words)
         parts = " + ".join(f"CASE WHEN p + {i - lo} >= 1 AND w[p + {i - lo}] = '{x}' THEN {index.idf[x]!r}::DOUBLE ELSE 0.0::DOUBLE END"
                            for i, x in enumerate(t.words))
-        shares.append(f"coalesce(list_max(list_transform(t{n}, lambda p: ({parts}) / {whole!r}::DOUBLE)), 0.0::DOUBLE)")
+        shares.append(f"coalesce(list_max(list_transform(t{n}, lambda p: least(({parts}) / {whole!r}::DOUBLE, 1.0::DOUBLE))), 0.0::DOUBLE)")
     base = [n for n, t in enumerate(index.templates) if t.base]
 
     def labels(numbers):
