@@ -13,7 +13,11 @@ densification, banded buckets and star-shaped candidate edges.
    linearly with a bucket, a bucket of up to ``centres + 1`` is compared in full,
    and a member of a larger one meets other centres in every band.
 4. Candidate pairs are confirmed on their full shingle sets.
-5. Components by alternating stars.
+5. Buckets whose members are not yet in one component meet again, round by
+   round, with another centre: in turn the member with most confirmed links and
+   a random one, paired with the members outside its component. Rounds end
+   when two in a row confirm nothing new.
+6. Components by alternating stars.
 
 Two sets below ``1 / (1 - threshold)`` shingles can only be linked if equal,
 which step 2 does exactly; for larger ones the chance that a pair at the
@@ -51,7 +55,8 @@ class Params:
     percent: int = 80        # linked: 100 * intersection >= percent * union
     bins: int = 256          # a power of two
     rows: int = 7            # bins in a band
-    centres: int = 3         # members of a bucket that are paired with all others
+    centres: int = 3         # members of a bucket that are paired with all others at first
+    rounds: int = 20         # further rounds at most
 
     @property
     def bands(self) -> int:
@@ -204,7 +209,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_id
                      .select("doc_id", "n_shingles", "rep",
                              F.when(F.col("rep") == F.col("doc_id"), F.col("bands")).alias("bands")), "classes")
     same = member.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = written(_linked(rows, member, p), "links")
+    links = _linked(rows, member, p)
     parts = components(links.union(same))
     out = sig.select("doc_id", "n_shingles").join(parts, F.col("doc_id") == F.col("id"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
@@ -243,7 +248,31 @@ def _linked(rows: DataFrame, member: DataFrame, p: Params) -> DataFrame:
     wanted = _ids(written(wanted, "wanted"))
     sets = written(rows.join(wanted, rows["doc_id"] == wanted["id"], "left_semi")
                    .mapInArrow(lambda it: _sets(it, p), "id long, shingles binary"), "sets")
-    return _confirmed(pairs, sets, p)
+    links = written(_confirmed(pairs, sets, p), "links")
+    return _further_links(reps.join(wanted, reps["rep"] == wanted["id"], "left_semi"), pairs, links, sets, p)
+
+
+def _further_links(reps: DataFrame, tested: DataFrame, links: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """``links`` with those of further rounds; ``tested`` pairs are not tested again."""
+    member = written(reps.select(F.col("rep").alias("id"), F.explode("bands").alias("key")), "buckets")
+    total, quiet, turn = member.count(), 0, 0
+    while total and quiet < 2 and turn < p.rounds:
+        ends = links.select(F.col("a").alias("id")).union(links.select("b"))
+        known = components(links).join(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "id")
+        chance = F.xxhash64("id", "key", F.lit(turn)).bitwiseAND(F.lit((1 << 24) - 1))
+        rank = chance if turn % 2 else F.shiftleft(F.coalesce("links", F.lit(0)).cast("long"), 24) + chance
+        placed = written(member.join(known, "id", "left").select(
+            "key", "id", F.coalesce("component", "id").alias("part"), rank.alias("rank")), "placed")
+        centre = placed.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"),
+            F.max_by("id", "rank").alias("c"), F.max_by("part", "rank").alias("c_part")).where("lo != hi")
+        met = join_hot(placed, centre.select("key", "n", "c", "c_part"), ["key"], "n", total).where("part != c_part")
+        pairs = met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = written(_confirmed(pairs, sets, p), "links")
+        quiet = 0 if found.count() else quiet + 1
+        tested, links, turn = tested.union(pairs), links.union(found), turn + 1
+    return links
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
