@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from opinari.plans.registry import QUERIES, load_all  # noqa: E402
 from opinari.session import build_session  # noqa: E402
+from opinari.sources.tables import SPREAD  # noqa: E402
 
 HEADLINE = [
     "aspect_summary", "absa_job", "comment_filter", "sentiment_lexicon", "clean_text",
@@ -34,7 +35,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     load_all()
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+                          extra={SPREAD: cpus})  # the tables are one small file each
     run(QUERIES["clean_text"](spark, sf_dir))  # warm-up
     times = {}
     for name in HEADLINE:

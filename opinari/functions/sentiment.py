@@ -30,12 +30,6 @@ def scores_to_label(logit_negative, logit_positive) -> Column:
                     p.alias("p_positive"))
 
 
-def class_probabilities(p_positive) -> Column:
-    """API form of T14: ``map('negative', 1-p, 'positive', p)``."""
-    p = _c(p_positive)
-    return F.create_map(F.lit(CLASS_LABELS[0]), F.lit(1.0) - p, F.lit(CLASS_LABELS[1]), p)
-
-
 def _present(low: Column, words) -> Column:
     n = F.lit(0)
     for w in words:

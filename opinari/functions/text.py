@@ -129,8 +129,8 @@ def tokenize(c) -> Column:
 
 def remove_stopwords(tokens, stopwords=SPARK_ENGLISH_STOPWORDS) -> Column:
     """Drop stop words from a token array, keeping order."""
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(stop, t))
+    # ``isin`` over literals becomes a hash-set test.
+    return F.filter(_c(tokens), lambda t: ~t.isin(*stopwords))
 
 
 def is_english_fallback(c, words=ENGLISH_WORDS) -> Column:

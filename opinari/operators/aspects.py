@@ -18,6 +18,10 @@ from opinari.operators.base import with_columns_once
 from opinari.schemas import require_columns
 
 
+#: Rows of a lexicon table (keyword, aspect) at most.
+MAX_LEXICON = 10_000
+
+
 def add_aspects(df: DataFrame, lexicon: Lexicon, text_col: str = "cleaned_comment",
                 use_context: bool = True) -> DataFrame:
     """``detected_aspects`` array column."""
@@ -56,12 +60,17 @@ def keyword_hits(df: DataFrame, lexicon_df: DataFrame, id_col: str,
                  text_col: str = "cleaned_comment") -> DataFrame:
     """Comment x keyword theta join on substring, long format.
 
-    The lexicon side is configuration (tens of rows, size known before the job),
-    so it is broadcast and the join runs as a broadcast nested loop without any
-    shuffle of the comment table."""
-    low = df.select(id_col, F.lower(F.col(text_col)).alias("_low"))
-    return (low.join(F.broadcast(lexicon_df), F.col("_low").contains(F.col("keyword")))
-            .select(id_col, "aspect", "keyword"))
+    The lexicon is configuration: its rows are read (at most MAX_LEXICON, else
+    ValueError) and become a literal array, whose matching entries each comment
+    lists and explodes. No join, no shuffle of the comment table."""
+    words = lexicon_df.select("aspect", "keyword").limit(MAX_LEXICON + 1).collect()
+    if len(words) > MAX_LEXICON:
+        raise ValueError(f"a lexicon of more than {MAX_LEXICON} rows")
+    rows = df.select(id_col, F.lower(F.col(text_col)).alias("_low"))
+    if not words:
+        return rows.limit(0).select(id_col, F.lit("").alias("aspect"), F.lit("").alias("keyword"))
+    lexicon = F.array(*[F.struct(F.lit(r["aspect"]).alias("aspect"), F.lit(r["keyword"]).alias("keyword")) for r in words])
+    return rows.select(id_col, F.inline(F.filter(lexicon, lambda x: F.col("_low").contains(x["keyword"]))))
 
 
 def aspect_counts(df: DataFrame) -> DataFrame:

@@ -21,14 +21,45 @@ def with_columns_once(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[e.alias(k) for k, e in cols.items()]))))
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Hash-partition a scan that arrives in fewer splits than there are task
-    slots (one small file = one split), so per-row text work runs in parallel.
-
-    On a cluster reading many files the scan already has thousands of splits
-    and this adds no shuffle. Hash partitioning on a key (not round robin)
-    keeps partition contents deterministic when a lost task is recomputed."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key)
+    slots, so per-row text work runs in parallel. The caller decides: it is a
+    shuffle of the whole rows. Hash partitioning on a key (not round robin)
+    keeps partition contents the same when a lost task is recomputed."""
+    return df.repartition(partitions, key)
+
+
+def key_hash(cols) -> tuple[Column, Column]:
+    """128-bit key of some columns as two longs; null is a value of its own."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+    parts = cols + [c.isNull() for c in cols]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
+
+
+#: A key with more rows than total / HOT_SHARE is hot, so at most HOT_SHARE keys are.
+HOT_SHARE = 10_000
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, how: str = "left") -> DataFrame:
+    """Equi-join (``left`` or ``inner``) on a key that may hold a large share of the
+    rows. ``right`` has one row per key and, in ``weight``, the number of left
+    rows with it; ``total`` is the sum over all keys. Keys above
+    ``total / HOT_SHARE`` rows are joined by a broadcast of at most HOT_SHARE
+    rows; the others by a shuffle, in which hot left rows carry a key of their
+    own row, spread evenly and match nothing."""
+    values = [c for c in right.columns if c not in (key, weight)]
+    hot = F.col(weight) > max(1, total // HOT_SHARE)
+    near = right.where(hot).select(key, F.struct(*values).alias("_hot"))
+    far = right.where(~hot).select(F.xxhash64(key).alias("_k"), F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
+    out = left.join(F.broadcast(near), key, "left")
+    own = F.when(F.col("_hot").isNull(), F.xxhash64(key)).otherwise(F.xxhash64(*[F.col(c) for c in left.columns]))
+    out = out.join(far, (own == F.col("_k")) & (F.col(key) == F.col("_key")), "left")
+    found = F.coalesce("_hot", "_cold")
+    if how == "inner":
+        out = out.where(found.isNotNull())
+    return out.select(*left.columns, *[found[v].alias(v) for v in values])
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -1,8 +1,8 @@
 """Duplicate removal, per-group caps, top-k and set operations.
 
-Skew: duplicate removal is a ``groupBy`` with ``min_by`` — a declarative
-aggregate with a map-side partial step — so a text repeated in a third of
-all rows collapses to one row per partition before the shuffle. A window
+Skew: duplicate removal is a ``groupBy`` on a hash of the key with ``min`` of
+the order, with a map-side partial step, so a text repeated in a third of all
+rows collapses to one row per partition before the shuffle. A window
 ``row_number`` over the same key would move all those rows into one task.
 """
 
@@ -11,15 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinari.operators.base import key_hash
+
 
 def dedup_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Keep the first row (lowest ``order_col``) of each key group. Null
-    keys form their own group, as in pandas ``drop_duplicates``."""
-    others = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_first"))
-            .select(*keys, "_first.*")
-            .select(*df.columns))
+    """Keep the first row (lowest ``order_col``, unique inside a group) of each
+    key group. Null keys form their own group, as in pandas
+    ``drop_duplicates``. The group's key is a 128-bit hash, so only longs are
+    aggregated and compared; the rows are met again under (hash, order), which
+    is spread evenly however large a group is."""
+    h1, h2 = key_hash(keys)
+    keyed = df.withColumn("_h1", h1).withColumn("_h2", h2)
+    first = keyed.groupBy("_h1", "_h2").agg(F.min(order_col).alias("_first")) \
+        .select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "_first")
+    same = (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2")) & F.col(order_col).eqNullSafe(F.col("_first"))
+    return keyed.join(first, same, "left_semi").drop("_h1", "_h2")
 
 
 def cap_per_group(df: DataFrame, group_col: str, order_col: str, n: int) -> DataFrame:

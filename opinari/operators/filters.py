@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import ANALYSIS_TYPES, DEFAULT_THRESHOLDS, Lexicon, Thresholds
 from opinari.functions import text as tx
-from opinari.operators.base import with_columns_once
+from opinari.operators.base import join_hot, with_columns_once
 from opinari.schemas import require_columns
 
 
@@ -51,11 +51,6 @@ def comment_filter(df: DataFrame, text_col: str = "value",
     return out.filter(F.length("cleaned_comment") > 0)
 
 
-def normalise_ratings(df: DataFrame, col: str = "rating") -> DataFrame:
-    """P4 + P8 + P9 on the rating column: NA tokens and non-numbers → 0.0."""
-    return df.withColumn(col, tx.rating_or_zero(tx.na_normalise(F.col(col))))
-
-
 def request_rule_failures(df: DataFrame, text_col: str, request_col: str,
                           thresholds: Thresholds = DEFAULT_THRESHOLDS,
                           extra_rules: dict[str, Column] | None = None) -> DataFrame:
@@ -64,8 +59,9 @@ def request_rule_failures(df: DataFrame, text_col: str, request_col: str,
     Rules: text not blank, text at most ``max_comment_chars`` long, and at most
     ``max_request_comments`` texts per request. The per-request count is a
     partial aggregate (map-side combined, so a request holding a third of all
-    rows costs one row per partition in the shuffle) joined back on the key;
-    a window over the request would put a hot request into one task.
+    rows costs one row per partition in the shuffle) joined back on the key,
+    hot requests by broadcast; a window over the request would put a hot
+    request into one task.
     ``extra_rules`` adds user rules (F3): name → Column that is true on failure.
     """
     sizes = df.groupBy(request_col).agg(F.count(F.lit(1)).alias("_request_size"))
@@ -78,21 +74,18 @@ def request_rule_failures(df: DataFrame, text_col: str, request_col: str,
     rules.update(extra_rules or {})
     failed = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]),
                       lambda x: x.isNotNull())
-    return (df.join(sizes, request_col, "left")
+    sizes = sizes.withColumn("_weight", F.col("_request_size"))
+    return (join_hot(df, sizes, request_col, "_weight", df.count())
             .withColumn("failed_rules", failed)
             .withColumn("is_valid", F.size("failed_rules") == 0)
             .drop("_request_size"))
 
 
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows and quarantine rows of a rule-checked table."""
-    return df.filter("is_valid"), df.filter(~F.col("is_valid"))
-
-
 def aspect_request_failures(df: DataFrame, aspects_col: str, type_col: str,
-                            lexicon: Lexicon) -> DataFrame:
+                            lexicon: Lexicon, extra_rules: dict[str, Column] | None = None) -> DataFrame:
     """Requested aspects must be known and, if given, not empty; the
-    analysis type must be one of sentiment / absa / both."""
+    analysis type must be one of sentiment / absa / both. ``extra_rules`` adds
+    user rules (F3): name → Column that is true on failure."""
     known = F.array(*[F.lit(n) for n in lexicon.names])
     req = F.col(aspects_col)
     rules = [
@@ -100,6 +93,7 @@ def aspect_request_failures(df: DataFrame, aspects_col: str, type_col: str,
         F.when(req.isNotNull() & (F.size(F.array_except(req, known)) > 0), F.lit("unknown_aspect")),
         F.when(~F.coalesce(F.col(type_col).isin(list(ANALYSIS_TYPES)), F.lit(False)),
                F.lit("unknown_analysis_type")),
+        *[F.when(cond, F.lit(name)) for name, cond in (extra_rules or {}).items()],
     ]
     failed = F.filter(F.array(*rules), lambda x: x.isNotNull())
     return (df.withColumn("unknown_aspects", F.array_except(F.coalesce(req, F.array().cast("array<string>")), known))

@@ -2,24 +2,22 @@
 model, and the English fallback check (T8).
 
 Training is one aggregate: explode trigrams of labelled texts and count them
-per ``(lang, gram)``. Detection explodes each text's trigrams, joins them
-with the profile on the gram (broadcast when the fitted profile's row count
-is under a fixed bound, else a shuffle join of per-text counts), sums the
-smoothed log-likelihoods per ``(text, lang)`` and takes the best language
-with ``max_by``:
+per ``(lang, gram)``, then one row per gram with a column per language.
+Detection explodes each text's trigrams, joins them with the profile on the
+gram, sums one smoothed log-likelihood column per language over each text and
+takes the best language by comparing the sums:
 
     score(d, L) = log P(L) - T_d * log(N_L + V) + sum_g n(d, g) * log(c(L, g) + 1)
 
 where ``T_d`` is the number of trigrams of ``d``, ``N_L`` the trigram total of
 ``L``, ``V`` the number of distinct grams and ``c`` the profile count; grams a
-language never saw contribute only the smoothing term. Every step is a
-partial aggregate or an equi-join on the gram, so hot grams (``" th"``) are
-combined map-side and AQE handles any remaining skew. Texts under 10
+language never saw contribute only the smoothing term. Texts under 10
 non-blank characters are ``unknown``, as in the reference.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 
 from opinari.functions import text as tx
 from opinari.operators.base import with_columns_once
-from opinari.session import shared_dir
+from opinari.session import scratch_path
 
 
 def normalised(c) -> Column:
@@ -52,42 +50,40 @@ def _gram_rows(df: DataFrame, key_col: str, text_col: str) -> DataFrame:
     return norm.select(key_col, F.explode(trigrams("_norm")).alias("gram"))
 
 
-# A fitted profile up to this many (gram, lang) rows is broadcast to the
-# detection tasks (~50 bytes a row: at most ~100 MB). Trigram profiles
-# saturate with the alphabet (25k rows for four languages at sf0.1); a larger
-# one takes the shuffle join.
-PROFILE_BROADCAST_ROWS = 2_000_000
+#: A profile up to this many grams is marked for broadcast (a row has 8 bytes
+#: per language); trigram profiles saturate with the alphabet.
+PROFILE_BROADCAST_GRAMS = 1_000_000
+#: Languages of a model at most: each is a column of the profile.
+MAX_LANGUAGES = 200
 
 
 @dataclass
 class TrigramModel:
-    profile: DataFrame      # gram, lang, log_c   (log(c + 1))
-    languages: DataFrame    # lang, log_prior, log_norm   (one row per language)
-    profile_rows: int = PROFILE_BROADCAST_ROWS + 1
+    profile: DataFrame                    # gram, l0, l1, ...   (log(c + 1), null where never seen)
+    languages: list[tuple]                # (lang, log_prior, log_norm) in column order
+    grams: int
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TrigramModel:
-    """Fit the profile from a labelled table. Like a Spark ML ``fit`` this
-    runs small jobs for the model's scalars (distinct gram count, profile
-    rows, labelled-document total); the profile itself stays a distributed
-    table."""
-    labelled = df.filter(F.col(lang_col).isNotNull())
-    grams = _gram_rows(labelled.select(F.col(lang_col).alias("lang"), text_col), "lang", text_col)
-    # The fitted profile is read several times; materialise it once in the
-    # shared checkpoint folder (it is the model).
-    shared_dir(df.sparkSession)
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    sizes = counts.agg(F.count_distinct("gram").alias("v"), F.count(F.lit(1)).alias("rows")).first()
-    v, rows = sizes["v"] or 0, sizes["rows"]
-    per_lang = counts.groupBy("lang").agg(F.sum("c").alias("n_l"))
-    docs = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-    all_docs = labelled.count()
-    langs = per_lang.join(docs, "lang").select(
-        "lang",
-        F.log(F.col("docs") / F.lit(float(all_docs))).alias("log_prior"),
-        F.log(F.col("n_l") + F.lit(float(v))).alias("log_norm"))
-    profile = counts.select("gram", "lang", F.log(F.col("c") + 1.0).alias("log_c"))
-    return TrigramModel(profile, langs, rows)
+    """Fit the profile from a labelled table: one pass counts, the counts are
+    written once to the shared folder, and the model's scalars (one row per
+    language) come from them."""
+    spark = df.sparkSession
+    labelled = df.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text_col)
+    path = scratch_path(spark, "trigrams")
+    _gram_rows(labelled, "lang", text_col).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    docs = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1))).limit(MAX_LANGUAGES + 1).collect()}
+    if len(docs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    totals = counts.groupBy("lang").agg(F.sum("c")).collect()
+    grams = counts.agg(F.count_distinct("gram")).first()[0]
+    n = sum(docs.values())
+    languages = sorted((lang, math.log(docs[lang] / n), math.log(c + grams)) for lang, c in totals)
+    profile = counts.groupBy("gram").agg(*[
+        F.max(F.when(F.col("lang") == lang, F.log(F.col("c") + 1.0))).alias(f"l{i}")
+        for i, (lang, _, _) in enumerate(languages)]) if languages else counts.select("gram").distinct()
+    return TrigramModel(profile, languages, grams)
 
 
 def detect_ids(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
@@ -97,31 +93,23 @@ def detect_ids(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
 
     Candidates are the languages that share at least one trigram with the
     text; a text sharing none (or under ``min_chars`` non-blank characters)
-    is ``unknown``. ``T_d`` is the size of the text's trigram array; the
-    short-text flag rides along as a grouping key. With a profile under
-    ``PROFILE_BROADCAST_ROWS`` each trigram occurrence meets the broadcast
-    profile where it is produced and partial sums per ``(text, lang)`` are
-    all that is shuffled; a larger profile is joined by gram after counting
-    each text's grams (AQE splits hot grams)."""
+    is ``unknown``. Each trigram occurrence meets the profile, marked for
+    broadcast while it is small, and one sum per language and text is all
+    that is shuffled after that. Equal scores go to the later language name."""
     short = F.length(tx.strip_ws(F.coalesce(F.col(text_col), F.lit("")))) < min_chars
     norm = with_columns_once(df.select(id_col, short.alias("_short"), text_col),
                              _grams=trigrams_of(normalised(text_col)))
-    keys = [id_col, "_short", "_t"]
-    occ = norm.select(id_col, "_short", F.size("_grams").alias("_t"),
-                      F.explode_outer("_grams").alias("gram"))
-    if model.profile_rows <= PROFILE_BROADCAST_ROWS:
-        hits = occ.join(F.broadcast(model.profile), "gram", "left").select(*keys, "lang", "log_c")
-    else:
-        per_doc = occ.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("_n"))
-        hits = per_doc.join(model.profile, "gram", "left").select(
-            *keys, "lang", (F.col("_n") * F.col("log_c")).alias("log_c"))
-    per_lang = hits.groupBy(*keys, "lang").agg(F.sum("log_c").alias("hit"))
-    # ``languages`` has one row per label value: a bounded broadcast.
-    scored = per_lang.join(F.broadcast(model.languages), "lang", "left").select(
-        *keys, "lang", (F.col("log_prior") - F.col("_t") * F.col("log_norm") + F.col("hit")).alias("score"))
-    best = scored.groupBy(*keys).agg(F.max_by("lang", "score").alias("_best"))
-    return best.select(id_col, F.when(F.col("_short") | F.col("_best").isNull(), F.lit("unknown"))
-                       .otherwise(F.col("_best")).alias(out_col))
+    occ = norm.select(id_col, "_short", F.explode_outer("_grams").alias("gram"))
+    profile = F.broadcast(model.profile) if model.grams <= PROFILE_BROADCAST_GRAMS else model.profile
+    sums = occ.join(profile, "gram", "left").groupBy(id_col, "_short").agg(
+        F.count("gram").alias("_t"), *[F.sum(f"l{i}").alias(f"s{i}") for i in range(len(model.languages))])
+    if not model.languages:
+        return sums.select(id_col, F.lit("unknown").alias(out_col))
+    scores = F.array(*[F.when(F.col(f"s{i}").isNotNull(), F.struct(
+        (F.lit(prior) - F.col("_t") * F.lit(norm_) + F.col(f"s{i}")).alias("score"), F.lit(lang).alias("lang")))
+        for i, (lang, prior, norm_) in enumerate(model.languages)])
+    best = F.array_max(F.array_compact(scores))["lang"]
+    return sums.select(id_col, F.when(F.col("_short") | best.isNull(), F.lit("unknown")).otherwise(best).alias(out_col))
 
 
 def detect(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,

@@ -11,12 +11,13 @@ occurs as a token somewhere in the table, and the shortest known form wins
 3. candidates per vocabulary token, semi-joined with the vocabulary, reduced
    with ``min_by`` to one lemma per token; only tokens whose lemma differs
    are kept;
-4. join those with each text's distinct tokens (AQE splits a hot token's
-   partition, or broadcasts the changed tokens when their measured size is
-   small) and collect one replacement map per text (bounded by that text's
-   distinct tokens);
+4. join those with each text's distinct tokens (hot tokens by broadcast, see
+   ``join_hot``) and collect one replacement map per text (bounded by that
+   text's distinct tokens);
 5. join the map back by id and apply it to the token array in place, so
    token positions are never shuffled.
+
+The tokens are written once, beside their id, to the shared folder.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from opinari.config import NOUN_SUFFIX_RULES, SPARK_ENGLISH_STOPWORDS, CleaningConfig
 from opinari.functions import text as tx
-from opinari.operators.base import with_columns_once
-from opinari.session import shared_dir
+from opinari.operators.base import join_hot, with_columns_once
+from opinari.session import scratch_path
 
 
 def candidate_forms(token) -> F.Column:
@@ -41,25 +42,29 @@ def candidate_forms(token) -> F.Column:
 
 
 def lemma_map(tokens: DataFrame, token_col: str = "token") -> DataFrame:
-    """Vocabulary → lemma mapping ``(token, lemma)`` from a long token table."""
-    vocab = tokens.select(F.col(token_col).alias("token")).distinct()
-    cands = (vocab.select("token", F.posexplode(candidate_forms("token")).alias("idx", "cand"))
+    """Vocabulary → lemma mapping ``(token, lemma, n)`` from a long token table; ``n`` is
+    the token's number of rows."""
+    vocab = tokens.groupBy(F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    cands = (vocab.select("token", "n", F.posexplode(candidate_forms("token")).alias("idx", "cand"))
              .filter(F.col("cand").isNotNull() & (F.length("cand") > 0)))
     known = cands.join(vocab.select(F.col("token").alias("cand")), "cand", "left_semi")
-    return known.groupBy("token").agg(
-        F.min_by("cand", F.length("cand") * 100 + F.col("idx")).alias("lemma"))
+    # The least (length, rule) decides, as a number; the form follows from the rule.
+    best = known.groupBy("token", "n").agg(F.min(F.length("cand") * 100 + F.col("idx")).alias("_rank"))
+    return best.select("token", F.element_at(candidate_forms("token"), (F.col("_rank") % 100 + 1).cast("int")).alias("lemma"), "n")
 
 
 def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemmas") -> DataFrame:
     """Replace each token of ``tokens_col`` with its lemma; the result is
-    an array in the original order. Rows with no tokens get ``[]``.
-
-    Token positions never move: each text's distinct tokens are joined with
-    the tokens whose lemma differs, giving a small per-text replacement map
-    that is joined back by id and applied in place."""
+    an array in the original order. Rows with no tokens get ``[]``. ``id_col``
+    must be unique."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "tokens")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
     per_doc = df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
+    total = df.agg(F.coalesce(F.sum(F.size(F.array_distinct(tokens_col))), F.lit(0))).first()[0]
     changed = lemma_map(per_doc).filter(F.col("lemma") != F.col("token"))
-    repl = (per_doc.join(changed, "token")
+    repl = (join_hot(per_doc, changed, "token", "n", total, "inner")
             .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_m")))
     toks = F.col(tokens_col)
     lem = F.when(F.col("_m").isNull(), toks).otherwise(
@@ -91,10 +96,7 @@ def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_c
     if config.remove_stopwords:
         d = drop_stopwords(d, "_toks")
     if config.lemmatize:
-        # The lemma job reads the token table three times (vocabulary,
-        # positions, join back); materialise it once in the shared checkpoint
-        # folder so the regex chain runs once and lineage is cut.
-        shared_dir(d.sparkSession)
-        d = d.checkpoint(eager=True)
-        d = lemmatize(d, id_col, "_toks", "_lem").drop("_toks").withColumnRenamed("_lem", "_toks")
-    return d.withColumn(out_col, F.array_join("_toks", " ")).drop("_toks")
+        # Only ids and tokens are written and joined; the other columns meet them by id.
+        lemmas = lemmatize(d.select(id_col, "_toks"), id_col, "_toks", "_lem").select(id_col, "_lem")
+        d = df.join(lemmas.withColumnRenamed("_lem", "_toks"), id_col, "left")
+    return d.select(*df.columns, F.array_join("_toks", " ").alias(out_col))

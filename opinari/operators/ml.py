@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS
 from opinari.functions import text as tx
+from opinari.operators.base import join_hot
 
 
 def split_bucket(id_col: str) -> Column:
@@ -93,19 +94,43 @@ def evaluate(model: PipelineModel, test: DataFrame, label_col: str = "label") ->
 
 
 def select_model(train: DataFrame, validation: DataFrame, reg_params=(0.0, 0.01, 0.1),
-                 max_iter: int = 20) -> DataFrame:
-    """M4: fit one model per candidate, score each on the validation split by
-    weighted F1 and flag the best (highest F1, then smallest regParam). One
-    metric row per candidate reaches the driver."""
-    rows = None
-    for rp in reg_params:
-        m = weighted_metrics(train_classifier(train, rp, max_iter).transform(validation))
-        m = m.withColumn("reg_param", F.lit(float(rp)))
-        rows = m if rows is None else rows.unionByName(m)
-    best = rows.orderBy(F.desc("f1_score"), "reg_param").limit(1).select(
-        F.col("reg_param").alias("_best"))
-    return rows.join(best, F.col("reg_param") == F.col("_best"), "left") \
-        .withColumn("is_best", F.col("_best").isNotNull()).drop("_best")
+                 max_iter: int = 20) -> tuple[PipelineModel, DataFrame]:
+    """M4: the features are fitted once; one regression per candidate is fitted on
+    them and scored on the validation split by weighted F1. Returns the best
+    model (highest F1, then smallest regParam) as a pipeline from raw text, and
+    one metric row per candidate with ``is_best``. One row per candidate
+    reaches the driver."""
+    features = Pipeline(stages=text_features()).fit(train)
+    seen, held = features.transform(train), features.transform(validation)
+    best, rows = None, []
+    for rp in sorted(reg_params):
+        lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=rp, maxIter=max_iter).fit(seen)
+        m = weighted_metrics(lr.transform(held)).withColumn("reg_param", F.lit(float(rp)))
+        rows.append((m.schema, m.first()))
+        if best is None or (rows[-1][1]["f1_score"] or 0.0) > (best[1]["f1_score"] or 0.0):
+            best = (lr, rows[-1][1])
+    spark = train.sparkSession
+    metrics = spark.createDataFrame([r for _, r in rows], rows[0][0]) \
+        .withColumn("is_best", F.col("reg_param") == float(best[1]["reg_param"]))
+    return PipelineModel(stages=[*features.stages, best[0]]), metrics
+
+
+def tfidf_rows(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """M2 as a relation: ``(id, term, tf, idf)`` with Spark ML's weights,
+    ``idf = ln((rows + 1) / (rows with the term + 1))``, over plain terms instead
+    of hashed ones. The document frequencies are a partial aggregate; hot terms
+    meet them by broadcast."""
+    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), rf"[^{tx.WORD}]+"), lambda t: t != "")
+    terms = df.select(id_col, F.explode(tokens).alias("term")).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    freq = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n, total = df.count(), terms.count()
+    weights = freq.select("term", "df", F.log((F.lit(float(n)) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+    return join_hot(terms, weights, "term", "df", total).select(id_col, "term", "tf", "idf")
+
+
+def with_updated(metrics: DataFrame) -> DataFrame:
+    """A22's ``last_updated``, set when the metrics are written."""
+    return metrics.withColumn("last_updated", F.current_timestamp())
 
 
 def aspect_training_rows(df: DataFrame, aspects_col: str = "detected_aspects") -> DataFrame:

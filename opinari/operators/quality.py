@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS, QUALITY_RULES, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
+from opinari.operators.base import key_hash
 
 
 def _median(c: Column, exact: bool) -> Column:
@@ -154,18 +155,24 @@ def quality_score(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFram
 
 
 def validate_extraction(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Extraction check; all failed rules are listed (the reference keeps
-    only the last message)."""
-    required = ["boardgame_id", "username", "rating", "value", "cleaned_comment"]
+    """Extraction check; the names of all failed rules are listed (the
+    reference keeps only the last message). A missing required column is a
+    failed rule, and what would be counted in it is null."""
+    required = ["game_id", "username", "rating", "value", "cleaned_comment"]
     has_req = all(c in df.columns for c in required)
+
+    def of(col: str, agg: Column, kind: str) -> Column:
+        return agg if col in df.columns else F.lit(None).cast(kind)
+
     agg = df.agg(F.count(F.lit(1)).alias("total_comments"),
-                 F.count_distinct("boardgame_id").alias("unique_games"),
-                 F.count_if(F.col("cleaned_comment").isNull()).alias("empty_comments"),
-                 F.avg(F.length("cleaned_comment")).alias("avg_comment_length"))
+                 of("game_id", F.count_distinct("game_id"), "long").alias("unique_games"),
+                 of("cleaned_comment", F.count_if(F.col("cleaned_comment").isNull()), "long").alias("empty_comments"),
+                 of("cleaned_comment", F.avg(F.length("cleaned_comment")), "double").alias("avg_comment_length"))
     errors = F.array_remove(F.array(
-        F.when(F.col("total_comments") < t.min_extraction_rows, F.lit("Insufficient data extracted")).otherwise(""),
+        F.lit("" if has_req else "missing_columns"),
+        F.when(F.col("total_comments") < t.min_extraction_rows, F.lit("too_few_rows")).otherwise(""),
         F.when(F.col("empty_comments") > F.col("total_comments") * t.max_missing_share,
-               F.lit("Too many empty comments")).otherwise("")), "")
+               F.lit("too_many_empty")).otherwise("")), "")
     return agg.select("*", F.lit(has_req).alias("has_required_columns"), errors.alias("errors"),
                       (F.size(errors) == 0).alias("is_valid"))
 
@@ -179,10 +186,8 @@ def validate_cleaned(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataF
                  F.count_distinct("game_id").alias("unique_games"))
     has_meta = "cleaned_at" in df.columns and "comment_length" in df.columns
     warnings = F.array_remove(F.array(
-        F.when(F.col("empty_comments") > 0,
-               F.concat(F.col("empty_comments").cast("string"), F.lit(" empty comments found"))).otherwise(""),
-        F.when(F.col("avg_comment_length") < t.short_mean_length,
-               F.lit("Average comment length is very short")).otherwise("")), "")
+        F.when(F.col("empty_comments") > 0, F.lit("empty_comments")).otherwise(""),
+        F.when(F.col("avg_comment_length") < t.short_mean_length, F.lit("short_mean_length")).otherwise("")), "")
     return agg.select("*", F.lit(has_meta).alias("has_metadata"), warnings.alias("warnings"),
                       F.lit(True).alias("is_valid"))
 
@@ -203,11 +208,12 @@ def cleaning_report(original: DataFrame, cleaned: DataFrame, col: str = "cleaned
 def table_profile(df: DataFrame) -> DataFrame:
     """A15 in long format: one row per column with its type, null count and
     null %, plus table rows, column count and duplicate rows. Duplicates are
-    counted with one ``groupBy`` over all columns (partial aggregation first)."""
+    counted by a 128-bit hash of the row (partial aggregation first)."""
     cols = df.columns
     nulls = df.agg(F.count(F.lit(1)).alias("_rows"),
                    *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)])
-    dups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k"))
+    h1, h2 = key_hash(cols)
+    dups = (df.select(h1.alias("_h1"), h2.alias("_h2")).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_k"))
             .agg(F.sum(F.col("_k") - 1).alias("_dups")))
     one = combine_rows(nulls, dups)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -225,10 +231,12 @@ def language_distribution(df: DataFrame, col: str = "detected_language") -> Data
 
 
 def quality_metric_rows(spark: SparkSession, df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS,
-                        rules=QUALITY_RULES) -> DataFrame:
+                        rules=QUALITY_RULES, extra_metrics: dict[str, Column] | None = None) -> DataFrame:
     """Metric, value, threshold, good/warning/error. The metrics come
     from one aggregate, are stacked to long format and joined with the rule
-    table (one row per rule: a bounded broadcast)."""
+    table (one row per rule: a bounded broadcast). ``extra_metrics`` (F3) adds
+    metrics by name, as aggregates; ``rules`` may judge them."""
+    extra = extra_metrics or {}
     n = F.count(F.lit(1))
     ln = F.length("cleaned_comment")
     agg = df.agg(
@@ -237,9 +245,9 @@ def quality_metric_rows(spark: SparkSession, df: DataFrame, t: Thresholds = DEFA
         F.try_divide(F.count_if(ln < t.min_comment_length), n).alias("short_ratio"),
         F.avg("sentiment_confidence").alias("avg_confidence"),
         F.try_divide(F.count_if(F.col("sentiment_confidence") < t.low_confidence), n).alias("low_confidence_ratio"),
-        quality_score_expr(df, t).alias("quality_score"))
+        quality_score_expr(df, t).alias("quality_score"), *[c.alias(name) for name, c in extra.items()])
     names = ["avg_length", "empty_ratio", "short_ratio", "avg_confidence", "low_confidence_ratio",
-             "quality_score"]
+             "quality_score", *extra]
     stack = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in names)
     long = agg.select(F.expr(f"stack({len(names)}, {stack}) AS (metric_name, value)"))
     rule_df = spark.createDataFrame([(r.metric_name, float(r.threshold), r.higher_is_better, float(r.warn_margin))
@@ -257,13 +265,16 @@ def _tag(arr: Column, prefix: str) -> Column:
     return F.transform(arr, lambda x: F.concat(F.lit(prefix), x))
 
 
-def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: bool = True,
+                   top_words: int = 10) -> DataFrame:
     """The combined report as a long table ``(section, metric, value)``.
 
-    Two passes over the table: one wide aggregate for every scalar metric
-    (A1, A2, A6, A7, text counts of A3/A4, aspect total), then one tagged
-    explode of characters, words and aspects. Each part would otherwise
-    re-read and re-clean the table on its own."""
+    One wide aggregate for every scalar metric (A1, A2, A6, A7, text counts of
+    A3/A4, aspect total), and one tagged explode of characters, words, aspects
+    and aspects by sentiment (A3, A4, A5, A8, A9). Each part would otherwise
+    re-read and re-clean the table on its own. ``exact=False`` takes
+    approximate medians, whose state is bounded; the exact ones hold every
+    distinct length and confidence."""
     text = "cleaned_comment"
     c = F.col(text)
     nn = c.isNotNull()
@@ -272,7 +283,7 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
     metrics: list[tuple[str, str, Column]] = [
         ("text", "total_texts", F.count_if(nn)),
         ("text", "avg_length", F.avg(ln)),
-        ("text", "median_length", F.median(ln)),
+        ("text", "median_length", _median(ln, exact)),
         ("text", "min_length", F.min(ln)),
         ("text", "max_length", F.max(ln)),
         ("text", "empty_texts", F.count_if(ln == 0)),
@@ -290,7 +301,7 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
     if "sentiment_confidence" in df.columns:
         conf = F.col("sentiment_confidence")
         metrics += [("confidence", "avg_confidence", F.avg(conf)),
-                    ("confidence", "median_confidence", F.median(conf)),
+                    ("confidence", "median_confidence", _median(conf, exact)),
                     ("confidence", "low_confidence_count", F.count_if(conf < t.low_confidence)),
                     ("confidence", "high_confidence_count", F.count_if(conf > t.high_confidence))]
     if "detected_aspects" in df.columns:
@@ -300,14 +311,17 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
     # Second pass: distinct characters (c), words (w) and aspects (a) of every
     # row, tagged by a one-letter prefix, in one explode and one grouped count
     # (partial counts map-side). Aspect counts leave the aggregate as one
-    # list (at most one entry per lexicon aspect), so the grouped items have
-    # a single consumer and the table is read exactly twice.
+    # list (at most one entry per lexicon aspect and label). The most frequent
+    # words are taken from the same grouped items, whose exchange is reused.
     empty = F.array().cast("array<string>")
     lists = [_tag(F.when(nn, F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?s)(.)"), 1)))
                   .otherwise(empty), "c"),
              _tag(F.when(nn, tx.words(c)).otherwise(empty), "w")]
     if "detected_aspects" in df.columns:
-        lists.append(_tag(F.coalesce(F.col("detected_aspects"), empty), "a"))
+        found = F.coalesce(F.col("detected_aspects"), empty)
+        lists.append(_tag(found, "a"))
+        if "sentiment" in df.columns:
+            lists.append(F.transform(found, lambda x: F.concat(F.lit("a"), x, F.lit("_"), F.col("sentiment"))))
     items = (df.select(F.explode(F.concat(*lists)).alias("it"))
              .groupBy("it").agg(F.count(F.lit(1)).alias("n")))
     kind = F.substring("it", 1, 1)
@@ -344,4 +358,6 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFra
         out = F.concat(out, F.transform(F.coalesce(F.col("asp"), F.array()), lambda x: F.struct(
             F.lit("absa").alias("section"), F.concat(F.lit("aspect_"), x["a"]).alias("metric"),
             x["n"].cast("double").alias("value"))))
-    return row.select(F.inline(out))
+    words = items.filter(kind == "w").orderBy(F.desc("n"), "it").limit(top_words).select(
+        F.lit("top_words").alias("section"), F.expr("substring(it, 2)").alias("metric"), F.col("n").cast("double").alias("value"))
+    return row.select(F.inline(out)).union(words)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from opinari.config import CLASS_LABELS, LexiconScorer
 from opinari.functions import sentiment as fs
 from opinari.functions import text as tx
+from opinari.operators.base import join_hot, with_columns_once
 from opinari.schemas import SCORE, require_columns
 
 
@@ -52,7 +53,8 @@ def score_ml(df: DataFrame, model, text_col: str = "cleaned_comment") -> DataFra
              .when(p[1] > p[0], F.lit(CLASS_LABELS[1])).otherwise(F.lit(CLASS_LABELS[0])))
     conf = F.when(blank, F.lit(0.0)).otherwise(F.greatest(p[0], p[1]))
     keep = [F.col("_orig_text").alias("text") if c == "text" else F.col(c) for c in df.columns]
-    return out.select(*keep, label.alias("sentiment"), conf.alias("sentiment_confidence"))
+    return with_columns_once(out.select(*keep, F.struct(label.alias("l"), conf.alias("c")).alias("_r")),
+                             sentiment=F.col("_r.l"), sentiment_confidence=F.col("_r.c")).drop("_r")
 
 
 def model_scorer_udf(load_model: Callable[[], Callable[[list[str]], list[tuple[str, float]]]]):
@@ -87,30 +89,35 @@ def model_scorer_udf(load_model: Callable[[], Callable[[list[str]], list[tuple[s
 
 
 def score_with_model(df: DataFrame, udf, text_col: str = "cleaned_comment") -> DataFrame:
-    return (df.withColumn("_s", udf(F.col(text_col)))
-            .withColumn("sentiment", F.col("_s.sentiment"))
-            .withColumn("sentiment_confidence", F.col("_s.sentiment_confidence"))
-            .drop("_s"))
+    """The model runs once per row; filters on its columns stay above it."""
+    out = with_columns_once(df, _s=udf(F.col(text_col)))
+    return out.select(*df.columns, "_s.sentiment", "_s.sentiment_confidence")
 
 
 def score_distinct(df: DataFrame, score_fn: Callable[[DataFrame, str], DataFrame],
                    text_col: str = "cleaned_comment") -> DataFrame:
     """Score every distinct text once and spread the result to all rows.
 
-    ``dropDuplicates`` aggregates map-side first, so a text repeated in a third
-    of all rows shrinks to one row per partition before the shuffle; the
-    expensive scorer then sees each text once. The join back is on the MD5 key.
-    Catalyst does not dedupe UDF calls by value, so this is an explicit plan
-    choice for costly scorers (for the lexicon scorer it is not needed)."""
+    Grouping aggregates map-side first, so a text repeated in a third of all
+    rows shrinks to one row per partition before the shuffle; the expensive
+    scorer then sees each text once. The join back is on the MD5 key, with hot
+    texts by broadcast (``join_hot``). Null texts have no key and are
+    ``('unknown', 0.0)``. Catalyst does not dedupe UDF calls by value, so this is
+    an explicit plan choice for costly scorers (for the lexicon scorer it is not
+    needed)."""
     keyed = df.withColumn("text_key", tx.text_key(F.col(text_col)))
-    distinct = keyed.select("text_key", text_col).dropDuplicates(["text_key"])
-    scores = score_fn(distinct, text_col).select("text_key", "sentiment", "sentiment_confidence")
-    return keyed.join(scores, "text_key", "left")
+    counts = keyed.where(F.col("text_key").isNotNull()).groupBy("text_key", text_col).agg(F.count(F.lit(1)).alias("_rows"))
+    scores = score_fn(counts, text_col).select("text_key", "_rows", "sentiment", "sentiment_confidence")
+    out = join_hot(keyed, scores, "text_key", "_rows", df.count())
+    none = F.col("text_key").isNull()
+    return out.withColumn("sentiment", F.when(none, F.lit("unknown")).otherwise(F.col("sentiment"))) \
+        .withColumn("sentiment_confidence", F.when(none, F.lit(0.0)).otherwise(F.col("sentiment_confidence")))
 
 
 def unscored(df: DataFrame, scores: DataFrame, text_col: str = "cleaned_comment") -> DataFrame:
-    """Rows whose text has no score yet (anti join on the text key)."""
-    keyed = df.withColumn("text_key", tx.text_key(F.col(text_col)))
+    """Rows whose text has no score yet (anti join on the text key); null
+    texts need none."""
+    keyed = df.where(F.col(text_col).isNotNull()).withColumn("text_key", tx.text_key(F.col(text_col)))
     return keyed.join(scores.select("text_key"), "text_key", "left_anti")
 
 
@@ -125,7 +132,7 @@ def incremental_scores(df: DataFrame, scores: DataFrame,
                        text_col: str = "cleaned_comment") -> DataFrame:
     """J3 then score: new ``(text_key, sentiment, sentiment_confidence)`` rows
     to append to the score table."""
-    new = unscored(df, scores, text_col).select("text_key", text_col).dropDuplicates(["text_key"])
+    new = unscored(df, scores, text_col).select("text_key", text_col).distinct()
     return score_fn(new, text_col).select("text_key", "sentiment", "sentiment_confidence")
 
 

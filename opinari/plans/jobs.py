@@ -4,6 +4,8 @@ collected to the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from opinari.config import (DEFAULT_THRESHOLDS, FIXTURE_LEXICON, FIXTURE_SCORER,
 from opinari.functions import text as tx
 from opinari.operators import aspects as ops_aspects
 from opinari.operators import filters
+from opinari.operators.base import with_columns_once
+from opinari.operators.dedup import dedup_first
+from opinari.operators.lemma import deep_clean
 from opinari.operators.sentiment import score_lexicon
 
 
@@ -61,28 +66,29 @@ def batch_inference(df: DataFrame, analysis_type: str, lexicon: Lexicon = FIXTUR
     return out.withColumn("model_version", F.lit(model_version))
 
 
-def clean_job(comments: DataFrame, config: CleaningConfig = CleaningConfig(),
-              thresholds: Thresholds = DEFAULT_THRESHOLDS, detect=None) -> DataFrame:
-    """The ETL cleaning job (daily DAG's clean step), in the reference order:
-    W1 duplicates (before cleaning) → T4 deep clean → P3b length range →
-    language (``detect`` = a function adding ``detected_language``; T8 fallback
-    when None) → P6 → P5 → P7 → P8/P9 → P10 metadata."""
-    from opinari.operators.dedup import dedup_first
-    from opinari.operators.lemma import deep_clean
+def light_clean(comments: DataFrame, text_col: str = "value") -> DataFrame:
+    """The extractor's table: T3 text in ``cleaned_comment``; empty text is
+    missing, as after a CSV round trip."""
+    out = with_columns_once(comments, cleaned_comment=tx.clean_text_tags(F.col(text_col)))
+    return out.withColumn("cleaned_comment", F.when(F.col("cleaned_comment") != "", F.col("cleaned_comment")))
+
 
-    d = dedup_first(comments, ["game_id", "value"], "comment_id")
-    d = deep_clean(d, "value", "cleaned_comment", "comment_id", config)
+def clean_job(comments: DataFrame, detect: Callable[[DataFrame], DataFrame] | None = None,
+              config: CleaningConfig = CleaningConfig(), thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """The ETL cleaning job (daily DAG's clean step), in the reference order, on
+    light-cleaned text (T3): W1 duplicates of (game, T3 text) → T4 deep clean
+    of the T3 text → P3b length range → language of the cleaned text → P6 → P5
+    → P7 → P8/P9 → P10 metadata. ``detect`` adds ``detected_language`` from
+    ``cleaned_comment`` (T9); it is needed unless no language is asked for."""
+    if config.supported_languages and detect is None:
+        raise ValueError("a language filter needs a language detector")
+    d = dedup_first(light_clean(comments), ["game_id", "cleaned_comment"], "comment_id")
+    d = d.drop("value").withColumnRenamed("cleaned_comment", "_light")
+    d = deep_clean(d, "_light", "cleaned_comment", "comment_id", config).drop("_light")
     d = filters.length_range(d, "cleaned_comment", thresholds.clean_min_length,
                              thresholds.clean_max_length)
     if config.supported_languages:
-        if detect is None:
-            d = d.withColumn("detected_language",
-                             F.when(F.length(F.trim("cleaned_comment")) < 10, F.lit("unknown"))
-                             .when(tx.is_english_fallback(F.col("cleaned_comment")), F.lit("en"))
-                             .otherwise(F.lit("unknown")))
-        else:
-            d = detect(d)
-        d = filters.language_filter(d, "detected_language", config.supported_languages)
+        d = filters.language_filter(detect(d), "detected_language", config.supported_languages)
     d = filters.drop_blank(d, "cleaned_comment")
     d = d.withColumn("username", tx.clean_username(F.col("username")))
     d = d.withColumn("rating", tx.rating_or_zero(F.col("rating")))

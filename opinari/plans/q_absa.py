@@ -157,7 +157,7 @@ def _lexicon_values_sql() -> str:
 lex(aspect, keyword) AS (VALUES {_lexicon_values_sql()})
 SELECT comment_id, aspect, keyword FROM kept JOIN lex ON contains(lower(cleaned_comment), keyword)""")
 def keyword_hits(spark, sf):
-    """J5 with the lexicon as a (broadcast) table."""
+    """J5 with the lexicon as a table."""
     return A.keyword_hits(_kept(spark, sf), A.lexicon_table(spark, LEX), "comment_id")
 
 

@@ -69,7 +69,8 @@ def _alert_rules_sql() -> str:
 rules(alert_type, severity, threshold) AS (VALUES {_alert_rules_sql()}),
 x AS (SELECT * FROM r, rules),
 f AS (SELECT *, metric_value > threshold AS breach,
-        lag(metric_value > threshold) OVER (PARTITION BY alert_type ORDER BY start) AS prev,
+        lag(metric_value > threshold) OVER (PARTITION BY alert_type ORDER BY start)
+          AND lag("end") OVER (PARTITION BY alert_type ORDER BY start) >= start AS prev,
         max("end") OVER (PARTITION BY alert_type) AS data_end FROM x),
 g AS (SELECT *, sum(CASE WHEN breach AND NOT coalesce(prev, false) THEN 1 ELSE 0 END)
         OVER (PARTITION BY alert_type ORDER BY start ROWS UNBOUNDED PRECEDING) AS run FROM f),

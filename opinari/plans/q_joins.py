@@ -1,10 +1,10 @@
 """Join queries: J1–J4, J6 (with S2), and the game and source summaries
 (A18, A19).
 
-No join here carries a broadcast hint on a table that grows with the data:
-the game dimension and the score table are joined plainly and AQE turns a
-join into a broadcast only after measuring the small side at run time (a
-checked size, with the sort-merge join as the fallback)."""
+Broadcast hints stand only behind a check of the size: the game dimension up
+to a million rows, the hot texts of the score table up to ten thousand. The
+rest is joined plainly, and AQE turns a join into a broadcast only after
+measuring the small side at run time."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from opinari.functions import text as tx
 from opinari.operators import filters
 from opinari.operators import quality as Q
 from opinari.operators import sentiment as sent
+from opinari.operators.base import small
 from opinari.plans import sqlfrag as S
 from opinari.plans.q_quality import round_doubles, scored
 from opinari.plans.registry import query
@@ -38,8 +39,9 @@ def _lexicon(df, text_col):
 {S.GAMES_CTE}
 SELECT comment_id, kept.game_id, name, rank FROM kept JOIN games ON kept.game_id = games.game_id""")
 def comments_with_games(spark, sf):
-    """Game attributes onto comments (inner equi-join on game id)."""
-    return _kept(spark, sf).join(games(spark, sf), "game_id").select("comment_id", "game_id", "name", "rank")
+    """Game attributes onto comments (inner equi-join on game id). The
+    games are broadcast if they are few, so comments don't move by hot games."""
+    return _kept(spark, sf).join(small(games(spark, sf)), "game_id").select("comment_id", "game_id", "name", "rank")
 
 
 @query("score_distinct", f"""{KEPT}
@@ -83,8 +85,8 @@ def scan_labelled(spark, sf):
     return labelled_text(spark, sf).select("doc_id", "label", "n_chars", "lang")
 
 
-_RATING = f"""coalesce(CASE WHEN regexp_matches(trim(rating), {S.lit(tx.NUMBER)})
-                THEN TRY_CAST(trim(rating) AS DOUBLE) END, 0.0)"""
+_RATING = f"""CASE WHEN regexp_matches(trim(rating), {S.lit(tx.NUMBER)})
+                THEN TRY_CAST(trim(rating) AS DOUBLE) END"""
 
 
 @query("game_summary", f"""{KEPT},
@@ -93,10 +95,10 @@ SELECT g.game_id, g.name, g.rank, round(avg({_RATING}), 6) AS rating, count(*) A
 FROM kept k JOIN games g ON k.game_id = g.game_id
 GROUP BY g.game_id, g.name, g.rank ORDER BY g.rank LIMIT 50""")
 def game_summary(spark, sf):
-    """Rank, mean rating, comment count per game; best 50 by rank.
+    """Rank, mean of the ratings that are numbers, comment count per game; best 50 by rank.
     The aggregate runs before the join, so the join sees one row per game."""
     per_game = (_kept(spark, sf).groupBy("game_id")
-                .agg(F.avg(tx.rating_or_zero("rating")).alias("rating"),
+                .agg(F.avg(tx.coerce_rating("rating")).alias("rating"),
                      F.count(F.lit(1)).alias("comment_count")))
     out = games(spark, sf).join(per_game, "game_id").orderBy("rank").limit(50)
     return round_doubles(out.select("game_id", "name", "rank", "rating", "comment_count"))

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinari.config import FIXTURE_LEXICON
+from opinari.functions import text as tx
 from opinari.operators import aspects as A
 from opinari.operators import filters
 from opinari.operators import ml
 from opinari.operators.sentiment import score_ml
+from opinari.plans import sqlfrag as S
 from opinari.plans.q_quality import round_doubles
 from opinari.plans.registry import query
 from opinari.sources.tables import comments, labelled_text
@@ -125,15 +127,20 @@ def _fit(spark, sf, reg: float = 0.0):
     return ml.train_classifier(d.filter(F.col("split") == "train"), reg, 20), d
 
 
-@query("tfidf_features")
+@query("tfidf_features", f"""WITH l AS (SELECT d.doc_id, text FROM documents d JOIN labels USING (doc_id)),
+t AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(coalesce(text, '')), {S.lit(f'[^{tx.WORD}]+')}),
+        lambda x: x <> '')) AS term FROM l),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (SELECT term, ln(((SELECT count(*) FROM l) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY term)
+SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_tokens, count(*) AS n_terms, round(sum(tf * idf), 6) AS weight,
+  round(max(tf * idf), 6) AS top_weight FROM tf JOIN w USING (term) GROUP BY doc_id""")
 def tfidf_features(spark, sf):
-    """M2: token count and non-zero TF-IDF weights per labelled text."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-    d = labelled(spark, sf)
-    feats = Pipeline(stages=ml.text_features()).fit(d).transform(d)
-    return feats.select("doc_id", F.size("tokens").alias("n_tokens"),
-                        F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("n_nonzero"))
+    """M2: tokens, distinct terms and TF-IDF weights per labelled text."""
+    rows = ml.tfidf_rows(labelled(spark, sf), "doc_id")
+    w = F.col("tf") * F.col("idf")
+    out = rows.groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"), F.count(F.lit(1)).alias("n_terms"),
+                                     F.sum(w).alias("weight"), F.max(w).alias("top_weight"))
+    return round_doubles(out)
 
 
 @query("train_classifier")
@@ -150,10 +157,11 @@ def train_classifier(spark, sf):
 
 @query("select_model")
 def select_model(spark, sf):
-    """M4: small regParam grid, best by validation F1."""
+    """M4: small regParam grid; the candidates' metrics, the best one flagged."""
     d = labelled(spark, sf)
-    return ml.select_model(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "validation"),
-                           (0.0, 0.1), 20)
+    _, metrics = ml.select_model(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "validation"),
+                                 (0.0, 0.1), 20)
+    return metrics
 
 
 @query("evaluate_classifier")

@@ -17,7 +17,7 @@ from opinari.operators import filters, language
 from opinari.operators import quality as Q
 from opinari.plans import jobs
 from opinari.plans import sqlfrag as S
-from opinari.plans.q_text import CLEAN_JOB_CTES, CLEAN_JOB_SELECT, _SENT_SQL
+from opinari.plans.q_text import CLEAN_JOB_CTES, CLEAN_JOB_SELECT, _SENT_SQL, detector
 from opinari.plans.registry import query
 from opinari.sources.tables import comments
 
@@ -124,27 +124,23 @@ def quality_score(spark, sf):
     return round_doubles(Q.quality_score(scored(spark, sf)))
 
 
-_EXTRACTED = f"""ex AS (SELECT game_id AS boardgame_id, username, rating, value,
+_EXTRACTED = f"""ex AS (SELECT game_id, username, rating, value,
   nullif({S.clean_text_tags('value')}, '') AS cleaned_comment FROM comments)"""
 
 
 def extracted(spark, sf) -> DataFrame:
-    """The extractor's output table: light-cleaned text (T3); empty text is
-    missing, as after a CSV round trip."""
-    c = comments(spark, sf)
-    cleaned = tx.clean_text_tags("value")
-    return c.select(F.col("game_id").alias("boardgame_id"), "username", "rating", "value",
-                    F.when(cleaned == "", F.lit(None)).otherwise(cleaned).alias("cleaned_comment"))
+    """The extractor's output table: light-cleaned text."""
+    return jobs.light_clean(comments(spark, sf)).select("game_id", "username", "rating", "value", "cleaned_comment")
 
 
 @query("validate_extraction", f"""WITH {S.COMMENTS_CTE},
 {_EXTRACTED},
-a AS (SELECT count(*) AS total_comments, count(DISTINCT boardgame_id) AS unique_games,
+a AS (SELECT count(*) AS total_comments, count(DISTINCT game_id) AS unique_games,
   count_if(cleaned_comment IS NULL) AS empty_comments, avg(length(cleaned_comment)) AS avg_comment_length FROM ex)
 SELECT total_comments, unique_games, empty_comments, round(avg_comment_length, 6) AS avg_comment_length,
   true AS has_required_columns,
-  array_to_string(list_filter([CASE WHEN total_comments < 100 THEN 'Insufficient data extracted' END,
-    CASE WHEN empty_comments > total_comments * 0.5 THEN 'Too many empty comments' END],
+  array_to_string(list_filter([CASE WHEN total_comments < 100 THEN 'too_few_rows' END,
+    CASE WHEN empty_comments > total_comments * 0.5 THEN 'too_many_empty' END],
     lambda x: x IS NOT NULL), '|') AS errors,
   NOT (total_comments < 100 OR empty_comments > total_comments * 0.5) AS is_valid FROM a""")
 def validate_extraction(spark, sf):
@@ -160,11 +156,11 @@ qa AS (SELECT count(*) AS total_comments, avg(length(cleaned_comment)) AS avg_co
   count(DISTINCT game_id) AS unique_games FROM cj)
 SELECT total_comments, round(avg_comment_length, 6) AS avg_comment_length, min_comment_length,
   max_comment_length, empty_comments, unique_games, true AS has_metadata,
-  array_to_string(list_filter([CASE WHEN empty_comments > 0 THEN empty_comments || ' empty comments found' END,
-    CASE WHEN avg_comment_length < 20 THEN 'Average comment length is very short' END],
+  array_to_string(list_filter([CASE WHEN empty_comments > 0 THEN 'empty_comments' END,
+    CASE WHEN avg_comment_length < 20 THEN 'short_mean_length' END],
     lambda x: x IS NOT NULL), '|') AS warnings, true AS is_valid FROM qa""")
 def validate_cleaned(spark, sf):
-    v = Q.validate_cleaned(jobs.clean_job(comments(spark, sf)))
+    v = Q.validate_cleaned(jobs.clean_job(comments(spark, sf), detector(spark, sf)))
     return round_doubles(v.withColumn("warnings", F.array_join("warnings", "|")))
 
 
@@ -177,7 +173,7 @@ SELECT original_count, cleaned_count, original_count - cleaned_count AS removed_
   round((original_count - cleaned_count) / original_count, 6) AS removal_rate,
   round(avg_length_before, 6) AS avg_length_before, round(avg_length_after, 6) AS avg_length_after FROM qa, qb""")
 def cleaning_report(spark, sf):
-    return round_doubles(Q.cleaning_report(extracted(spark, sf), jobs.clean_job(comments(spark, sf))))
+    return round_doubles(Q.cleaning_report(extracted(spark, sf), jobs.clean_job(comments(spark, sf), detector(spark, sf))))
 
 
 _PROFILE_COLS = [("comment_id", "bigint"), ("game_id", "string"), ("username", "string"),
@@ -273,7 +269,10 @@ rows AS (
   SELECT 'confidence', 'low_confidence_count', count_if(sentiment_confidence < 0.7)::DOUBLE FROM scored WHERE sentiment_confidence IS NOT NULL UNION ALL
   SELECT 'confidence', 'high_confidence_count', count_if(sentiment_confidence > 0.9)::DOUBLE FROM scored WHERE sentiment_confidence IS NOT NULL UNION ALL
   SELECT 'absa', 'total_with_aspects', count(*)::DOUBLE FROM withasp UNION ALL
-  SELECT 'absa', 'aspect_' || a, count(*)::DOUBLE FROM (SELECT unnest(detected_aspects) AS a FROM withasp) GROUP BY a)
+  SELECT 'absa', 'aspect_' || a, count(*)::DOUBLE FROM (SELECT unnest(detected_aspects) AS a FROM withasp) GROUP BY a UNION ALL
+  SELECT 'absa', 'aspect_' || a || '_' || sentiment, count(*)::DOUBLE
+  FROM (SELECT unnest(detected_aspects) AS a, sentiment FROM withasp) GROUP BY a, sentiment UNION ALL
+  SELECT 'top_words', word, n FROM (SELECT word, count(*)::DOUBLE AS n FROM w GROUP BY word ORDER BY n DESC, word LIMIT 10))
 SELECT section, metric, round(value, 6) AS value FROM rows""")
 def quality_report(spark, sf):
     return round_doubles(Q.quality_report(scored(spark, sf)))

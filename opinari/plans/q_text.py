@@ -131,8 +131,9 @@ def _trigram_sql(src: str, id_col: str, text: str) -> str:
         FROM (SELECT {id_col}, {norm} AS t FROM {src})))"""
 
 
-@query("detect_language", f"""{KEPT},
-tg AS {_trigram_sql("documents WHERE lang IS NOT NULL", "lang", "text")},
+def _detect_sql(src: str, out: str) -> str:
+    """CTEs of T9 over ``src (comment_id, cleaned_comment)``; ``out`` has comment_id and b, the best language or null."""
+    return f"""tg AS {_trigram_sql("documents WHERE lang IS NOT NULL", "lang", "text")},
 counts AS (SELECT lang, gram, count(*) AS c FROM tg GROUP BY lang, gram),
 vv AS (SELECT count(DISTINCT gram) AS v FROM counts),
 per_lang AS (SELECT lang, sum(c) AS n_l FROM counts GROUP BY lang),
@@ -141,14 +142,18 @@ alld AS (SELECT count(*) AS n FROM documents WHERE lang IS NOT NULL),
 langs AS (SELECT p.lang, ln(d.docs / alld.n) AS log_prior, ln(p.n_l + vv.v) AS log_norm
           FROM per_lang p JOIN docs d USING (lang), vv, alld),
 profile AS (SELECT gram, lang, ln(c + 1.0) AS log_c FROM counts),
-dg AS (SELECT comment_id, gram, count(*) AS n FROM {_trigram_sql("kept", "comment_id", "cleaned_comment")}
+dg AS (SELECT comment_id, gram, count(*) AS n FROM {_trigram_sql(src, "comment_id", "cleaned_comment")}
        GROUP BY comment_id, gram),
 tot AS (SELECT comment_id, sum(n) AS t_d FROM dg GROUP BY comment_id),
-m AS (SELECT comment_id, lang, sum(n * log_c) AS hit FROM dg JOIN profile USING (gram)
+mm AS (SELECT comment_id, lang, sum(n * log_c) AS hit FROM dg JOIN profile USING (gram)
       GROUP BY comment_id, lang),
 sc AS (SELECT comment_id, lang, log_prior - t_d * log_norm + hit AS score
-       FROM m JOIN tot USING (comment_id) JOIN langs USING (lang)),
-best AS (SELECT comment_id, arg_max(lang, score) AS b FROM sc GROUP BY comment_id)
+       FROM mm JOIN tot USING (comment_id) JOIN langs USING (lang)),
+{out} AS (SELECT comment_id, arg_max(lang, score) AS b FROM sc GROUP BY comment_id)"""
+
+
+@query("detect_language", f"""{KEPT},
+{_detect_sql("kept", "best")}
 SELECT k.comment_id,
   CASE WHEN length({_strip_sql('k.cleaned_comment')}) < 10 OR b IS NULL THEN 'unknown' ELSE b END
     AS detected_language
@@ -160,6 +165,12 @@ def detect_language(spark, sf):
                                "comment_id", "cleaned_comment")
 
 
+def detector(spark, sf):
+    """T9 as the cleaning job's language step."""
+    model = language.train(read_table(spark, sf, "documents"), "text", "lang")
+    return lambda d: language.detect(d, model, "comment_id", "cleaned_comment")
+
+
 # --- T10–T12, T16 --------------------------------------------------------------
 
 _SENT_SQL = (f"list_transform(list_filter(string_split_regex(coalesce(text, ''), '[.!?]+'), "
@@ -264,6 +275,16 @@ def language_filter(spark, sf):
         "comment_id", "detected_language")
 
 
+@query("collect_clean", f"""{KEPT}
+SELECT comment_id, cleaned_comment, CASE WHEN regexp_matches(trim(rating), {S.lit(tx.NUMBER)})
+  THEN TRY_CAST(trim(rating) AS DOUBLE) END AS rating, 'en' AS detected_language
+FROM kept WHERE {S.is_english('cleaned_comment')}""")
+def collect_clean(spark, sf):
+    """The library's cleaning step with its language filter."""
+    d = jobs.collect_clean(comments(spark, sf), languages=("en",))
+    return d.select("comment_id", "cleaned_comment", "rating", "detected_language")
+
+
 @query("comments_page", f"""{KEPT}
 SELECT comment_id, game_id, {_strip_sql("coalesce(username, 'anonymous')")} AS username,
        strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, cleaned_comment
@@ -277,15 +298,16 @@ def comments_page(spark, sf):
 
 
 CLEAN_JOB_CTES = f"""{C},
-dd AS (SELECT * FROM comments QUALIFY row_number() OVER (PARTITION BY game_id, value ORDER BY comment_id) = 1),
+lc AS (SELECT * REPLACE (nullif({S.clean_text_tags('value')}, '') AS value) FROM comments),
+dd AS (SELECT * FROM lc QUALIFY row_number() OVER (PARTITION BY game_id, value ORDER BY comment_id) = 1),
 dc AS (SELECT comment_id,
   {S.remove_stopwords(S.tokenize(S.deep_clean_text('value')))} AS toks FROM dd),
 {_lemma_sql('dc', 'comment_id', 'toks', 'out')},
 j AS (SELECT dd.*, out.lemmas AS cleaned_comment FROM dd JOIN out USING (comment_id)),
 r AS (SELECT * FROM j WHERE length(cleaned_comment) BETWEEN 10 AND 5000),
-g AS (SELECT *, CASE WHEN length(trim(cleaned_comment)) < 10 THEN 'unknown'
-                     WHEN {S.is_english('cleaned_comment')} THEN 'en' ELSE 'unknown' END AS detected_language
-      FROM r)"""
+{_detect_sql("r", "best")},
+g AS (SELECT r.*, CASE WHEN length({_strip_sql('cleaned_comment')}) < 10 OR b IS NULL THEN 'unknown' ELSE b END AS detected_language
+      FROM r LEFT JOIN best USING (comment_id))"""
 
 CLEAN_JOB_SELECT = f"""SELECT comment_id, game_id, {_strip_sql("coalesce(username, 'anonymous')")} AS username,
   coalesce(CASE WHEN regexp_matches(trim(rating), {S.lit(tx.NUMBER)})
@@ -297,7 +319,7 @@ FROM g WHERE detected_language IN ('en') AND length({S.rx('cleaned_comment', tx.
 @query("clean_job", f"{CLEAN_JOB_CTES}\n{CLEAN_JOB_SELECT}")
 def clean_job(spark, sf):
     """P10 + the ETL cleaning job end to end (cleaned_at left out of the oracle)."""
-    d = jobs.clean_job(comments(spark, sf))
+    d = jobs.clean_job(comments(spark, sf), detector(spark, sf))
     return d.select("comment_id", "game_id", "username", "rating", "cleaned_comment",
                     "detected_language", F.col("comment_length").cast("bigint").alias("comment_length"))
 

@@ -5,63 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-RAW_COMMENT = T.StructType([
-    T.StructField("boardgame_id", T.StringType()),
-    T.StructField("username", T.StringType()),
-    T.StructField("rating", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-ASPECT_SUMMARY = T.StructType([
-    T.StructField("aspect", T.StringType()),
-    T.StructField("total_comments", T.LongType()),
-    T.StructField("positive_count", T.LongType()),
-    T.StructField("negative_count", T.LongType()),
-    T.StructField("unknown_count", T.LongType()),
-    T.StructField("positive_percentage", T.DoubleType()),
-    T.StructField("negative_percentage", T.DoubleType()),
-])
-
-GAMES = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("rank", T.StringType()),
-])
-
-LABELLED_TEXT = T.StructType([
-    T.StructField("text", T.StringType()),
-    T.StructField("label", T.IntegerType()),
-])
-
-QUALITY_METRIC = T.StructType([
-    T.StructField("metric_name", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("status", T.StringType()),
-])
-
-MODEL_METRICS = T.StructType([
-    T.StructField("model_name", T.StringType()),
-    T.StructField("model_version", T.StringType()),
-    T.StructField("accuracy", T.DoubleType()),
-    T.StructField("precision", T.DoubleType()),
-    T.StructField("recall", T.DoubleType()),
-    T.StructField("f1_score", T.DoubleType()),
-    T.StructField("last_updated", T.TimestampType()),
-    T.StructField("training_samples", T.LongType()),
-    T.StructField("validation_samples", T.LongType()),
-])
-
-ALERT = T.StructType([
-    T.StructField("alert_id", T.StringType()),
-    T.StructField("alert_type", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("resolved_at", T.TimestampType()),
-    T.StructField("status", T.StringType()),
-])
-
 CATALOG_ENTRY = T.StructType([
     T.StructField("layer", T.StringType()),
     T.StructField("path", T.StringType()),

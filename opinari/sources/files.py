@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinari.functions import text as tx
+from opinari.operators.base import with_columns_once
 
 
 def read_comments_csv(spark: SparkSession, path: str, schema: T.StructType,
@@ -62,7 +63,8 @@ def comment_pages(comments: DataFrame, page_size: int = 100) -> DataFrame:
     """Build API-shaped XML pages from a comment table: one payload per
     (game, id block of ``page_size``), so each page holds at most
     ``page_size`` comments and no group grows with the data. Each payload
-    carries the game's declared comment total."""
+    carries the game's declared comment total (one row per game, joined to the
+    pages, of which there is one per block)."""
     totals = comments.groupBy("game_id").agg(F.count(F.lit(1)).alias("total"))
     elem = F.concat(F.lit("<comment "), F.concat_ws(
         " ", _attr("id", F.col("comment_id").cast("string")), _attr("username", F.col("username")),
@@ -71,82 +73,113 @@ def comment_pages(comments: DataFrame, page_size: int = 100) -> DataFrame:
              .groupBy("game_id", "page")
              .agg(F.array_join(F.array_sort(F.collect_list(F.struct("comment_id", elem.alias("x"))))
                                .getField("x"), "").alias("body")))
-    return pages.join(totals, "game_id").select(
-        "game_id", "page",
-        F.concat(F.lit('<items><item id="'), xml_escape(F.col("game_id")), F.lit('"><comments totalitems="'),
-                 F.col("total").cast("string"), F.lit('">'), F.col("body"),
-                 F.lit("</comments></item></items>")).alias("payload"))
-
+    item = F.concat(F.lit('<item id="'), xml_escape(F.col("game_id")), F.lit('"><comments totalitems="'),
+                    F.col("total").cast("string"), F.lit('">'), F.col("body"), F.lit("</comments></item>"))
+    return pages.join(totals, "game_id").select("game_id", "page", item.alias("item")) \
+        .withColumn("payload", F.concat(F.lit("<items>"), F.col("item"), F.lit("</items>")))
+
+
+_COMMENTS = T.StructType([
+    T.StructField("_totalitems", T.LongType()),
+    T.StructField("comment", T.ArrayType(T.StructType([
+        T.StructField("_id", T.LongType()),
+        T.StructField("_username", T.StringType()),
+        T.StructField("_rating", T.StringType()),
+        T.StructField("_value", T.StringType()),
+    ]))),
+])
 
+#: A page holds any number of items.
 COMMENT_PAGE_SCHEMA = T.StructType([
-    T.StructField("item", T.StructType([
-        T.StructField("_id", T.StringType()),
-        T.StructField("comments", T.StructType([
-            T.StructField("_totalitems", T.LongType()),
-            T.StructField("comment", T.ArrayType(T.StructType([
-                T.StructField("_id", T.LongType()),
-                T.StructField("_username", T.StringType()),
-                T.StructField("_rating", T.StringType()),
-                T.StructField("_value", T.StringType()),
-            ]))),
-        ])),
-    ])),
+    T.StructField("item", T.ArrayType(T.StructType([
+        T.StructField("_id", T.StringType()), T.StructField("comments", _COMMENTS)]))),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 
+def _rest(pages: DataFrame, payload_col: str) -> list[str]:
+    return [c for c in pages.columns if c != payload_col]
+
+
+def _parsed(pages: DataFrame, payload_col: str, schema: T.StructType) -> DataFrame:
+    """``pages`` with the parsed payload ``_x``; computed once, so filters above do not parse again.
+    White space between elements means nothing here, but would count as content (an
+    attribute cannot hold a bare ``<``)."""
+    plain = F.regexp_replace(F.trim(F.col(payload_col)), r">\s+<", "><")
+    parsed = F.from_xml(plain, schema, {**XML_OPTIONS, "mode": "PERMISSIVE"})
+    return with_columns_once(pages, _x=parsed)
+
+
+def _broken() -> Column:
+    return F.col("_x").isNull() | F.col("_x._corrupt_record").isNotNull() | F.col("_x.item").isNull()
+
+
+def corrupt_pages(pages: DataFrame, payload_col: str = "payload",
+                  schema: T.StructType | None = None) -> DataFrame:
+    """S6 for XML: the pages whose payload is null, does not parse or holds no
+    item, with the raw payload."""
+    return _parsed(pages, payload_col, schema or COMMENT_PAGE_SCHEMA).filter(_broken()).drop("_x")
+
+
 def parse_comment_pages(pages: DataFrame, payload_col: str = "payload") -> DataFrame:
     """S3: XML comment pages → one row per comment with the game id attached
     (the collector's reading: nested ``comments`` element, ``value``
-    attribute)."""
-    p = pages.select("*", F.from_xml(F.col(payload_col), COMMENT_PAGE_SCHEMA, XML_OPTIONS).alias("_x"))
-    return p.select(F.col("_x.item._id").alias("boardgame_id"),
-                    F.col("_x.item.comments._totalitems").alias("declared_total"),
-                    F.explode("_x.item.comments.comment").alias("c"), *[c for c in pages.columns
-                                                                      if c != payload_col]) \
-        .select("boardgame_id", "declared_total", *[c for c in pages.columns if c != payload_col],
-                F.col("c._id").alias("comment_id"), F.col("c._username").alias("username"),
-                F.col("c._rating").alias("rating"), F.col("c._value").alias("value"))
-
-
-def read_comment_files(spark: SparkSession, path: str) -> DataFrame:
-    """S3, landed files: ``item`` rows of XML files."""
-    item = COMMENT_PAGE_SCHEMA["item"].dataType
-    df = spark.read.format("xml").option("rowTag", "item").options(**XML_OPTIONS).schema(item).load(path)
-    return df.select(F.col("_id").alias("boardgame_id"), F.explode("comments.comment").alias("c")) \
-        .select("boardgame_id", F.col("c._id").alias("comment_id"), F.col("c._username").alias("username"),
-                F.col("c._rating").alias("rating"), F.col("c._value").alias("value"))
+    attribute). An item that declares a total but holds no comment gives one
+    row with null comment columns, so its total is not lost. Broken pages are
+    in :func:`corrupt_pages`; the rest goes on."""
+    rest = _rest(pages, payload_col)
+    items = _parsed(pages, payload_col, COMMENT_PAGE_SCHEMA).filter(~_broken()) \
+        .select(F.explode("_x.item").alias("_item"), *rest)
+    rows = items.select("_item._id", "_item.comments._totalitems", F.explode_outer("_item.comments.comment").alias("c"), *rest)
+    return rows.select(F.col("_id").alias("game_id"), F.col("_totalitems").alias("declared_total"),
+                       *[c for c in rest if c not in ("game_id", "declared_total")],
+                       F.col("c._id").alias("comment_id"), F.col("c._username").alias("username"),
+                       F.col("c._rating").alias("rating"), F.col("c._value").alias("value"))
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """S3/S4, landed files: one row per XML file with its path and whole
+    payload, for the ``parse_*`` functions. A page is one API answer, so a file
+    is small; broken files reach the quarantine instead of failing the read."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 
 GAME_ITEM_SCHEMA = T.StructType([
-    T.StructField("item", T.StructType([
+    T.StructField("item", T.ArrayType(T.StructType([
         T.StructField("_id", T.StringType()),
         T.StructField("name", T.StructType([T.StructField("_value", T.StringType())])),
         T.StructField("statistics", T.StructType([T.StructField("ratings", T.StructType([
             T.StructField("ranks", T.StructType([T.StructField("rank", T.StructType([
                 T.StructField("_value", T.StringType())]))]))]))])),
-    ])),
+    ]))),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 
 def parse_game_pages(pages: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Ranking pages → ``(id, name, rank)`` with the defaults
-    ``'Unknown'`` and ``'0'`` for a missing name or rank."""
-    x = F.from_xml(F.col(payload_col), GAME_ITEM_SCHEMA, XML_OPTIONS).alias("_x")
-    return pages.select(x).select(
-        F.col("_x.item._id").alias("id"),
-        F.coalesce(F.col("_x.item.name._value"), F.lit("Unknown")).alias("name"),
-        F.coalesce(F.col("_x.item.statistics.ratings.ranks.rank._value"), F.lit("0")).alias("rank"))
-
-
-def page_reconciliation(parsed: DataFrame, page_size: int = 100) -> DataFrame:
-    """Declared total → expected pages ``ceil(total / page_size)``,
-    compared with the pages and comments that landed (one aggregate)."""
-    return (parsed.groupBy("boardgame_id")
-            .agg(F.max("declared_total").alias("declared_total"),
-                 F.count_distinct("page").alias("pages_landed"),
-                 F.count(F.lit(1)).alias("comments_landed"))
-            .withColumn("expected_pages", F.ceil(F.col("declared_total") / page_size).cast("long"))
-            .withColumn("complete", F.col("comments_landed") >= F.col("declared_total")))
+    """Ranking pages, any number of games each → ``(id, name, rank)`` with
+    the defaults ``'Unknown'`` and ``'0'`` for a missing name or rank. Broken
+    pages make no row; :func:`corrupt_pages` has them."""
+    items = _parsed(pages, payload_col, GAME_ITEM_SCHEMA).filter(~_broken()).select(F.explode("_x.item").alias("g"))
+    return items.select(
+        F.col("g._id").alias("id"), F.coalesce(F.col("g.name._value"), F.lit("Unknown")).alias("name"),
+        F.coalesce(F.col("g.statistics.ratings.ranks.rank._value"), F.lit("0")).alias("rank"))
+
+
+def page_reconciliation(parsed: DataFrame, totals: DataFrame, page_size: int = 100) -> DataFrame:
+    """``totals (game_id, declared_total)``, as the first answer of each game
+    declares them, give the expected pages ``ceil(total / page_size)``; the pages
+    and comments that landed are counted beside them. A game none of whose
+    pages landed stands with zeros."""
+    landed = parsed.filter(F.col("comment_id").isNotNull()).groupBy("game_id").agg(
+        F.count_distinct("page").alias("pages_landed"), F.count(F.lit(1)).alias("comments_landed"))
+    expected = F.ceil(F.col("declared_total") / page_size).cast("long")
+    return totals.join(landed, "game_id", "left").select(
+        "game_id", "declared_total", expected.alias("expected_pages"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("pages_landed", "comments_landed")]) \
+        .withColumn("missing_pages", F.col("expected_pages") - F.col("pages_landed")) \
+        .withColumn("complete", (F.col("missing_pages") <= 0) & (F.col("comments_landed") >= F.col("declared_total")))
 
 
 # --- corrupt records, listing -------------------------------------------------
@@ -168,10 +201,25 @@ def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType,
      .json(path).write.mode("overwrite").parquet(parsed_path))
     df = spark.read.parquet(parsed_path)
     good = df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
-    bad = df.filter(F.col(corrupt_col).isNotNull())
+    bad = df.filter(F.col(corrupt_col).isNotNull()).select(corrupt_col)
     return good, bad
 
 
+def split_csv(spark: SparkSession, path: str, schema: T.StructType,
+              corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """S6 for CSV: rows that fit the schema, and the raw text of those that do not (a value of another type,
+    too many or too few columns). Parsed once, into the shared folder."""
+    from opinari.session import scratch_path
+
+    full = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
+    parsed = scratch_path(spark, "parsed-csv")
+    (spark.read.schema(full).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+     .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).csv(path).write.parquet(parsed))
+    df = spark.read.parquet(parsed)
+    return (df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col),
+            df.filter(F.col(corrupt_col).isNotNull()).select(corrupt_col))
+
+
 def list_layer(spark: SparkSession, path: str) -> DataFrame:
     """Key, size and last-modified time of every file under a layer;
     the file content column is pruned, so no file is read."""

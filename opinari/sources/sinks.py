@@ -8,6 +8,7 @@ pruning on later reads. The catalog is an append-only Parquet table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,22 +49,28 @@ def load_processed(df: DataFrame, base: str, processing_type: str, date: str | N
 
 
 def load_curated(spark: SparkSession, df: DataFrame, base: str, dataset_name: str) -> str:
-    """Curated table plus its quality profile (A15) appended beside it."""
+    """Curated table, one partition per load, plus the load's quality profile
+    (A15) appended beside it; earlier loads are not read again."""
     from opinari.operators.quality import table_profile
 
-    path = f"{_layer_path(base, 'curated')}/{dataset_name}"
-    df.write.mode("append").parquet(path)
-    profile = table_profile(spark.read.parquet(path)).withColumn("dataset", F.lit(dataset_name)) \
+    path, load = f"{_layer_path(base, 'curated')}/{dataset_name}", uuid.uuid4().hex
+    df.withColumn("load_id", F.lit(load)).write.mode("append").partitionBy("load_id").parquet(path)
+    this = spark.read.parquet(f"{path}/load_id={load}")
+    profile = table_profile(this).withColumn("dataset", F.lit(dataset_name)).withColumn("load_id", F.lit(load)) \
         .withColumn("profiled_at", F.current_timestamp())
     profile.write.mode("append").parquet(f"{_layer_path(base, 'curated')}/_profiles")
     return path
 
 
 def catalog_append(spark: SparkSession, base: str, layer: str, path: str,
-                   processing_type: str | None = None) -> DataFrame:
+                   processing_type: str | None = None, since: dt.datetime | None = None) -> DataFrame:
     """One catalog row per load; the size is the sum of the file sizes
-    listed under the loaded path (S14), computed by Spark."""
-    size = list_layer(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("file_size"))
+    listed under ``path`` (S14), computed by Spark. ``path`` is the load's own
+    partition, or ``since`` (taken before the load) leaves earlier files out."""
+    files = list_layer(spark, path)
+    if since is not None:
+        files = files.where(F.col("modificationTime") >= F.lit(since))
+    size = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("file_size"))
     row = size.select(F.lit(layer).alias("layer"), F.lit(path).alias("path"),
                       F.col("file_size").cast("long").alias("file_size"),
                       F.current_timestamp().alias("uploaded_at"),

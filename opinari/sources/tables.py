@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinari.operators.base import spread
-from opinari.session import table_path
+from opinari.session import scratch_path, table_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -23,11 +23,16 @@ TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_i
              "benchmark": "item_id"}
 
 
+#: Session setting: hash-partition text tables into so many partitions after
+#: the scan (0, the default: leave the scan's own). For one small file on many
+#: local cores; a cluster reading many files needs none.
+SPREAD = "spark.opinari.spread"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    if name in TEXT_KEYS:
-        df = spread(df, TEXT_KEYS[name])
-    return df
+    n = int(spark.conf.get(SPREAD, "0"))
+    return spread(df, TEXT_KEYS[name], n) if n and name in TEXT_KEYS else df
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,22 +62,31 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_global_rank(df: DataFrame, order_col: str, rank_col: str = "rank",
                      partitions: int | None = None) -> DataFrame:
     """1-based position of each row in ``order_col`` order, without moving the
-    table into one task: range-partition and sort, count rows per partition
-    (one small row per partition), turn the counts into offsets and add the
-    row number inside each partition. ``order_col`` must be unique."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    parted = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-              .withColumn("_pid", F.spark_partition_id()))
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    # ``offsets`` has one row per partition: a bounded, tiny broadcast.
-    w = Window.partitionBy("_pid").orderBy(order_col)
-    return (parted.join(F.broadcast(offsets), "_pid")
-            .withColumn(rank_col, F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(w))
-            .drop("_pid", "_off"))
+    table into one task: range-partition, write the rows with their partition
+    number once to the shared folder, count rows per partition (one small row
+    each), turn the counts into offsets and add the row number inside each
+    partition. Counts and rows are read from the same written table: two range
+    exchanges would each sample borders of their own. ``order_col`` must be
+    unique."""
+    spark = df.sparkSession
+    n = partitions or spark.sparkContext.defaultParallelism
+    part, offset, count = (_fresh(df, c) for c in ("_part", "_offset", "_count"))
+    path = scratch_path(spark, "ranked")
+    df.repartitionByRange(n, order_col).withColumn(part, F.spark_partition_id()).write.parquet(path)
+    parted = spark.read.parquet(path)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parted.groupBy(part).agg(F.count(F.lit(1)).alias(count)).select(
+        part, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(offset))
+    # One row per partition: at most ``n`` rows, a bounded broadcast.
+    w = Window.partitionBy(part).orderBy(order_col)
+    return (parted.join(F.broadcast(offsets), part)
+            .withColumn(rank_col, F.col(offset) + F.row_number().over(w)).drop(part, offset))
+
+
+def _fresh(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,13 @@
 E1–E4 and E6 are plain functions of a DataFrame: the same code runs on a
 batch table or on a ``readStream`` source (add a watermark first for append
 mode). E5 needs an ordered look-back over closed windows, so its stream form
-runs per micro-batch on finished windows. E7–E9 are the Structured Streaming
+(``alert_stream``) recomputes from the table of closed windows. E7–E9 are the Structured Streaming
 jobs: incremental scoring with a checkpoint, duplicate removal across
 arrivals, and late data under a watermark.
 
 Deviations from the PromQL panels they re-aim: E1 counts event rows (PromQL
-extrapolates a counter), and E2 is an exact quantile (PromQL interpolates in
-histogram buckets); ``approx=True`` gives bounded-state quantiles.
+extrapolates a counter), and E2 is an exact quantile on tables and one with
+bounded state on streams (PromQL interpolates in histogram buckets).
 """
 
 from __future__ import annotations
@@ -31,17 +31,22 @@ def _window(ts_col: str, duration: str, slide: str | None):
 
 
 def event_rate(df: DataFrame, duration: str = "5 minutes", slide: str | None = None,
-               series: str = "event_type", ts_col: str = "ts", seconds: int = 300) -> DataFrame:
-    """Events per second per series over fixed (or sliding) ranges."""
+               series: str = "event_type", ts_col: str = "ts") -> DataFrame:
+    """Events per second per series over fixed (or sliding) ranges; the
+    seconds are those of the window itself."""
+    seconds = (F.unix_micros(F.col("window.end").cast("timestamp"))
+               - F.unix_micros(F.col("window.start").cast("timestamp"))) / 1e6
     return (df.groupBy(_window(ts_col, duration, slide).alias("window"), series)
             .agg(F.count(F.lit(1)).alias("events"))
-            .withColumn("rate_per_sec", F.col("events") / float(seconds)))
+            .withColumn("rate_per_sec", F.col("events") / seconds))
 
 
 def latency_quantiles(df: DataFrame, duration: str = "5 minutes", measure: str = "value",
-                      series: str = "event_type", ts_col: str = "ts", approx: bool = False) -> DataFrame:
-    """50th and 95th percentile of a measure per range and series."""
-    if approx:
+                      series: str = "event_type", ts_col: str = "ts", approx: bool | None = None) -> DataFrame:
+    """50th and 95th percentile of a measure per range and series. The exact
+    form keeps the distinct values of a (range, series) in memory; ``approx``
+    (the default for a stream) bounds them."""
+    if df.isStreaming if approx is None else approx:
         q = F.percentile_approx(measure, [0.5, 0.95], 10000)
     else:
         q = F.percentile(measure, F.array(F.lit(0.5), F.lit(0.95)))
@@ -53,12 +58,20 @@ def latency_quantiles(df: DataFrame, duration: str = "5 minutes", measure: str =
 
 def latest_state(df: DataFrame, key: str = "user_id", ts_col: str = "ts",
                  tie: str = "event_id", fields=("event_type", "value")) -> DataFrame:
-    """Latest row per key (ties on time broken by ``tie``). ``max_by`` is
-    a partial aggregate: a key holding a third of all events is reduced on
-    each task before the shuffle."""
-    order = F.struct(F.col(ts_col), F.col(tie))
-    latest = F.max_by(F.struct(*[F.col(c) for c in (ts_col, *fields)]), order)
-    return df.groupBy(key).agg(latest.alias("_l")).select(key, "_l.*")
+    """Latest row per key (ties on time broken by ``tie``, a unique long).
+    A partial aggregate either way: a key holding a third of all events is
+    reduced on each task before the shuffle. On a table only (time, tie) is
+    aggregated, packed into one decimal, and the winning rows are met again by
+    their tie; a stream cannot join back and aggregates the row itself."""
+    cols = [ts_col, *fields]
+    if df.isStreaming:
+        latest = F.max_by(F.struct(*cols), F.struct(ts_col, tie))
+        return df.groupBy(key).agg(latest.alias("_l")).select(key, "_l.*")
+    micros = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(-(1 << 62))).cast("decimal(19,0)")
+    order = micros * F.lit(10 ** 18).cast("decimal(19,0)") + F.col(tie).cast("decimal(19,0)")
+    last = df.groupBy(key).agg(F.max_by(tie, order).alias("_last")).select(F.col(key).alias("_key"), "_last")
+    same = (F.col(tie) == F.col("_last")) & F.col(key).eqNullSafe(F.col("_key"))
+    return df.join(last, same, "left_semi").select(key, *cols)
 
 
 def error_ratio(df: DataFrame, duration: str = "5 minutes", ts_col: str = "ts",
@@ -72,9 +85,9 @@ def error_ratio(df: DataFrame, duration: str = "5 minutes", ts_col: str = "ts",
 
 def alerts(ratios: DataFrame, rules=ALERT_RULES, metric_col: str = "error_pct") -> DataFrame:
     """E5: threshold alerts from a per-window metric table (``window``,
-    ``metric_col``). A run of consecutive breaching windows is one alert:
-    created at the run's first window start; resolved at its last window end
-    when a later window exists, else active.
+    ``metric_col``). A run of adjoining breaching windows is one alert (a
+    window without events ends it): created at the run's first window start;
+    resolved at its last window end when a later window exists, else active.
 
     The rules are configuration, so each window is paired with them by a
     ``stack`` generator (``#rules`` rows per window), not by a join. The
@@ -89,7 +102,7 @@ def alerts(ratios: DataFrame, rules=ALERT_RULES, metric_col: str = "error_pct")
                          F.expr(f"stack({len(rs)}, {stack}) AS (alert_type, severity, threshold)"))
     o = Window.partitionBy("alert_type").orderBy("start")
     flagged = (rows.withColumn("breach", F.col("metric_value") > F.col("threshold"))
-               .withColumn("_prev", F.lag("breach").over(o))
+               .withColumn("_prev", F.lag("breach").over(o) & (F.lag("end").over(o) >= F.col("start")))
                .withColumn("_open", (F.col("breach") & ~F.coalesce(F.col("_prev"), F.lit(False))).cast("int"))
                .withColumn("_run", F.sum("_open").over(o.rowsBetween(Window.unboundedPreceding, 0)))
                .withColumn("_data_end", F.max("end").over(Window.partitionBy("alert_type"))))
@@ -146,14 +159,23 @@ def windowed_counts_with_watermark(stream: DataFrame, ts_col: str = "ts", delay:
             .agg(F.count(F.lit(1)).alias("events")))
 
 
-def alerts_per_batch(spark: SparkSession, rules=ALERT_RULES):
-    """E5 stream form: a ``foreachBatch`` function that recomputes alerts
-    from the closed windows written so far (the ratio table is small)."""
-    def run(batch_df: DataFrame, batch_id: int) -> DataFrame:
-        return alerts(batch_df, rules)
-    return run
+def alert_stream(ratios: DataFrame, ratio_path: str, alert_path: str, checkpoint: str,
+                 rules=ALERT_RULES, metric_col: str = "error_pct"):
+    """E5 stream form: ``ratios`` is a stream of closed windows (E4 under a
+    watermark, append mode). Each micro-batch is written to the ratio table
+    under its batch number, so a repeated batch replaces itself, and the alerts
+    are recomputed from all closed windows (one row per window) and written to
+    ``alert_path``. Returns the started query."""
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{ratio_path}/batch={number}")
+        seen = spark.read.option("basePath", ratio_path).schema(batch.schema).parquet(f"{ratio_path}/batch=*")
+        alerts(seen, rules, metric_col).write.mode("overwrite").parquet(alert_path)
 
+    return (ratios.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start())
 
-__all__ = ["AlertRule", "alerts", "dedup_stream", "error_ratio", "event_rate", "incremental_scoring",
+
+__all__ = ["AlertRule", "alert_stream", "alerts", "dedup_stream", "error_ratio", "event_rate", "incremental_scoring",
            "latency_quantiles", "latest_state", "quality_over_time", "windowed_counts_with_watermark",
            "with_event_time"]
