@@ -144,7 +144,7 @@ def sequences(docs: DataFrame, vocabulary: tokens.Vocabulary, end: int = 1, pad:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [np.frombuffer(b"".join(x.as_py()), dtype="<u4") for x in batch.column(1)]
-            full = [np.r_[x, np.full(window - len(x), pad, np.uint32)].astype(np.int32) for x in ids]
+            full = [np.r_[x.astype(np.int32), np.full(window - len(x), pad, np.int32)] for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(full, pa.list_(pa.int32()))], names=["sequence_id", "ids"])
 
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])
