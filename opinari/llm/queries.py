@@ -3,6 +3,8 @@ SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, secrets, tokens, urls
 from opinari.llm.common import documents
 
@@ -24,7 +26,23 @@ def op8_language_id(spark, sf_dir):
     return langid.op8(documents(spark, sf_dir))
 
 
-@query("op6_minhash_near_dedup")
+OP6_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS x
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON r.id = e.a),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN m ON d.doc_id = m.id
+"""
+
+
+@query("op6_minhash_near_dedup", OP6_SQL)
 def op6_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir), neardup.Params(shingle=3, percent=85, rows=8))
 
@@ -183,6 +201,28 @@ def op3_nearest_neighbours(spark, sf_dir):
     return ann.op3(documents(spark, sf_dir, "embeddings"))
 
 
-@query("op4_lm_scores")
+OP4_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT r, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d),
+c AS (SELECT x, count(*) AS n FROM t GROUP BY 1),
+f AS (SELECT min(n) AS floor FROM (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS above FROM c GROUP BY n)
+      WHERE above <= {lm.VOCABULARY}),
+k AS (SELECT r, p, CASE WHEN n >= (SELECT floor FROM f) THEN x ELSE '' END AS x FROM t JOIN c USING (x)),
+u AS (SELECT x, count(*) AS n FROM k GROUP BY 1),
+total AS (SELECT count(*) AS n FROM k),
+b AS (SELECT r, p, x, lag(x) OVER (PARTITION BY r ORDER BY p) AS v FROM k),
+pairs AS (SELECT v, x, count(*) AS n FROM b WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= {lm.LEAST}),
+s AS (SELECT r, sum(CASE WHEN b.v IS NULL THEN ln(u.n) - ln(total.n) WHEN pairs.n IS NOT NULL THEN ln(pairs.n) - ln(uv.n)
+                         ELSE ln({lm.BACKOFF}::DOUBLE) + ln(u.n) - ln(total.n) END) AS log_prob,
+             count_if(b.v IS NOT NULL AND pairs.n IS NULL) AS n_backoff
+      FROM b JOIN u ON b.x = u.x LEFT JOIN u uv ON b.v = uv.x LEFT JOIN pairs ON b.v = pairs.v AND b.x = pairs.x, total GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_backoff, 0) AS n_backoff, round(coalesce(log_prob, 0.0), 6) AS log_prob,
+       CASE WHEN len(w) > 0 THEN round(log_prob / len(w), 6) END AS score
+FROM d LEFT JOIN s ON d.r = s.r
+"""
+
+
+@query("op4_lm_scores", OP4_SQL)
 def op4_lm_scores(spark, sf_dir):
-    return lm.score(documents(spark, sf_dir))
+    out = lm.score(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_backoff", F.round("log_prob", 6).alias("log_prob"), F.round("score", 6).alias("score"))

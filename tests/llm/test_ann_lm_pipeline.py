@@ -93,7 +93,7 @@ def test_backoff_against_brute_force(spark, edge, clashing, nothing, size, head)
                   for r in lm.score(edge, size=size, head=head).collect()), key=repr)
     want = lm_brute(data, size)
     assert [g[:3] for g in got] == [w[:3] for w in want]
-    assert all(abs(g[3] - w[3]) <= 1e-6 * max(1e3, abs(w[3])) for g, w in zip(got, want))
+    assert all(abs(g[3] - w[3]) <= 2e-4 for g, w in zip(got, want))
     assert lm.score(nothing).count() == 0
     assert lm.score(clashing).count() == edge.count()
 
