@@ -139,6 +139,24 @@ def slices(column: pa.Array, word: np.ndarray) -> Iterator[tuple]:
         i = j
 
 
+def portions(batch: pa.RecordBatch, text: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in portions of about ``limit`` bytes of the text column, so that what is made from
+    them stays small beside the batch."""
+    _, bounds = buffers(batch.column(text))
+    n, i = batch.num_rows, 0
+    while i < n:
+        j = min(max(int(np.searchsorted(bounds, bounds[i] + limit, side="right")) - 1, i + 1), n)
+        yield batch.slice(i, j - i)
+        i = j
+
+
+def parts(arrays: list, names: list[str], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Arrays of equal length as record batches of at most ``rows`` rows: the reader holds one at a time."""
+    whole = pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in arrays], names=names)
+    for i in range(0, whole.num_rows, rows):
+        yield whole.slice(i, rows)
+
+
 def hash_word(text: str) -> int:
     """The hash of one word, as :func:`slices` gives it."""
     total, power = 0, 1
