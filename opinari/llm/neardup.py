@@ -255,10 +255,11 @@ def _linked(rows: DataFrame, member: DataFrame, p: Params) -> DataFrame:
 def _further_links(reps: DataFrame, tested: DataFrame, links: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """``links`` with those of further rounds; ``tested`` pairs are not tested again."""
     member = written(reps.select(F.col("rep").alias("id"), F.explode("bands").alias("key")), "buckets")
-    total, quiet, turn = member.count(), 0, 0
+    total, quiet, turn, known = member.count(), 0, 0, None
     while total and quiet < 2 and turn < p.rounds:
-        ends = links.select(F.col("a").alias("id")).union(links.select("b"))
-        known = components(links).join(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "id")
+        if known is None:
+            ends = links.select(F.col("a").alias("id")).union(links.select("b"))
+            known = components(links).join(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "id")
         chance = F.xxhash64("id", "key", F.lit(turn)).bitwiseAND(F.lit((1 << 24) - 1))
         rank = chance if turn % 2 else F.shiftleft(F.coalesce("links", F.lit(0)).cast("long"), 24) + chance
         placed = written(member.join(known, "id", "left").select(
@@ -269,9 +270,10 @@ def _further_links(reps: DataFrame, tested: DataFrame, links: DataFrame, sets: D
         met = join_hot(placed, centre.select("key", "n", "c", "c_part"), ["key"], "n", total).where("part != c_part")
         pairs = met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = written(_confirmed(pairs, sets, p), "links")
-        quiet = 0 if found.count() else quiet + 1
-        tested, links, turn = tested.union(pairs), links.union(found), turn + 1
+        found = written(_confirmed(pairs, sets, p), "links") if pairs.limit(1).count() else None
+        turn, quiet, tested = turn + 1, quiet + 1, tested.union(pairs)
+        if found is not None and found.limit(1).count():
+            links, known, quiet = links.union(found), None, 0
     return links
 
 
