@@ -41,8 +41,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, one row per piece."""
-    return packing.pack(packing.pieces(docs, tokens.load(vocabulary_path())))
+    """Pieces of token sequences, one row per piece. Workers remember less than
+    in a job of its own: the stages before have grown their executors."""
+    return packing.pack(packing.pieces(docs, tokens.load(vocabulary_path()), remembered=100_000))
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),

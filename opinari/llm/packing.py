@@ -88,15 +88,17 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int], int
 
 
 def pieces(docs: DataFrame, vocabulary: tokens.Vocabulary, end: int = 1, window: int = WINDOW,
-           doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens (and ids, little-endian) of every piece."""
+           doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False,
+           remembered: int = tokens.REMEMBERED) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens (and ids, little-endian) of every piece.
+    ``remembered`` bounds a worker's memory of chunks: fewer cost more CPU time."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     last = np.array([end], dtype="<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens.remembered(shared, "ids")
+        known = tokens.remembered(shared, "ids", remembered)
         for batch in batches:
             owner, start, length, crc, total, ids = [], [], [], [], [], []
             for k, t in enumerate(batch.column(1)):

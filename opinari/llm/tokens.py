@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 import regex
 from tokenizers import Tokenizer
 
-#: Chunks a worker remembers, and half as many merged pre-tokens (about 200 bytes each).
+#: Chunks a worker remembers, and a third as many merged pre-tokens (about 200 bytes each).
 REMEMBERED = 600_000
 
 
@@ -76,44 +76,48 @@ class Vocabulary:
         t = self.tokenizer
         return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(chunk))]
 
-    def merged(self, piece: str) -> tuple[int, ...]:
-        """Ids of a pre-token that is no whole token."""
+    def merged(self, piece: str) -> bytes:
+        """Ids of a pre-token that is no whole token, little-endian."""
         if "m" not in self._loaded:
             tokenize = self.tokenizer.model.tokenize
-            self._loaded["m"] = Remembered(lambda p: tuple([t.id for t in tokenize(p)]), REMEMBERED // 2)
+            self._loaded["m"] = Remembered(lambda p: _packed([t.id for t in tokenize(p)]), REMEMBERED // 3)
         return self._loaded["m"][piece]
 
     def count(self, chunk: str) -> int:
         """Tokens of a chunk without blanks."""
         if any(s in chunk for s in self.special):
             return len(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        return sum(1 if p in self.whole else len(self.merged(p)) for p in self.pre_tokens(chunk))
+        return sum(1 if p in self.whole else len(self.merged(p)) // 4 for p in self.pre_tokens(chunk))
 
     def ids(self, chunk: str) -> bytes:
         """Token ids of a chunk without blanks, as little-endian unsigned 32-bit numbers."""
         if any(s in chunk for s in self.special):
-            found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        else:
-            found = []
-            for p in self.pre_tokens(chunk):
-                if p in self.whole:
-                    found.append(self.whole[p])
-                else:
-                    found += self.merged(p)
-        return struct.pack(f"<{len(found)}I", *found)
+            return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        whole = self.whole
+        return b"".join([_packed([whole[p]]) if p in whole else self.merged(p) for p in self.pre_tokens(chunk)])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Remembered(dict):
-    """A function's results by chunk, forgotten together when there are too many."""
+    """A function's results by chunk, at most ``most`` of them: when the younger half
+    is full it becomes the older one, and what is not asked for again is
+    forgotten with the next change."""
 
     def __init__(self, of, most: int = REMEMBERED):
         super().__init__()
-        self.of, self.most = of, most
+        self.of, self.half, self.old = of, max(1, most // 2), {}
 
     def __missing__(self, chunk: str):
-        if len(self) >= self.most:
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.of(chunk)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        found = self[chunk] = self.of(chunk)
+        self[chunk] = found
         return found
 
 
@@ -146,12 +150,12 @@ def chunks(text: str | None) -> list[str]:
 _WORKER: dict = {}
 
 
-def remembered(shared, kind: str) -> Remembered:
+def remembered(shared, kind: str, most: int = REMEMBERED) -> Remembered:
     """This worker's dictionary for a broadcast vocabulary."""
-    key = (kind, shared.value.content[:200], len(shared.value.content))
+    key = (kind, most, shared.value.content[:200], len(shared.value.content))
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = Remembered(getattr(shared.value, kind))
+        _WORKER[key] = Remembered(getattr(shared.value, kind), most)
     return _WORKER[key]
 
 
