@@ -19,8 +19,8 @@ densification, banded buckets and star-shaped candidate edges.
    when two in a row confirm nothing new.
 6. Components by alternating stars.
 
-Two sets below ``1 / (1 - threshold)`` shingles can only be linked if equal,
-which step 2 does exactly; for larger ones the chance that a pair at the
+A set below ``threshold / (1 - threshold)`` shingles can only be linked to an
+equal one, which step 2 does exactly; for larger ones the chance that a pair at the
 threshold shares no bucket is ``(1 - 0.80**7)**36``, about 2 in 10,000, and with
 ``Params(3, 85, rows=8)`` it is ``(1 - 0.85**8)**32``, about 4 in 100,000.
 
@@ -118,7 +118,7 @@ def signature(s: np.ndarray, bins: int) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     salt = mix64(np.arange(1, p.bands + 1, dtype=np.uint64))
-    least = 100 // (100 - p.percent) if p.percent < 100 else 1 << 62
+    least = -(-p.percent // (100 - p.percent)) if p.percent < 100 else 1 << 62
     for batch in batches:
         m = batch.num_rows
         n, k1, k2 = np.zeros(m, np.int64), np.zeros(m, np.uint64), np.zeros(m, np.uint64)

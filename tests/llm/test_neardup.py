@@ -57,6 +57,20 @@ def test_against_brute_force(spark):
         assert got == want
 
 
+def test_the_smallest_sets_that_can_be_linked(spark):
+    """A word more at either end: 4 shingles in 5 (five words, 80 %), 6 in 7 (three words, 85 %)."""
+    data = []
+    for k in range(20):
+        for at, n in ((0, 8), (100, 7), (200, 6)):
+            w = [f"w{k}x{at}x{i}" for i in range(n + 1)]
+            data += [(1000 * k + at, " ".join(w[:-1])), (1000 * k + at + 1, " ".join(w)), (1000 * k + at + 2, " ".join(["z", *w[:-1]]))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in data], SCHEMA)
+    for p in (THREE, Params()):
+        want = brute(data, p.shingle, p.percent)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs, p).collect()}
+        assert got == want and any(c != d for d, (_, c) in got.items())
+
+
 def test_edge_rows(edge, clashing, nothing):
     out = near_duplicates(edge, THREE)
     assert out.count() == edge.count()
