@@ -17,7 +17,14 @@ densification, banded buckets and star-shaped candidate edges.
    round, with another centre: in turn the member with most confirmed links and
    a random one, paired with the members outside its component. Rounds end
    when two in a row confirm nothing new.
-6. Components by alternating stars.
+6. What is still in several components of a bucket is finished exactly: the
+   members of such buckets are compared by a prefix filter. Shingles are ordered
+   by the number of those members that have them, rare ones first; two sets at
+   the threshold share one of the first ``n - ceil(n * threshold) + 1`` of each.
+   Members meet by such a shingle, in blocks of ``BLOCK`` by ``BLOCK``, with all
+   that are not of their component; sizes and places in the order leave most
+   out. So no pair that shares a bucket is left untested, however many rounds ran.
+7. Components by alternating stars.
 
 A set below ``threshold / (1 - threshold)`` shingles can only be linked to an
 equal one, which step 2 does exactly; for larger ones the chance that a pair at the
@@ -47,6 +54,8 @@ from opinari.llm.words import mix64
 
 #: Representatives whose ids (8 bytes each) may be broadcast to fetch their texts.
 BROADCAST_IDS = 1_000_000
+#: Members that meet by one shingle are cut into blocks of about so many.
+BLOCK = 1_000
 
 
 @dataclass(frozen=True)
@@ -56,7 +65,7 @@ class Params:
     bins: int = 256          # a power of two
     rows: int = 7            # bins in a band
     centres: int = 3         # members of a bucket that are paired with all others at first
-    rounds: int = 20         # further rounds at most
+    rounds: int = 20         # further rounds at most, before the rest is compared exactly
 
     @property
     def bands(self) -> int:
@@ -170,6 +179,13 @@ def _sets(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k, at in zip(batch.column(0).to_pylist(), batch.column(1)):
+            x = np.frombuffer(at.as_buffer(), dtype=np.int64)
+            yield from words.parts([np.full(len(x), k), np.full(len(x), len(x)), x], ["id", "n", "x"])
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = np.zeros(batch.num_rows, dtype=bool)
@@ -274,7 +290,47 @@ def _further_links(reps: DataFrame, tested: DataFrame, links: DataFrame, sets: D
         turn, quiet, tested = turn + 1, quiet + 1, tested.union(pairs)
         if found is not None and found.limit(1).count():
             links, known, quiet = links.union(found), None, 0
-    return links
+    return links.union(_rest(member, tested, components(links), sets, p)) if total else links
+
+
+def _rest(member: DataFrame, tested: DataFrame, known: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Links between components inside buckets that were not compared in full, by an exact prefix filter."""
+    total = member.count()
+    placed = member.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("part"))
+    uneven = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")) \
+        .where((F.col("lo") != F.col("hi")) & (F.col("n") > p.centres + 1)).select("key", "n", F.lit(True).alias("uneven"))
+    left = written(join_hot(placed, uneven, ["key"], "n", total).where("uneven").select("id", "part").distinct(), "rest")
+    if not left.limit(1).count():
+        return tested.limit(0)
+    one = sets.join(left, "id").select("id", "shingles").mapInArrow(_shingles, "id long, n long, x long")
+    one = written(one, "shingles")
+    often = written(one.groupBy("x").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "often")
+    count = often.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
+    # join_hot hands on no weight, so the count goes along twice; a shingle of one member has none.
+    ranked = join_hot(one, often.select("x", "f", F.col("f").alias("m")), ["x"], "f", count)
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("m", F.lit(1)), "x")).cast("long")
+    need = F.expr(f"n - (n * {p.percent} + 99) div 100 + 1")
+    first = ranked.select("id", "n", "x", "m", place.alias("at")).where((F.col("at") <= need) & F.col("m").isNotNull())
+    first = written(first.join(left, "id").select("id", "n", "x", "at", "part"), "prefixes")
+    # Of a shingle's largest component no two members need to meet, so it is on one side only.
+    by_part = first.groupBy("x", "part").agg(F.count(F.lit(1)).alias("n"))
+    met = by_part.groupBy("x").agg(F.sum("n").alias("f"), F.max_by("part", F.struct("n", "part")).alias("big"),
+                                   F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    met = met.select("x", "f", "big", F.ceil(F.col("f") / BLOCK).alias("blocks"))
+    first = join_hot(first, met, ["x"], "f", first.count()).where("blocks is not null") \
+        .withColumn("s", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    first = written(first, "meeting")
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    x = first.where("part != big").select("x", F.col("s").alias("i"), others.alias("j"), F.col("id").alias("a"),
+                                          F.col("n").alias("na"), F.col("at").alias("ta"), F.col("part").alias("pa"))
+    y = first.select("x", others.alias("i"), F.col("s").alias("j"), F.col("id").alias("b"), F.col("n").alias("nb"),
+                     F.col("at").alias("tb"), F.col("part").alias("pb"), F.col("big"))
+    # ``common`` words at least; at the first one that both have, no more than what follows can be added.
+    common = f"({p.percent} * (na + nb) + {99 + p.percent}) div {100 + p.percent}"
+    pairs = x.join(y, ["x", "i", "j"]).where("pa != pb and (pb = big or a < b)") \
+        .where(f"100 * least(na, nb) >= {p.percent} * greatest(na, nb) and 1 + least(na - ta, nb - tb) >= {common}")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return written(_confirmed(written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), sets, p), "links")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:

@@ -57,6 +57,47 @@ def test_against_brute_force(spark):
         assert got == want
 
 
+def form_letters(n, seed, partners):
+    """``n`` letters of 200 words with six places to fill in, 83 % alike; each of the last ``partners`` has one
+    place in common with another letter, 86 % alike."""
+    r = np.random.default_rng(seed)
+    base = [f"form{i}" for i in range(200)]
+    places = np.arange(5, 195, 33)
+    out = []
+    for k in range(n):
+        w = list(base)
+        for i in places:
+            w[i] = f"own{r.integers(1 << 40)}"
+        out.append(w)
+    for k in range(partners):
+        out[n - 1 - k][places[0]] = out[k][places[0]]
+    return [" ".join(w) for w in out]
+
+
+def test_form_letters_without_a_hub(spark):
+    p = Params(shingle=3, percent=85, rows=8, centres=3)
+    texts = form_letters(1200, 4, 150)
+    data = list(enumerate(texts))
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in map(str.split, texts)]
+
+    def near(a, b):
+        return 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    assert not any(near(a, b) for a, b in np.random.default_rng(5).integers(0, 1000, (5000, 2)) if a != b)
+    assert all(near(k, 1199 - k) for k in range(150))
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in data], SCHEMA).coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, p).collect()}
+    assert got == {d: 1199 - d if d > 1049 else d for d in range(1200)}
+
+
+def test_blocks_of_the_rest(spark, monkeypatch):
+    texts = form_letters(80, 6, 12)
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in enumerate(texts)], SCHEMA).coalesce(1)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    want = brute(list(enumerate(texts)), 3, 85)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs, THREE).collect()}
+    assert got == want
+
+
 def test_the_smallest_sets_that_can_be_linked(spark):
     """A word more at either end: 4 shingles in 5 (five words, 80 %), 6 in 7 (three words, 85 %)."""
     data = []
