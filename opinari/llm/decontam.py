@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinari.llm import words
-from opinari.llm.common import written
+from opinari.llm.common import fresh, written
 
 WINDOW = 10
 #: Item words in one automaton (about 400 bytes each in memory, so 80 MB).
@@ -284,21 +284,43 @@ def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_coverage: float = 0.5,
-                 window: int = WINDOW, length: str | None = None) -> DataFrame:
+                 window: int = WINDOW, length: str | None = None, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` without the texts' benchmark spans: every hit word goes, with the
     characters between the hit words; a document of which more than
     ``max_coverage`` of the words are hit is dropped. ``length`` names a column that
     holds the text's length and follows it. Untouched documents stay as they are,
-    byte for byte."""
+    byte for byte. Several automata all look at the original text; their spans are
+    merged before anything is cut, so ``shard_words`` changes no result."""
     at = docs.columns.index(text), docs.columns.index(length) if length else None
-    out = docs
-    for automaton in automata(benchmark, window=window):
-        shared = out.sparkSession.sparkContext.broadcast(automaton)
-        out = out.mapInArrow(_remover(shared, at, max_coverage), docs.schema)
-    return out
+    share = docs.sparkSession.sparkContext.broadcast
+    found = [share(a) for a in automata(benchmark, window=window, shard_words=shard_words)]
+    if not found:
+        return docs
+    if len(found) == 1:
+        return docs.mapInArrow(_remover(found[0], at, max_coverage), docs.schema)
+    row, spans = fresh(docs, "_row"), fresh(docs, "_spans")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    looked = numbered.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(row).alias("row"))
+    shape = "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>"
+    parts = None
+    for b in found:
+        part = looked.mapInArrow(_matcher(b, "row"), shape).where(F.size("spans") > 0).select("row", "spans")
+        parts = part if parts is None else parts.union(part)
+    merged = parts.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")) \
+        .select(F.col("row").alias(row), _merge_spans("spans").alias(spans))
+    joined = numbered.join(merged, row, "left").select(*[numbered[c] for c in docs.columns], spans)
+    return joined.mapInArrow(_remover(None, at, max_coverage), docs.schema)
+
+
+def _given(column: pa.Array, i: int, first: np.ndarray) -> Iterator[tuple[int, list, None]]:
+    """What ``scan`` yields, from a column of merged spans."""
+    for d, spans in enumerate(column.slice(i, len(first) - 1).to_pylist()):
+        if spans:
+            yield d, spans, None
 
 
 def _remover(shared, where: tuple[int, int | None], max_coverage: float):
+    """Cuts what the automaton finds or, without one, the spans in the last column, which goes."""
     at, sized = where
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,14 +329,16 @@ def _remover(shared, where: tuple[int, int | None], max_coverage: float):
             raw, bounds = words.buffers(column)
             changed: dict[int, str | None] = {}
             for i, _, first, h, start, end, base in words.slices(column, words.ALNUM):
-                for d, spans, _ in shared.value.scan(first, h):
+                for d, spans, _ in shared.value.scan(first, h) if shared else _given(batch.column(batch.num_columns - 1), i, first):
                     lo = int(first[d])
                     if sum(b - a for a, b in spans) > max_coverage * (int(first[d + 1]) - lo):
                         changed[i + d] = None
                         continue
-                    kept, done = [], int(bounds[i + d])
+                    kept, done, before = [], int(bounds[i + d]), None
                     for a, b in spans:
-                        kept.append(raw[done:base + int(start[lo + a])].tobytes())
+                        if a != before:                  # what is between neighbouring spans goes, too
+                            kept.append(raw[done:base + int(start[lo + a])].tobytes())
+                        before = b
                         done = base + int(end[lo + b - 1])
                     kept.append(raw[done:int(bounds[i + d + 1])].tobytes())
                     changed[i + d] = b"".join(kept).decode("utf-8", "replace")
@@ -333,6 +357,6 @@ def _remover(shared, where: tuple[int, int | None], max_coverage: float):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[[k for k, v in changed.items() if v is None]] = False
                 batch = batch.filter(pa.array(keep))
-            yield batch
+            yield batch if shared else batch.select(list(range(batch.num_columns - 1)))
 
     return run

@@ -71,6 +71,27 @@ def test_spans_go_and_the_rest_stays(spark, items, clashing):
     assert decontam.remove_spans(clashing, items).columns == clashing.columns
 
 
+def test_several_automata_cut_the_same(spark, clashing):
+    long, other = [f"long{i}" for i in range(60)], [f"other{i}" for i in range(14)]
+    mixed = long[25:31] + [f"mixed{i}" for i in range(8)]              # overlaps with the long item's passage
+    joined = [f"joined{i}" for i in range(12)]
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([long, other, mixed, joined])], "item_id long, text string")
+    pad = [f"pad{i}" for i in range(100)]
+    texts = [pad[:40] + long[a:a + 16] + pad[40:] for a in range(0, 44, 3)]                       # over the seams of pieces
+    texts += [pad[:40] + long[15:31] + mixed[6:] + pad[40:], pad[:40] + long[20:31] + mixed[6:] + other + pad[40:]]
+    texts += [long[:12] + other[:12] + pad[:6]]                                                    # 40 % each
+    texts += [pad[:40] + joined[:6] + other + joined[6:] + pad[40:], pad[:40] + joined[:6] + long[:20] + joined[6:] + pad[40:]]
+    docs = spark.createDataFrame([(k, " ".join(w), "en", "s", 1) for k, w in enumerate(texts)], SCHEMA)
+    one = rows(decontam.remove_spans(docs, items, length="n_chars"))
+    assert rows(decontam.remove_spans(docs, items, length="n_chars", shard_words=25)) == one
+    left = {int(r[0]): r[1].split() for r in one}
+    assert set(left) == set(range(len(texts))) - {17}
+    assert all(left[k] == pad for k in range(17))
+    assert all(left[k] == pad[:40] + joined + pad[40:] for k in (18, 19))      # cutting makes no new occurrence
+    out = decontam.remove_spans(clashing, items, shard_words=25)
+    assert out.columns == clashing.columns and rows(out) == rows(clashing)
+
+
 KEY40 = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12"
 LOUD = [
     "token = abcdef and password: \"s3cr3t/pw\" PASSWD='x' api_key=12345", "token=token:abcdefg secret=token=abcdefgh",
