@@ -8,8 +8,14 @@
   entry goes to the list of its nearest centroid and, near a boundary, also to
   others (closure ``1 + REPLICATE`` of the smallest distance, without centroids
   that a chosen one shadows).
-* Search: the graph finds a query's nearest centroids in memory; lists farther
-  than ``1 + PRUNE`` times the nearest distance are left out. Queries and
+* Calibration: the true nearest entries of ``HELD`` queries (by hash of the id),
+  by brute force over all entries, show at which place of a query's order of
+  lists they are met. A search looks into as many lists, and as far, as gave
+  ``RECALL`` of them; there is no cap. Where that is more than ``PROBES``
+  lists, the least there are, fewer and larger lists are tried, so that the (query, list) rows don't
+  grow with the number of lists; what is compared then grows, as it must.
+* Search: a query's nearest centroids are found in memory, by the graph or, if
+  many are wanted, by comparing all of them. Queries and
   entries meet per list; large lists are cut into blocks of ``BLOCK`` entries by
   ``BLOCK`` queries, all of them compared. Each block keeps its best per query.
 
@@ -42,7 +48,9 @@ BLOCK = 2_000
 DEGREE = 24
 BEAM = 96
 REPLICATE, REPLICAS = 0.15, 4
-PRUNE, PROBES = 0.6, 64
+PRUNE, PROBES = 0.6, 64     # the least reach; above so many lists per query, fewer, larger lists are tried
+HELD, RECALL = 256, 0.97
+FEWEST = 256          # the number of lists is not halved below this
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -66,6 +74,10 @@ class Graph:
         """Numbers and distances of each row's ``beam`` nearest centroids as the graph finds them, nearest first."""
         n, k = len(x), len(self.centres)
         beam = min(beam, k)
+        if beam * 16 >= k:                     # the graph would meet most of them
+            dist = _far(x @ self.centres.T)
+            ids = np.argsort(dist, axis=1, kind="stable")[:, :beam]
+            return ids, np.take_along_axis(dist, ids, axis=1)
         rows = np.arange(n)[:, None]
         ids = np.repeat(self.entry[None, :], n, axis=0)
         dist = _far(x @ self.centres[self.entry].T)
@@ -131,11 +143,70 @@ def _replicas(g: Graph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, ids[row, col]
 
 
-def _probes(g: Graph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ids, dist = g.search(x, max(BEAM, PROBES))
-    ids, dist = ids[:, :PROBES], dist[:, :PROBES]
-    row, col = np.nonzero(dist <= (1 + PRUNE) * np.maximum(dist[:, :1], 1e-9) + 1e-12)
-    return row, ids[row, col]
+@dataclass
+class Reach:
+    """How many lists a query looks into at least, and how far in multiples of the nearest one's distance;
+    ``PROBES`` and ``1 + PRUNE`` where these are less."""
+
+    probes: int
+    ratio: float
+
+    def __call__(self, g: Graph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, dist = g.search(x, max(BEAM, self.probes + self.probes // 2))
+        probes, ratio = max(self.probes, PROBES), max(self.ratio, 1 + PRUNE)
+        ids, dist = ids[:, :probes], dist[:, :probes]
+        row, col = np.nonzero(dist <= ratio * np.maximum(dist[:, :1], 1e-9) + 1e-9)
+        return row, ids[row, col]
+
+
+def reach(g: Graph, x: np.ndarray, asker: np.ndarray, near: np.ndarray) -> Reach:
+    """The smallest reach with which the queries ``x`` meet ``RECALL`` of their true neighbours:
+    ``near[i]`` is one of query ``asker[i]``."""
+    if not len(near):
+        return Reach(len(g.centres), np.inf)
+    row, to = _replicas(g, near)
+    dist = _far(x @ g.centres.T)
+    place = np.empty(dist.shape, dtype=np.int64)
+    np.put_along_axis(place, np.argsort(dist, axis=1, kind="stable"), np.arange(dist.shape[1])[None, :], axis=1)
+    first = np.full(len(near), dist.shape[1])
+    np.minimum.at(first, row, place[asker[row], to])
+    probes = int(np.sort(first)[int(np.ceil(RECALL * len(near))) - 1]) + 1
+    # Of those met by then, none is lost by the distance.
+    met = place[asker[row], to] == first[row]
+    met &= first[row] < probes
+    d = dist[asker[row[met]], to[met]] / np.maximum(dist[asker[row[met]]].min(axis=1), 1e-9)
+    return Reach(probes, float(d.max()) * (1 + 1e-9))
+
+
+def _nearest(base: DataFrame, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(row of x, unit vector)`` of the ``k`` nearest entries by brute force, without those of the same direction."""
+    shared = base.sparkSession.sparkContext.broadcast(x)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shared.value
+        rows, dots, best = np.zeros(0, np.int64), np.zeros(0), np.zeros((0, asked.shape[1]))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                v = _unit(_vectors(whole.column(0).slice(at, 4096)))
+                s = asked @ v.T
+                s[s > 1 - 1e-9] = -np.inf
+                most = min(k, len(v))
+                col = np.argpartition(-s, most - 1, axis=1)[:, :most]
+                r = np.repeat(np.arange(len(asked)), most)
+                rows, dots, best = np.r_[rows, r], np.r_[dots, s[r, col.ravel()]], np.concatenate([best, v[col.ravel()]])
+                order = np.lexsort((-dots, rows))
+                head = np.searchsorted(rows[order], np.arange(len(asked)))
+                keep = order[(np.arange(len(order)) - head[rows[order]] < k) & np.isfinite(dots[order])]
+                rows, dots, best = rows[keep], dots[keep], best[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(dots), pa.array(list(best), pa.list_(pa.float64()))],
+                                         names=["q", "dot", "v"])
+
+    found = base.select("v").mapInArrow(run, "q long, dot double, v array<double>")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("dot"), F.xxhash64("v")))
+    got = found.select("q", "v", rank.alias("rank")).where(F.col("rank") <= k).select("q", "v").toArrow()   # HELD * k rows
+    q = got.column(0).to_numpy().astype(np.int64)
+    v = got.column(1).combine_chunks() if got.num_rows else None
+    return q, (_vectors(v) if v is not None else np.zeros((0, x.shape[1])))
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -178,21 +249,32 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
         sample = _vectors(pa.concat_arrays(base.limit(1).select("v").toArrow().column(0).chunks))
     sample = _unit(sample[np.lexsort(sample.T)])
     lists = max(1, min(n // LIST, len(sample) // 16))
-    graph = spark.sparkContext.broadcast(fit(sample, lists))
-
-    def deal(find):
+    held = asked.orderBy(F.xxhash64("id"), "id").select("v").limit(HELD).toArrow().column(0)
+    if len(held):
+        x = _unit(_vectors(held.combine_chunks()))
+        asker, near = _nearest(base, x, k)
+    while True:
+        fitted = fit(sample, lists)
+        find = reach(fitted, x, asker, near) if len(held) else Reach(1, np.inf)
+        if find.probes <= PROBES or lists < 2 * FEWEST:
+            break
+        # As many lists as would bring the probes down, if these keep their share.
+        lists = max(FEWEST, min(lists // 2, lists * PROBES // find.probes))
+    graph = spark.sparkContext.broadcast(fitted)
+
+    def deal(to_lists):
         """Rows with the lists they go to."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for at in range(0, whole.num_rows, 512):
                     batch = whole.slice(at, 512)
-                    row, to = find(graph.value, _unit(_vectors(batch.column(batch.schema.get_field_index("v")))))
+                    row, to = to_lists(graph.value, _unit(_vectors(batch.column(batch.schema.get_field_index("v")))))
                     kept = batch.take(pa.array(row))
                     yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(to, pa.int64())], names=[*batch.schema.names, "list"])
         return run
 
     posted = written(base.mapInArrow(deal(_replicas), "h1 long, h2 long, ids array<long>, v array<double>, list long"), "postings")
-    probed = written(asked.select("id", "v").mapInArrow(deal(_probes), "id long, v array<double>, list long"), "probes")
+    probed = written(asked.select("id", "v").mapInArrow(deal(find), "id long, v array<double>, list long"), "probes")
     # Blocks per list: at most as many rows as there are lists.
     size = posted.groupBy("list").agg(F.count(F.lit(1)).alias("p")).join(
         probed.groupBy("list").agg(F.count(F.lit(1)).alias("q")), "list")

@@ -56,6 +56,28 @@ def test_recall(spark):
     assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_recall_of_many_random_vectors(spark, tmp_path):
+    """Vectors without any structure, 200,000 of them: the number of lists must not lower recall."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    n, d, k = 200_000, 64, 5
+    x = np.random.default_rng(11).normal(size=(n, d)).astype(np.float32)
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, n * d + 1, d), pa.int32()), pa.array(x.ravel()))
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": flat}), str(tmp_path / "v.parquet"), row_group_size=20_000)
+    df = spark.read.parquet(str(tmp_path / "v.parquet"))
+    got = {}
+    for r in ann.search(df, df.where("vec_id % 200 = 0"), k).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    right = 0
+    for q in range(0, n, 1000):
+        s = u @ u[q]
+        s[q] = -2
+        right += len(got[q] & set(np.argpartition(-s, k)[:k].tolist()))
+    print("recall", right / (k * (n // 1000)))
+    assert right >= 0.95 * k * (n // 1000)
+
+
 def test_small_blocks_give_the_same(spark, monkeypatch):
     df = documents(spark, "/root/testdata/sf0.001", "embeddings")
     want = rows(ann.op3(df).select("query_id", "rank", "vec_id"))
