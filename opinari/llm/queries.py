@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, secrets, tokens, urls
+from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, periodic, secrets, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -226,3 +226,8 @@ FROM d LEFT JOIN s ON d.r = s.r
 def op4_lm_scores(spark, sf_dir):
     out = lm.score(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_backoff", F.round("log_prob", 6).alias("log_prob"), F.round("score", 6).alias("score"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    return periodic.op12(documents(spark, sf_dir))
