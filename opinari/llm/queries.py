@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, periodic, secrets, tokens, urls
+from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, periodic, secrets, spelling, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -231,3 +231,8 @@ def op4_lm_scores(spark, sf_dir):
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark, sf_dir):
     return periodic.op12(documents(spark, sf_dir))
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.op11(documents(spark, sf_dir))
