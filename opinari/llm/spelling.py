@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from opinari.llm.common import written
 from opinari.llm.words import mix64
+from opinari.operators.base import with_columns_once
 
 TILE = 4096          # words of a block that are multiplied with each other at once
 BYTES = 1 << 23      # and letters, for long words
@@ -56,11 +57,12 @@ def group_count(words: int) -> int:
 def word_counts(docs: DataFrame, changed, doc_id: str = "doc_id", text: str = "text", length: int = 5, least: int = 3) -> DataFrame:
     """(word, n) of the maximal runs ``[A-Za-z\\u00C0-\\u00FF]+``, A-Z lower-cased, after ``changed(id, word)``,
     with at least ``length`` letters and ``least`` occurrences. ``changed`` must not lengthen a word."""
-    run = F.regexp_extract_all(text, F.lit("([A-Za-zÀ-ÿ]{%d,})" % length), F.lit(1))
+    run = F.regexp_extract_all(text, F.lit("[A-Za-zÀ-ÿ]{%d,}" % length), F.lit(0))
     words = docs.select(F.col(doc_id).alias("id"), F.explode(run).alias("w"))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     low = F.when(F.col("w").rlike("[A-Z]"), F.translate("w", upper, upper.lower())).otherwise(F.col("w"))
-    words = words.select("id", low.alias("w")).select(changed(F.col("id"), F.col("w")).alias("word"))
+    words = with_columns_once(words, low=low).select("id", "low")
+    words = with_columns_once(words, word=changed(F.col("id"), F.col("low")))
     return words.where(F.length("word") >= length).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
@@ -107,7 +109,7 @@ def _dealt(groups: int):
 
 
 class _Words:
-    """Words of one length: their letters, letter counts (exact in the type) and squared lengths."""
+    """Words of one length: their letters, letter counts (exact in the type) and half their squared lengths."""
 
     def __init__(self, index: np.ndarray, letters: np.ndarray, starts: np.ndarray, length: int):
         self.index, self.length = index, length
@@ -119,7 +121,7 @@ class _Words:
         rows = np.arange(len(self.index))[:, None] * len(alphabet)
         self.counts = np.bincount((rows + place).ravel(), minlength=len(self.index) * len(alphabet)) \
             .reshape(len(self.index), len(alphabet)).astype(kind)
-        self.square = (self.counts * self.counts).sum(axis=1)
+        self.half = (self.counts * self.counts).sum(axis=1, keepdims=True) / kind(2)
 
 
 def _near(a: _Words, b: _Words, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -128,21 +130,24 @@ def _near(a: _Words, b: _Words, same: bool) -> tuple[np.ndarray, np.ndarray]:
     a.count(alphabet)
     b.count(alphabet)
     left, right = [], []
-    step = max(1, (1 << 22) // max(1, len(b.index)))
+    step = max(1, (1 << 20) // max(1, len(b.index)))
+    # ab - |b|^2 / 2 in one product; |a - b|^2 <= d wherever that is at least (|a|^2 - d) / 2.
+    x, y = np.hstack([a.counts, np.ones_like(a.half)]), np.hstack([b.counts, -b.half]).T
+    least = a.half - a.half.dtype.type(1.0 if a.length == b.length else 0.5)
     for lo in range(0, len(a.index), step):
-        far = a.square[lo:lo + step, None] + b.square[None, :] - 2 * (a.counts[lo:lo + step] @ b.counts.T)
-        i, j = np.nonzero(far <= (2 if a.length == b.length else 1))
+        close = np.flatnonzero(x[lo:lo + step] @ y >= least[lo:lo + step])
+        i, j = np.divmod(close, len(b.index))
         i += lo
         if same:
             i, j = i[i < j], j[i < j]
         for at in range(0, len(i), 1 + BYTES // a.length):
             s, t = i[at:at + 1 + BYTES // a.length], j[at:at + 1 + BYTES // a.length]
-            x, y = a.letters[s], b.letters[t]
+            u, v = a.letters[s], b.letters[t]
             if a.length == b.length:
-                ok = (x != y).sum(axis=1) == 1
+                ok = (u != v).sum(axis=1) == 1
             else:
-                head = np.cumprod(x == y[:, :-1], axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64)
-                tail = np.cumprod((x == y[:, 1:])[:, ::-1], axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64)
+                head = np.cumprod(u == v[:, :-1], axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64)
+                tail = np.cumprod((u == v[:, 1:])[:, ::-1], axis=1, dtype=np.int8).sum(axis=1, dtype=np.int64)
                 ok = head + tail >= a.length
             left.append(a.index[s[ok]])
             right.append(b.index[t[ok]])
