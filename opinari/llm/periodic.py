@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinari.llm import words
 from opinari.llm.words import mix64
 
 SLICE = 1 << 16      # words worked on at a time
@@ -231,7 +232,7 @@ def periodic_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
         yield counts, found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in words.portions(whole, 1)):
             *collapsed, (counts, found) = work(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts), pa.array(found, pa.list_(_RUN)), pa.array(collapsed, pa.binary()).cast(pa.string())],

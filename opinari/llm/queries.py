@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opinari.llm import ann, decontam, langid, licenses, lm, neardup, packing, periodic, secrets, spelling, tokens, urls
+from opinari.llm import ann, binpack, decontam, langid, licenses, lm, neardup, packing, periodic, secrets, spelling, tokens, urls
 from opinari.llm.common import documents
 
 QUERIES: dict = {}
@@ -236,3 +236,8 @@ def op12_periodic_runs(spark, sf_dir):
 @query("op11_spelling_variants")
 def op11_spelling_variants(spark, sf_dir):
     return spelling.op11(documents(spark, sf_dir))
+
+
+@query("op13_certified_packing")
+def op13_certified_packing(spark, sf_dir):
+    return binpack.op13(documents(spark, sf_dir), vocabulary_path())

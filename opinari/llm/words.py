@@ -82,7 +82,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds
 
 
-def _split(data: np.ndarray, bounds: np.ndarray, word: np.ndarray):
+def _split(data: np.ndarray, bounds: np.ndarray, word: np.ndarray, codes: np.ndarray = _CODES):
     """Starts, ends and hashes of the words of one slice; a document's border
     ends a word."""
     w = word[data]
@@ -94,7 +94,7 @@ def _split(data: np.ndarray, bounds: np.ndarray, word: np.ndarray):
     if not len(start):
         return start, start, np.zeros(0, dtype=np.uint64)
     up, down = _POWERS.upto(len(data))
-    value = np.where(w, _CODES[data], np.uint64(0))
+    value = np.where(w, codes[data], np.uint64(0))
     value *= up[:len(data)]
     hashes = np.add.reduceat(value, start) * down[start]
     last = w.copy()
@@ -104,7 +104,7 @@ def _split(data: np.ndarray, bounds: np.ndarray, word: np.ndarray):
     return start, np.flatnonzero(last) + 1, mix64(hashes)
 
 
-def _long(data: np.ndarray, word: np.ndarray):
+def _long(data: np.ndarray, word: np.ndarray, codes: np.ndarray = _CODES):
     """One text above the slice size, cut at separators."""
     parts, at = [], 0
     while at < len(data):
@@ -115,16 +115,17 @@ def _long(data: np.ndarray, word: np.ndarray):
                 to = at + int(gap[-1]) + 1
                 break
             to = min(to + SLICE, len(data))
-        s, e, h = _split(data[at:to], np.array([0, to - at]), word)
+        s, e, h = _split(data[at:to], np.array([0, to - at]), word, codes)
         parts.append((s + at, e + at, h))
         at = to
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def slices(column: pa.Array, word: np.ndarray) -> Iterator[tuple]:
+def slices(column: pa.Array, word: np.ndarray, codes: np.ndarray = _CODES) -> Iterator[tuple]:
     """Yield ``(i, j, first, hashes, start, end, base)`` for the documents i..j-1 of
     each slice: document k's words are ``first[k-i]:first[k-i+1]``; start and
-    end are byte positions relative to ``base`` in the column's buffer."""
+    end are byte positions relative to ``base`` in the column's buffer. ``codes`` are the bytes'
+    codes in the hashes; by default A-Z have those of a-z."""
     raw, bounds = buffers(column)
     n, i = len(bounds) - 1, 0
     while i < n:
@@ -132,9 +133,9 @@ def slices(column: pa.Array, word: np.ndarray) -> Iterator[tuple]:
         j = min(max(j, i + 1), n)
         lo, hi = int(bounds[i]), int(bounds[j])
         if hi - lo > SLICE:                       # one long document
-            s, e, h = _long(raw[lo:hi], word)
+            s, e, h = _long(raw[lo:hi], word, codes)
         else:
-            s, e, h = _split(raw[lo:hi], bounds[i:j + 1] - lo, word)
+            s, e, h = _split(raw[lo:hi], bounds[i:j + 1] - lo, word, codes)
         yield i, j, np.searchsorted(s, bounds[i:j + 1] - lo), h, s, e, lo
         i = j
 

@@ -31,7 +31,7 @@ def test_against_duckdb(spark, name):
 
 
 def test_names():
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 13))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(ORACLE) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontaminate", "redact_secrets", "pack"]
