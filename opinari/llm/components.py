@@ -26,8 +26,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Large star: what hangs on a moves to a's smallest neighbour.
         parent = e.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("p"))
         degree = e.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        e = join_hot(e, degree.join(parent, "a", "left"), ["a"], "n", before[0]) \
-            .select(F.coalesce("p", "a").alias("a"), "b").distinct()
+        e = written(join_hot(e, degree.join(parent, "a", "left"), ["a"], "n", before[0])
+                    .select(F.coalesce("p", "a").alias("a"), "b").distinct(), "edges")
         # Small star: b and its other smaller neighbours move to the smallest one.
         low = e.groupBy("b").agg(F.min("a").alias("p"), F.count(F.lit(1)).alias("n"))
         e = join_hot(e, low, ["b"], "n", before[0]) \

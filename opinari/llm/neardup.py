@@ -5,18 +5,18 @@ densification, banded buckets and star-shaped candidate edges.
    hashes; the hash space is cut into ``bins``, a set's value in a bin is its
    smallest hash there, empty bins borrow from bins found by a fixed probe
    sequence (optimal densification); ``rows`` bins make a band.
-2. Equal sets form one class, represented by its smallest id, so groups of
-   exact copies cost one representative however large they are.
+2. Equal sets form one class, a node with a number of its own, so groups of
+   exact copies cost one node however large they are.
 3. Stars: in each bucket ``centres`` members (the first by a hash that differs
    from band to band) are paired with every other member: first inside each
    Arrow batch, then among what the batches send on, by a window. Pairs grow
    linearly with a bucket, a bucket of up to ``centres + 1`` is compared in full,
    and a member of a larger one meets other centres in every band.
 4. Candidate pairs are confirmed on their full shingle sets.
-5. Buckets whose members are not yet in one component meet again, round by
-   round, with another centre: in turn the member with most confirmed links and
-   a random one, paired with the members outside its component. Rounds end
-   when two in a row confirm nothing new.
+5. Only buckets above ``centres + 1`` are left, a small part. Those whose members are
+   not yet in one component meet again with another centre, at most ``rounds`` times:
+   the member with most confirmed links, then a random one, paired with the
+   members outside its component. New links contract the known components.
 6. What is still in several components of a bucket is finished exactly: the
    members of such buckets are compared by a prefix filter. Shingles are ordered
    by the number of those members that have them, rare ones first; two sets at
@@ -24,7 +24,7 @@ densification, banded buckets and star-shaped candidate edges.
    Members meet by such a shingle, in blocks of ``BLOCK`` by ``BLOCK``, with all
    that are not of their component; sizes and places in the order leave most
    out. So no pair that shares a bucket is left untested, however many rounds ran.
-7. Components by alternating stars.
+7. Components by alternating stars; a document has its class's.
 
 A set below ``threshold / (1 - threshold)`` shingles can only be linked to an
 equal one, which step 2 does exactly; for larger ones the chance that a pair at the
@@ -33,8 +33,8 @@ threshold shares no bucket is ``(1 - 0.80**7)**36``, about 2 in 10,000, and with
 
 Defined results: null and empty texts have an empty set and are linked with
 nothing; a row without an id takes no part (component null, kept); rows that
-repeat an id are one node; an empty table gives no rows. Only the named
-columns are read.
+repeat an id are documents of their own, linked if their sets are near; an
+empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -52,8 +52,8 @@ from opinari.llm.common import fresh, join_hot, written
 from opinari.llm.components import components
 from opinari.llm.words import mix64
 
-#: Representatives whose ids (8 bytes each) may be broadcast to fetch their texts.
-BROADCAST_IDS = 1_000_000
+#: Rows of a few numbers that may be broadcast.
+BROADCAST_ROWS = 500_000
 #: Members that meet by one shingle are cut into blocks of about so many.
 BLOCK = 1_000
 
@@ -65,7 +65,7 @@ class Params:
     bins: int = 256          # a power of two
     rows: int = 7            # bins in a band
     centres: int = 3         # members of a bucket that are paired with all others at first
-    rounds: int = 20         # further rounds at most, before the rest is compared exactly
+    rounds: int = 2          # further rounds at most, before the rest is compared exactly
 
     @property
     def bands(self) -> int:
@@ -125,6 +125,10 @@ def signature(s: np.ndarray, bins: int) -> np.ndarray:
     return sig
 
 
+def _class_key(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return mix64(s).sum(), np.bitwise_xor.reduce(mix64(s + np.uint64(99)))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     salt = mix64(np.arange(1, p.bands + 1, dtype=np.uint64))
     least = -(-p.percent // (100 - p.percent)) if p.percent < 100 else 1 << 62
@@ -135,15 +139,15 @@ def _signatures(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Rec
         for k, s in shingle_sets(batch.column(1), p.shingle):
             n[k] = len(s)
             if len(s):
-                k1[k], k2[k] = mix64(s).sum(), np.bitwise_xor.reduce(mix64(s + np.uint64(99)))
+                k1[k], k2[k] = _class_key(s)
                 if len(s) >= least:
                     sig = signature(s, p.bins)[:p.bands * p.rows].reshape(p.bands, p.rows)
                     bands[k], has[k] = mix64((sig * _ODD[:p.rows]).sum(axis=1) + salt), True
         offsets = np.r_[0, np.cumsum(np.where(has, p.bands, 0))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
+            [batch.column(0), batch.column(2), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
              pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands[has].ravel().view(np.int64)))],
-            names=["doc_id", "n_shingles", "k1", "k2", "bands"])
+            names=["doc_id", "h", "n_shingles", "k1", "k2", "bands"])
 
 
 def _stars(batches: Iterator[pa.RecordBatch], centres: int) -> Iterator[pa.RecordBatch]:
@@ -175,8 +179,10 @@ def _stars(batches: Iterator[pa.RecordBatch], centres: int) -> Iterator[pa.Recor
 
 def _sets(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [s.tobytes() for _, s in shingle_sets(batch.column(1), p.shingle)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+        found = [s for _, s in shingle_sets(batch.column(1), p.shingle)]
+        keys = np.array([_class_key(s) if len(s) else (0, 0) for s in found], dtype=np.uint64).reshape(len(found), 2).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
+                                          pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "k1", "k2", "shingles"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,87 +219,121 @@ def _pairs(stars: DataFrame, centres: int) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, marked for broadcast if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _grouped(docs: DataFrame, p: Params, doc_id: str, text: str) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, node_group (null: in none) and component_id of every row, written."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    sig = written(rows.mapInArrow(lambda it: _signatures(it, p), "doc_id long, h long, n_shingles long, k1 long, k2 long, bands array<long>"),
+                  "signatures")
+    # Equal sets have equal bands, so any row's will do.
+    nodes = sig.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    known = written(_components(rows, nodes, p), "components")
+    of = nodes.select("k1", "k2", "rep", "copies", F.col("node").alias("id")).join(known, "id", "left") \
+        .select("k1", "k2", "rep", "copies", F.coalesce("component", "id").alias("node_group"))
+    first = of.groupBy("node_group").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    count, total = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    of = join_hot(of, first, ["node_group"], "n", count).withColumn("m", F.col("copies"))
+    out = join_hot(sig.select("doc_id", "h", "n_shingles", "k1", "k2"),
+                   of.select("k1", "k2", "m", "node_group", "component_id"), ["k1", "k2"], "m", total)
+    real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return written(out.select("doc_id", "h", "n_shingles", F.when(real, F.col("node_group")).alias("node_group"),
+                              F.when(real, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "groups")
+
+
 def near_duplicates(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sig = written(rows.mapInArrow(lambda it: _signatures(it, p),
-                                  "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
-    real = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    total = sig.count()
-    member = written(join_hot(real, classes, ["k1", "k2"], "copies", total)
-                     .select("doc_id", "n_shingles", "rep",
-                             F.when(F.col("rep") == F.col("doc_id"), F.col("bands")).alias("bands")), "classes")
-    same = member.where("rep != doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = _linked(rows, member, p)
-    parts = components(links.union(same))
-    out = sig.select("doc_id", "n_shingles").join(parts, F.col("doc_id") == F.col("id"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                      F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id")),
-                                 F.lit(True)).alias("kept"))
-
-
-def _ids(ids: DataFrame) -> DataFrame:
-    """A written table of ids, marked for broadcast if it is small enough."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return _grouped(docs, p, doc_id, text).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when one document of each group of near-duplicates does: the one
-    with the smallest id. Of rows that repeat an id one stays (by hash of the text); rows
-    without an id all stay."""
-    groups = near_duplicates(docs, p, doc_id, text)
-    gone = _ids(written(groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone"))
-    twice = docs.groupBy(F.col(doc_id).alias("_twice")).agg(F.count(F.lit(1)).alias("n")) \
-        .where("n > 1 and _twice is not null").select("_twice")
-    twice = _ids(written(twice, "twice"))
-    left = docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
-    once = left.join(twice, left[doc_id] == twice["_twice"], "left_anti")
-    rank = fresh(docs, "_rank")
-    many = left.join(twice, left[doc_id] == twice["_twice"], "left_semi").withColumn(
-        rank, F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text), F.length(text))))
-    return once.union(many.where(F.col(rank) == 1).drop(rank))
-
-
-def _linked(rows: DataFrame, member: DataFrame, p: Params) -> DataFrame:
-    """Confirmed links between representatives."""
-    reps = member.where(F.size("bands") > 0).select("rep", "bands")
-    stars = written(reps.mapInArrow(lambda it: _stars(it, p.centres), "key long, a long, b long"), "stars")
+    with the smallest id; of rows that share id and group, one by hash of the text. Rows without
+    an id or words all stay."""
+    groups = _grouped(docs, p, doc_id, text)
+    id_, h, group, rank = (fresh(docs, c) for c in ("_id", "_h", "_group", "_rank"))
+    named = groups.select(F.col("doc_id").alias(id_), F.col("h").alias(h), F.col("node_group").alias(group),
+                          (F.col("doc_id") != F.col("component_id")).alias("gone")).where(F.col(group).isNotNull())
+    gone = _few(written(named.where("gone").select(id_, h).distinct(), "gone"))
+    left = docs.join(gone, (docs[doc_id] == gone[id_]) & (F.xxhash64(docs[text]) == gone[h]), "left_anti")
+    # Several rows of one id and group.
+    twice = named.where("not gone").groupBy(id_, group).agg(F.count(F.lit(1)).alias("n"), F.collect_set(h).alias("hs")).where("n > 1")
+    twice = _few(written(twice.select(id_, group, F.explode("hs").alias(h)), "twice"))
+    on = (left[doc_id] == twice[id_]) & (F.xxhash64(left[text]) == twice[h])
+    once = left.join(twice, on, "left_anti")
+    # The first by hash; of equal texts, which are equal but for other columns, one by those.
+    others = [F.col(f"`{c}`") for c in docs.columns if not docs.schema[c].dataType.simpleString().startswith(("map", "variant"))]
+    many = left.join(twice, on, "inner").withColumn(rank, F.row_number().over(
+        Window.partitionBy(id_, group).orderBy(h, F.xxhash64(*others))))
+    return once.union(many.where(F.col(rank) == 1).select(*[many[c] for c in docs.columns]))
+
+
+def _components(rows: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """(id, component) of the nodes that are linked with others."""
+    banded = nodes.where(F.size("bands") > 0).select("node", "bands")
+    stars = written(banded.mapInArrow(lambda it: _stars(it, p.centres), "key long, a long, b long"), "stars")
     pairs = written(_pairs(stars, p.centres), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = _ids(written(wanted, "wanted"))
-    sets = written(rows.join(wanted, rows["doc_id"] == wanted["id"], "left_semi")
-                   .mapInArrow(lambda it: _sets(it, p), "id long, shingles binary"), "sets")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = _few(written(nodes.select("node", "rep", "k1", "k2").join(wanted, "node"), "wanted"))
+    found = rows.join(wanted, rows["doc_id"] == wanted["rep"], "left_semi").select("doc_id", "text") \
+        .mapInArrow(lambda it: _sets(it, p), "doc_id long, k1 long, k2 long, shingles binary")
+    on = (found["doc_id"] == wanted["rep"]) & (found["k1"] == wanted["k1"]) & (found["k2"] == wanted["k2"])
+    sets = written(found.join(wanted, on).groupBy(F.col("node").alias("id")).agg(F.first("shingles").alias("shingles")), "sets")
     links = written(_confirmed(pairs, sets, p), "links")
-    return _further_links(reps.join(wanted, reps["rep"] == wanted["id"], "left_semi"), pairs, links, sets, p)
-
-
-def _further_links(reps: DataFrame, tested: DataFrame, links: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
-    """``links`` with those of further rounds; ``tested`` pairs are not tested again."""
-    member = written(reps.select(F.col("rep").alias("id"), F.explode("bands").alias("key")), "buckets")
-    total, quiet, turn, known = member.count(), 0, 0, None
-    while total and quiet < 2 and turn < p.rounds:
-        if known is None:
-            ends = links.select(F.col("a").alias("id")).union(links.select("b"))
-            known = components(links).join(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "id")
+    known = written(components(links), "components")
+    buckets = banded.select(F.col("node").alias("id"), F.explode("bands").alias("key"))
+    large = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > p.centres + 1).select("key")
+    large = _few(written(large, "large"))
+    member = written(buckets.join(large, "key", "left_semi"), "buckets")
+    return _further(member, pairs, links, known, sets, p)
+
+
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known (id, component)`` after the further ``links (a, b)``, by contracting the components; written."""
+    a, b = (known.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    between = links.join(a, "a", "left").join(b, "b", "left") \
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    new = written(components(between), "contracted")
+    to = _few(new.select(F.col("id").alias("old"), F.col("component").alias("to")))
+    moved = known.join(to, known["component"] == to["old"], "left").select("id", F.coalesce("to", "component").alias("component"))
+    return written(moved.union(new.join(known.select("id"), "id", "left_anti")), "components")
+
+
+def _further(member: DataFrame, tested: DataFrame, links: DataFrame, known: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """``known`` with what further centres, and then the exact comparison, find in the large buckets ``member``.
+    ``tested`` pairs are not tested again."""
+    ends = links.select(F.col("a").alias("id")).union(links.select("b"))
+    degree = written(ends.groupBy("id").agg(F.count(F.lit(1)).alias("links")), "degrees")
+    for turn in range(p.rounds):
+        total = member.count()
+        if not total:
+            return known
         chance = F.xxhash64("id", "key", F.lit(turn)).bitwiseAND(F.lit((1 << 24) - 1))
         rank = chance if turn % 2 else F.shiftleft(F.coalesce("links", F.lit(0)).cast("long"), 24) + chance
-        placed = written(member.join(known, "id", "left").select(
+        placed = written(member.join(known, "id", "left").join(degree, "id", "left").select(
             "key", "id", F.coalesce("component", "id").alias("part"), rank.alias("rank")), "placed")
         centre = placed.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"),
             F.max_by("id", "rank").alias("c"), F.max_by("part", "rank").alias("c_part")).where("lo != hi")
-        met = join_hot(placed, centre.select("key", "n", "c", "c_part"), ["key"], "n", total).where("part != c_part")
-        pairs = met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+        met = written(join_hot(placed, centre.select("key", "n", "c", "c_part"), ["key"], "n", total).where("c is not null"), "met")
+        member = met.select("id", "key")                      # only buckets of several components go on
+        pairs = met.where("part != c_part").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = written(_confirmed(pairs, sets, p), "links") if pairs.limit(1).count() else None
-        turn, quiet, tested = turn + 1, quiet + 1, tested.union(pairs)
-        if found is not None and found.limit(1).count():
-            links, known, quiet = links.union(found), None, 0
-    return links.union(_rest(member, tested, components(links), sets, p)) if total else links
+        tested = tested.union(pairs)
+        found = written(_confirmed(pairs, sets, p), "links")
+        if found.limit(1).count():
+            known = _joined(known, found)
+    found = _rest(member, tested, known, sets, p)
+    return known if found is None else _joined(known, found)
 
 
-def _rest(member: DataFrame, tested: DataFrame, known: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+def _rest(member: DataFrame, tested: DataFrame, known: DataFrame, sets: DataFrame, p: Params) -> DataFrame | None:
     """Links between components inside buckets that were not compared in full, by an exact prefix filter."""
     total = member.count()
     placed = member.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("part"))
@@ -301,7 +341,7 @@ def _rest(member: DataFrame, tested: DataFrame, known: DataFrame, sets: DataFram
         .where((F.col("lo") != F.col("hi")) & (F.col("n") > p.centres + 1)).select("key", "n", F.lit(True).alias("uneven"))
     left = written(join_hot(placed, uneven, ["key"], "n", total).where("uneven").select("id", "part").distinct(), "rest")
     if not left.limit(1).count():
-        return tested.limit(0)
+        return None
     one = sets.join(left, "id").select("id", "shingles").mapInArrow(_shingles, "id long, n long, x long")
     one = written(one, "shingles")
     often = written(one.groupBy("x").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "often")

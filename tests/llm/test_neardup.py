@@ -125,6 +125,17 @@ def test_edge_rows(edge, clashing, nothing):
     assert ids.count("6") == 1 and "7" not in ids and ids.count("None") == 2 and ids.count("1") == 1
 
 
+def test_repeated_ids_with_different_texts(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    data = [(3, a), (7, a), (7, b), (7, b), (7, b + " end"), (8, c), (8, d), (9, d + " end"), (9, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in data], SCHEMA)
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert got == sorted([(3, 3, True), (7, 3, False), (7, 7, True), (7, 7, True), (7, 7, True), (8, 8, True), (8, 8, True),
+                          (9, 8, False), (9, 9, True), (9, 9, True)])
+    left = [(r["doc_id"], (r["text"] or "")[:2]) for r in one_of_each(docs).collect()]
+    assert sorted(left) == [(3, "a0"), (7, "b0"), (8, "c0"), (8, "d0"), (9, ""), (9, "")]
+
+
 def test_one_permutation_estimates():
     """Equal bins of densified signatures estimate the similarity."""
     r = np.random.default_rng(3)
