@@ -14,15 +14,15 @@ from pyspark.sql import types as T
 
 from opinari.functions import text as tx
 from opinari.operators.base import with_columns_once
+from opinari.sources.csv import read_csv
 
 
 def read_comments_csv(spark: SparkSession, path: str, schema: T.StructType,
                       na_columns=("rating",)) -> DataFrame:
-    """S1 + P4: header row, quoted fields with newlines and doubled quotes;
-    pandas' NA tokens become null in ``na_columns`` (text columns keep them)."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    """S1 + P4: header row, quoted fields with newlines and doubled quotes, files
+    split among tasks (see :mod:`opinari.sources.csv`); pandas' NA tokens become
+    null in ``na_columns`` (text columns keep them)."""
+    df = read_csv(spark, path, schema)
     for c in na_columns:
         if c in df.columns:
             df = df.withColumn(c, tx.na_normalise(F.col(c)))
@@ -213,8 +213,7 @@ def split_csv(spark: SparkSession, path: str, schema: T.StructType,
 
     full = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
     parsed = scratch_path(spark, "parsed-csv")
-    (spark.read.schema(full).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-     .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).csv(path).write.parquet(parsed))
+    read_csv(spark, path, full, corrupt_col).write.parquet(parsed)
     df = spark.read.parquet(parsed)
     return (df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col),
             df.filter(F.col(corrupt_col).isNotNull()).select(corrupt_col))
