@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from opinari.config import SENTIMENT_LABELS, Lexicon, LexiconScorer
 from opinari.functions import aspects as fa
 from opinari.operators.base import with_columns_once
+from opinari.operators.keywords import gram_hits
 from opinari.schemas import require_columns
 
 
-#: Rows of a lexicon table (keyword, aspect) at most.
-MAX_LEXICON = 10_000
+#: Up to so many rows a lexicon is a literal array in the plan; above, texts and keywords meet by character grams.
+LITERAL_LEXICON = 500
 
 
 def add_aspects(df: DataFrame, lexicon: Lexicon, text_col: str = "cleaned_comment",
@@ -60,12 +61,13 @@ def keyword_hits(df: DataFrame, lexicon_df: DataFrame, id_col: str,
                  text_col: str = "cleaned_comment") -> DataFrame:
     """Comment x keyword theta join on substring, long format.
 
-    The lexicon is configuration: its rows are read (at most MAX_LEXICON, else
-    ValueError) and become a literal array, whose matching entries each comment
-    lists and explodes. No join, no shuffle of the comment table."""
-    words = lexicon_df.select("aspect", "keyword").limit(MAX_LEXICON + 1).collect()
-    if len(words) > MAX_LEXICON:
-        raise ValueError(f"a lexicon of more than {MAX_LEXICON} rows")
+    A small lexicon becomes a literal array, whose matching entries each comment
+    lists and explodes: no join, no shuffle of the comment table. One of any other
+    size goes through :func:`opinari.operators.keywords.gram_hits`. Rows without a keyword match nothing."""
+    lexicon_df = lexicon_df.select("aspect", "keyword").where("keyword is not null").distinct()
+    words = lexicon_df.limit(LITERAL_LEXICON + 1).collect()
+    if len(words) > LITERAL_LEXICON:
+        return gram_hits(df, lexicon_df, id_col, text_col)
     rows = df.select(id_col, F.lower(F.col(text_col)).alias("_low"))
     if not words:
         return rows.limit(0).select(id_col, F.lit("").alias("aspect"), F.lit("").alias("keyword"))

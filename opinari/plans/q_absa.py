@@ -17,7 +17,9 @@ from opinari.operators import filters
 from opinari.operators.sentiment import score_lexicon
 from opinari.plans import jobs
 from opinari.plans import sqlfrag as S
+from opinari.operators.keywords import gram_hits
 from opinari.plans.registry import query
+from opinari.session import table_path
 from opinari.sources.tables import comments, read_table
 
 WITH = f"WITH {S.COMMENTS_CTE},\n{S.filtered_comments()}"
@@ -161,6 +163,18 @@ def keyword_hits(spark, sf):
     return A.keyword_hits(_kept(spark, sf), A.lexicon_table(spark, LEX), "comment_id")
 
 
+@query("keyword_join", f"""{WITH},
+bench AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS keyword FROM benchmark),
+lex AS (SELECT DISTINCT substr(keyword, 1, 1) AS aspect, keyword FROM bench WHERE keyword IS NOT NULL)
+SELECT comment_id, aspect, keyword FROM kept JOIN lex ON contains(lower(cleaned_comment), keyword)""")
+def keyword_join(spark, sf):
+    """J5 with a keyword table that grows with the data: every word of the benchmark texts, by first letter."""
+    words = spark.read.parquet(table_path(sf, "benchmark")).select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("keyword"))
+    return gram_hits(_kept(spark, sf), words.select(F.substr("keyword", F.lit(1), F.lit(1)).alias("aspect"), "keyword"),
+                     "comment_id", "cleaned_comment")
+
+
 @query("aspect_subset", f"""{WITH}
 SELECT comment_id, array_to_string(list_sort(list_intersect(a, [{', '.join(S.lit(r) for r in REQUESTED)}])), '|') AS aspects
 FROM (SELECT comment_id, {ASPECTS} AS a FROM kept) WHERE len(a) > 0""")
