@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinari.config import ALERT_RULES, AlertRule
+from opinari.operators.quantiles import exact_quantiles
 
 
 def with_event_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -42,18 +43,19 @@ def event_rate(df: DataFrame, duration: str = "5 minutes", slide: str | None = N
 
 
 def latency_quantiles(df: DataFrame, duration: str = "5 minutes", measure: str = "value",
-                      series: str = "event_type", ts_col: str = "ts", approx: bool | None = None) -> DataFrame:
-    """50th and 95th percentile of a measure per range and series. The exact
-    form keeps the distinct values of a (range, series) in memory; ``approx``
-    (the default for a stream) bounds them."""
-    if df.isStreaming if approx is None else approx:
+                      series: str = "event_type", ts_col: str = "ts", approx: bool = False) -> DataFrame:
+    """50th and 95th percentile of a measure per range and series. The exact form is a distributed selection
+    (:mod:`opinari.operators.quantiles`), which holds no large series in one buffer; ``approx`` is a sketch of bounded
+    size and rank error 1/10000. A stream needs ``approx``: exact quantiles aren't incremental."""
+    if approx:
         q = F.percentile_approx(measure, [0.5, 0.95], 10000)
+        found = df.groupBy(F.window(ts_col, duration).alias("window"), series).agg(q.alias("_q"))
+    elif df.isStreaming:
+        raise ValueError("a stream has approximate quantiles only: pass approx=True")
     else:
-        q = F.percentile(measure, F.array(F.lit(0.5), F.lit(0.95)))
-    return (df.groupBy(F.window(ts_col, duration).alias("window"), series)
-            .agg(q.alias("_q"))
-            .select("window", series, F.col("_q")[0].cast("double").alias("p50"),
-                    F.col("_q")[1].cast("double").alias("p95")))
+        rows = df.select(F.window(ts_col, duration).alias("window"), series, measure)
+        found = exact_quantiles(rows, ["window", series], measure, [0.5, 0.95]).withColumnRenamed("q", "_q")
+    return found.select("window", series, F.col("_q")[0].cast("double").alias("p50"), F.col("_q")[1].cast("double").alias("p95"))
 
 
 def latest_state(df: DataFrame, key: str = "user_id", ts_col: str = "ts",
