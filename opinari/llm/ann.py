@@ -216,12 +216,16 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def _usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(id, v) of the rows with an id and a vector that has a direction."""
     rows = df.select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(sound & F.exists("v", lambda x: x != 0.0))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("v") == sizes[0][0]) if sizes else rows
+    return rows.where(sound & F.exists("v", lambda x: x != 0.0))
+
+
+def _commonest_length(rows: DataFrame) -> int:
+    found = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    return found[0][0] if found else 0
 
 
 def entries(df: DataFrame, k: int) -> DataFrame:
@@ -236,8 +240,11 @@ def entries(df: DataFrame, k: int) -> DataFrame:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest among ``vectors``, without the query's own id."""
     spark = vectors.sparkSession
-    base = written(entries(_usable(vectors, vec_id, vector), k), "entries")
-    asked = _usable(queries, vec_id, vector).distinct()
+    usable = _usable(vectors, vec_id, vector)
+    # Decided once, from the vectors; queries of another length take no part.
+    alike = F.size("v") == _commonest_length(usable)
+    base = written(entries(usable.where(alike), k), "entries")
+    asked = _usable(queries, vec_id, vector).where(alike).distinct()
     n = base.count()
     out = "query_id long, rank int, vec_id long, score double"
     if not n:

@@ -1,24 +1,27 @@
-"""Language-model scores by stupid backoff over word pairs, computed relationally.
+"""Language-model scores by stupid backoff over word pairs (order 2), computed relationally.
 
-1. Word counts over the whole corpus; the ``vocabulary`` most frequent words (a
-   bounded table, broadcast with their counts) keep a number, all others
-   share number 0, the unknown word.
+Counts cover every word and every pair of the corpus; a document is scored by what
+the other documents hold, so its own occurrences are taken off.
+
+1. Word counts over the whole corpus. The ``size`` most frequent words get a number
+   and travel as a broadcast table with their counts: they are the hot keys. All
+   others keep their 64-bit hash and their counts stay in a distributed table.
 2. Pair counts over the whole corpus, summed inside each batch before they are
-   shuffled by the hash of the pair; pairs seen less than ``least`` times are
-   left out of the table. Pairs of two of the ``head`` most frequent numbers
-   would be the hot keys of any join; they live in a dense ``head`` x ``head``
-   table instead, which is small and broadcast.
-3. Every document's remaining pairs, one row per distinct pair, are joined to
-   the count table by the pair's hash and summed per document.
+   shuffled by the hash of the pair. A pair that occurs once has no other document
+   and can't be met, so only the rest is kept, which loses nothing. Pairs of two of
+   the ``head`` most frequent numbers would be the hot keys of any join; they live
+   in a dense ``head`` x ``head`` table, which is small and broadcast.
+3. Every document's remaining pairs, one row per distinct pair, and its words without
+   a number are joined to the counts by hash and summed per document.
 
-``S(w | v) = c(v w) / c(v)`` if the pair is in the table, else
-``backoff * c(w) / N``; the first word has ``c(w) / N``. Counts include the
-scored document.
+With c the corpus' counts less the document's own and N the words of the other
+documents: ``S(w | v) = c(v w) / c(v)`` if c(v w) > 0, else ``backoff * max(c(w), 1) / max(N, 1)``; the
+first word has ``max(c(w), 1) / max(N, 1)``.
 
 Defined results: null and empty texts have 0 words, log_prob 0.0 and a null
-score; repeated rows are counted, and scored, each on its own; ties for the
-last places of the vocabulary are all left out; an empty table gives no rows.
-Only the named columns are read.
+score; repeated rows are documents of their own; ties for the last numbers all
+keep their hash, which changes no result; an empty table gives no rows. Only the
+named columns are read.
 """
 
 from __future__ import annotations
@@ -32,20 +35,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinari.llm import words
-from opinari.llm.common import written
+from opinari.llm.common import join_hot, written
+from opinari.llm.words import mix64
 
-VOCABULARY = 1 << 15
+SIZE = 1 << 17        # words whose counts are broadcast (24 bytes each)
 HEAD = 1 << 10
-LEAST = 2
 BACKOFF = 0.4
 _SHIFT = np.int64(32)
+_ALONE = np.uint64(0xA0761D6478BD642F)
 
 
 @dataclass
-class Vocabulary:
+class Frequent:
     hashes: np.ndarray      # sorted
     numbers: np.ndarray     # of the words in that order, from 1
-    counts: np.ndarray      # by number; 0 is the unknown word
+    counts: np.ndarray      # by number; 0 stands for all other words
+    total: int
     head: int
 
     def read(self, h: np.ndarray) -> np.ndarray:
@@ -55,14 +60,6 @@ class Vocabulary:
         at[at == len(self.hashes)] = 0
         return np.where(self.hashes[at] == h, self.numbers[at], 0)
 
-    def single(self, w: np.ndarray) -> np.ndarray:
-        """log c(w) / N"""
-        return np.log(self.counts[w]) - np.log(max(self.counts.sum(), 1))
-
-    def gain(self, v: np.ndarray, w: np.ndarray, c: np.ndarray, backoff: float) -> np.ndarray:
-        """What finding the pair adds to the score of backing off."""
-        return np.log(c) - np.log(self.counts[v]) - np.log(backoff) - self.single(w)
-
 
 def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """(key, n) lists as one, with the n of equal keys added up."""
@@ -81,134 +78,215 @@ def _word_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from words.parts([h.view(np.int64), n], ["w", "n"])
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY, head: int = HEAD) -> Vocabulary:
-    """The most frequent words of ``texts (text)``, at most ``size`` of them."""
-    sums = written(texts.mapInArrow(_word_sums, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(w, n) of every word of ``texts (text)``, by its hash; written."""
+    return written(texts.mapInArrow(_word_sums, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+
+
+def frequent(sums: DataFrame, size: int = SIZE, head: int = HEAD) -> Frequent:
+    """The most frequent words, at most ``size`` of them."""
     total = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # The least count that leaves at most ``size`` words: a histogram of the counts, from above.
     steps = sums.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
     above = F.sum("m").over(Window.orderBy(F.desc("n")))
     floor = steps.select("n", above.alias("above")).where(F.col("above") <= size).agg(F.min("n")).first()[0]
     if floor is None:
-        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.array([total]), head)
+        return Frequent(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64), total, head)
     got = sums.where(F.col("n") >= floor).toPandas()      # at most ``size`` rows
     h, n = got["w"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
     order = np.lexsort((h, -n))
     number = np.empty(len(h), dtype=np.int64)
     number[order] = np.arange(1, len(h) + 1)
     by_hash = np.argsort(h)
-    counts = np.r_[total - int(n.sum()), n[order]]
-    return Vocabulary(h[by_hash], number[by_hash], counts, head)
+    return Frequent(h[by_hash], number[by_hash], np.r_[0, n[order]], total, head)
+
+
+def _pair_key(v: np.ndarray, w: np.ndarray, hv: np.ndarray, hw: np.ndarray) -> np.ndarray:
+    """Both numbers, or a negative hash of both words if one has none."""
+    mixed = (mix64(hv * words.ODD_PAIR + hw) | np.uint64(1 << 63)).view(np.int64)
+    return np.where((v > 0) & (w > 0), (v << _SHIFT) | w, mixed)
 
 
-def _pairs(v: Vocabulary, column: pa.Array) -> Iterator[tuple]:
-    """``(i, j, first, w, pair, doc)`` of each slice: word numbers, and the pairs inside
-    documents with the number of their document."""
-    for i, j, first, h, *_ in words.slices(column, words.ALNUM):
-        w = v.read(h)
-        doc = np.repeat(np.arange(j - i), np.diff(first))
-        inside = doc[1:] == doc[:-1]
-        yield i, j, first, w, ((w[:-1] << _SHIFT) | w[1:])[inside], doc[1:][inside]
+def _alone_key(h: np.ndarray) -> np.ndarray:
+    """Key of a word by itself."""
+    return (mix64(h ^ _ALONE) | np.uint64(1 << 63)).view(np.int64)
 
 
-def _split(v: Vocabulary, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    a, b = pair >> _SHIFT, pair & np.int64((1 << 32) - 1)
-    return a, b, (a < v.head) & (b < v.head)
+def _split(f: Frequent, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a, b = np.maximum(pair, 0) >> _SHIFT, np.maximum(pair, 0) & np.int64((1 << 32) - 1)
+    return a, b, (pair > 0) & (a < f.head) & (b < f.head)
+
+
+def _grouped(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first place, count) of every distinct (key, doc) and, for all places, the number of theirs."""
+    order = np.lexsort((key, doc))
+    k, d = key[order], doc[order]
+    head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])]) if len(k) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[head, len(k)])
+    which = np.empty(len(k), dtype=np.int64)
+    which[order] = np.repeat(np.arange(len(head)), count)
+    return order[head] if len(k) else head, count, which
 
 
 def _pair_sums(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, dense = shared.value, np.zeros((shared.value.head, shared.value.head), dtype=np.int64)
-
+        f = shared.value
+        dense = np.zeros((f.head, f.head), dtype=np.int64)
         for batch in batches:
-            found = []
+            found: list[tuple] = []
             for portion in words.portions(batch, 0):
-                tail = []
-                for *_, pair, _ in _pairs(v, portion.column(0)):
-                    a, b, top = _split(v, pair)
+                keys, vs, ws = [], [], []
+                for i, j, first, h, *_ in words.slices(portion.column(0), words.ALNUM):
+                    doc = np.repeat(np.arange(j - i), np.diff(first))
+                    inside = doc[1:] == doc[:-1]
+                    n = f.read(h)
+                    v, w, hv, hw = n[:-1][inside], n[1:][inside], h[:-1][inside], h[1:][inside]
+                    key = _pair_key(v, w, hv, hw)
+                    a, b, top = _split(f, key)
                     np.add.at(dense, (a[top], b[top]), 1)
-                    tail.append(pair[~top])
-                if tail:
-                    found.append(np.unique(np.concatenate(tail), return_counts=True))
+                    keys.append(key[~top])
+                    vs.append(np.where(v > 0, 0, hv.view(np.int64))[~top])
+                    ws.append(np.where(w > 0, 0, hw.view(np.int64))[~top])
+                if keys:
+                    key, at, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
+                    found.append((key, n, np.concatenate(vs)[at], np.concatenate(ws)[at]))
             if found:
-                yield from words.parts(list(_summed(found)), ["pair", "n"])
+                key, n, v, w = (np.concatenate(x) for x in zip(*found))
+                key, at, which = np.unique(key, return_index=True, return_inverse=True)
+                n, v, w = np.bincount(which, weights=n).astype(np.int64), v[at], w[at]
+                # A word with a number is in the key already.
+                yield from words.parts([key, n, pa.array(v, mask=v == 0), pa.array(w, mask=w == 0)], ["pair", "n", "v", "w"])
         a, b = np.nonzero(dense)
-        yield from words.parts([(a.astype(np.int64) << _SHIFT) | b, dense[a, b]], ["pair", "n"])
+        none = pa.nulls(len(a), pa.int64())
+        yield from words.parts([(a.astype(np.int64) << _SHIFT) | b, dense[a, b], none, none], ["pair", "n", "v", "w"])
     return run
 
 
-def pair_table(texts: DataFrame, shared, least: int, backoff: float) -> DataFrame:
-    """(pair, top, gain) of every pair of ``texts (text)`` seen at least ``least`` times, written."""
-    counts = texts.mapInArrow(_pair_sums(shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+def pair_table(texts: DataFrame, sums: DataFrame, shared) -> DataFrame:
+    """(pair, top, n, cv, cw) of every pair of ``texts (text)`` that occurs more than once, with the counts of its words; and
+    (pair, false, n, 0, 0) of every word without a number that does. Written."""
+    found = texts.mapInArrow(_pair_sums(shared), "pair long, n long, v long, w long").groupBy("pair") \
+        .agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.max("w").alias("w")).where("n > 1")
+    found = written(found, "pair_sums")
+    # Words without a number are rare, so no key of these joins is hot.
+    count = lambda c: sums.select(F.col("w").alias(c), F.col("n").alias(f"c{c}"))
+    rare = found.where("v is not null or w is not null").join(count("v"), "v", "left").join(count("w"), "w", "left")
+    both = found.where("v is null and w is null").select("pair", "n", F.lit(None).cast("long").alias("cv"), F.lit(None).cast("long").alias("cw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        f = shared.value
         for batch in batches:
             pair = batch.column(0).to_numpy()
-            a, b, top = _split(v, pair)
-            gain = v.gain(a, b, batch.column(1).to_numpy(), backoff)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top), pa.array(gain)], names=["pair", "top", "gain"])
+            a, b, top = _split(f, pair)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top), batch.column(1), pa.array(f.counts[a]), pa.array(f.counts[b])],
+                                             names=["pair", "top", "n", "cv", "cw"])
+
+    both = both.mapInArrow(run, "pair long, top boolean, n long, cv long, cw long")
+
+    # Of a mixed pair the count of the word with a number comes from the document that asks: -1.
+    rare = rare.select("pair", F.lit(False).alias("top"), "n", F.coalesce("cv", F.lit(-1)).alias("cv"), F.coalesce("cw", F.lit(-1)).alias("cw"))
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = shared.value
+        for batch in batches:
+            h, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            some = (f.read(h) == 0) & (n > 1)
+            zero = np.zeros(int(some.sum()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(_alone_key(h[some])), pa.array(zero > 0), pa.array(n[some]), pa.array(zero), pa.array(zero)],
+                                             names=["pair", "top", "n", "cv", "cw"])
 
-    return written(counts.where(F.col("n") >= least).mapInArrow(run, "pair long, top boolean, gain double"), "pairs")
+    kind = "pair long, top boolean, n long, cv long, cw long"
+    return written(both.union(rare).union(sums.mapInArrow(alone, kind)), "pairs")
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = VOCABULARY, head: int = HEAD,
-          least: int = LEAST, backoff: float = BACKOFF) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, head: int = HEAD,
+          backoff: float = BACKOFF) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_prob and score (log_prob per word) of every row."""
     texts = docs.select(F.col(text).alias("text"))
     share = docs.sparkSession.sparkContext.broadcast
-    known = share(vocabulary(texts, size, head))
-    table = pair_table(texts, known, least, backoff)
-    top = table.where("top").select("pair", "gain").toPandas()       # at most head * head rows
-    dense = np.full((head, head), np.nan)
+    sums = word_counts(texts)
+    known = share(frequent(sums, size, head))
+    table = pair_table(texts, sums, known)
+    top = table.where("top").select("pair", "n").toPandas()       # at most head * head rows
+    dense = np.zeros((head, head), dtype=np.int64)
     pair = top["pair"].to_numpy(np.int64)
-    dense[pair >> _SHIFT, pair & np.int64((1 << 32) - 1)] = top["gain"]
+    dense[pair >> _SHIFT, pair & np.int64((1 << 32) - 1)] = top["n"]
     dense = share(dense)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, near = known.value, dense.value
+        f, near = known.value, dense.value
         for batch in (p for whole in batches for p in words.portions(whole, 2)):
             m = batch.num_rows
             row = batch.column(0).to_numpy()
-            n, base, found = np.zeros(m, np.int64), np.zeros(m), np.zeros(m, np.int64)
-            pairs, owners, times = [], [], []
-            for i, j, first, w, pair, doc in _pairs(v, batch.column(2)):
+            n, base, back = np.zeros(m, np.int64), np.zeros(m), np.zeros(m, np.int64)
+            out: list[list[np.ndarray]] = [[] for _ in range(6)]       # owner, key, times, cv or 0, cw or 0, kind
+            for i, j, first, h, *_ in words.slices(batch.column(2), words.ALNUM):
                 n[i:j] = np.diff(first)
-                if not len(w):
+                if not len(h):
                     continue
-                alone = v.single(w) + np.log(backoff)
-                some = first[:-1][first[:-1] < first[1:]]
-                alone[some] -= np.log(backoff)                       # a first word doesn't back off
-                owner = np.flatnonzero(first[:-1] < first[1:])
-                base[i + owner] += np.add.reduceat(alone, some)
-                a, b, both = _split(v, pair)
-                gain = near[a[both], b[both]]
-                hit = ~np.isnan(gain)
-                np.add.at(base, i + doc[both][hit], gain[hit])
-                np.add.at(found, i + doc[both][hit], 1)
-                order = np.lexsort((pair[~both], doc[~both]))
-                p, d = pair[~both][order], doc[~both][order]
-                if len(p):
-                    head_of = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])])
-                    pairs.append(p[head_of])
-                    owners.append(row[i + d[head_of]])
-                    times.append(np.diff(np.r_[head_of, len(p)]))
-            k = sum(map(len, pairs))
+                doc = np.repeat(np.arange(j - i), np.diff(first))
+                w = f.read(h)
+                at, own, which = _grouped(h.view(np.int64), doc)
+                mine = own[which]                                    # occurrences in the document, of each place
+                left = np.where(w > 0, f.counts[w] - mine, -1)       # in others; -1: not known here
+                rest = np.log(np.maximum(f.total - n[i:j], 1))
+                start = np.zeros(len(h), dtype=bool)
+                start[first[:-1][first[:-1] < first[1:]]] = True
+                # Everything backs off at first; a word without a number is taken to be in no other document.
+                alone = np.where(w > 0, np.log(np.maximum(left, 1)), 0.0) - rest[doc] + np.where(start, 0.0, np.log(backoff))
+                np.add.at(base, i + doc, alone)
+                np.add.at(back, i + doc, ~start)
+                # Its count comes by the join.
+                some = at[w[at] == 0]
+                for box, x in zip(out, (row[i + doc[some]], _alone_key(h[some]), mine[some], mine[some] * 0, mine[some] * 0, np.ones(len(some), np.int8))):
+                    box.append(x)
+                second = np.flatnonzero(~start)
+                key = _pair_key(w[second - 1], w[second], h[second - 1], h[second])
+                p, times, _ = _grouped(key, doc[second])
+                s, key = second[p], key[p]
+                a, b, both = _split(f, key)
+                c = near[a[both], b[both]] - times[both]
+                hit, s_top, t_top = c > 0, s[both], times[both]
+                gain = np.log(np.maximum(c, 1)) - np.log(np.maximum(left[s_top - 1], 1)) - np.log(backoff) \
+                    - np.log(np.maximum(left[s_top], 1)) + rest[doc[s_top]]
+                np.add.at(base, i + doc[s_top][hit], (t_top * gain)[hit])
+                np.add.at(back, i + doc[s_top][hit], -t_top[hit])
+                s, key, times = s[~both], key[~both], times[~both]
+                # What is left of the words with a number, or less one the own occurrences of those without.
+                lv, lw = (np.where(w[x] > 0, np.maximum(left[x], 0), -1 - mine[x]) for x in (s - 1, s))
+                for box, x in zip(out, (row[i + doc[s]], key, times, lv, lw, np.zeros(len(s), np.int8))):
+                    box.append(x)
+            cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
+            k = len(cat[0])
+            null = lambda kind: pa.nulls(k, kind)
+            zero = np.zeros(m, np.int64)
             # A document's own row has a key that no pair has, so it meets nothing.
             yield from words.parts(
-                [np.concatenate([row, *owners]), np.concatenate([-1 - row, *pairs]), np.concatenate([found, *times]),
-                 pa.concat_arrays([pa.array(n), pa.nulls(k, pa.int64())]), pa.concat_arrays([pa.array(base), pa.nulls(k, pa.float64())]),
-                 pa.concat_arrays([batch.column(1), pa.nulls(k, batch.column(1).type)])],
-                ["row", "pair", "n", "n_words", "base", "doc_id"])
+                [np.r_[row, cat[0]], np.r_[-1 - row, cat[1]], np.r_[back, cat[2]],
+                 np.r_[zero, cat[3]], np.r_[zero, cat[4]], np.r_[zero, cat[5]].astype(np.int8),
+                 pa.concat_arrays([pa.array(n), null(pa.int64())]), pa.concat_arrays([pa.array(base), null(pa.float64())]),
+                 pa.concat_arrays([batch.column(1), null(batch.column(1).type)])],
+                ["row", "pair", "n", "lv", "lw", "kind", "n_words", "base", "doc_id"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(run, f"row long, pair long, n long, n_words long, base double, doc_id {kind}")
-    joined = rows.join(table.where("not top").select("pair", "gain"), "pair", "left")
-    known_words = F.col("gain").isNotNull() | F.col("n_words").isNotNull()
+    rows = rows.mapInArrow(run, f"row long, pair long, n long, lv long, lw long, kind byte, n_words long, base double, doc_id {kind}")
+    asked = table.where("not top").select("pair", F.col("n").alias("m"), F.col("n").alias("c"), "cv", "cw")
+    total = asked.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    joined = join_hot(rows, asked, ["pair"], "m", total)
+    others = F.col("c") - F.col("n")                                   # occurrences in other documents
+    left = lambda mine, all_: F.greatest(F.when(F.col(mine) >= 0, F.col(mine)).otherwise(F.col(all_) + F.col(mine) + 1), F.lit(1))
+    met = (F.col("kind") == 0) & (others > 0)
+    # Of a pair: c(vw) / c(v) in place of backoff * c(w) / N; the document's own log N is added below.
+    gain = F.log(F.greatest(others, F.lit(1))) - F.log(left("lv", "cv")) - F.log(left("lw", "cw")) - F.log(F.lit(backoff))
+    more = F.when(F.col("kind") == 1, F.log(F.greatest(others, F.lit(1)))).when(met, gain)
     summed = joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
-        F.sum(F.when(known_words, F.col("n"))).alias("found"),
-        (F.sum(F.coalesce("base", F.lit(0.0)) + F.coalesce(F.col("gain") * F.col("n"), F.lit(0.0)))).alias("log_prob"))
-    return summed.select("doc_id", "n_words", (F.greatest(F.col("n_words") - 1, F.lit(0)) - F.col("found")).alias("n_backoff"),
-                         "log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("score"))
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.max("base").alias("base"),
+        F.sum(F.when(F.col("n_words").isNotNull(), F.col("n"))).alias("back"),
+        F.coalesce(F.sum(F.when(met & F.col("n_words").isNull(), F.col("n"))), F.lit(0)).alias("hits"),
+        F.coalesce(F.sum(F.when(F.col("n_words").isNull(), F.col("n") * more)), F.lit(0.0)).alias("more"))
+    rest = F.log(F.greatest(F.lit(known.value.total) - F.col("n_words"), F.lit(1)))
+    summed = summed.select("doc_id", "n_words", (F.col("back") - F.col("hits")).alias("n_backoff"),
+                           (F.col("base") + F.col("more") + F.col("hits") * rest).alias("log_prob"))
+    return summed.select("doc_id", "n_words", "n_backoff", "log_prob",
+                         F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("score"))

@@ -205,17 +205,20 @@ OP4_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 t AS (SELECT r, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d),
 c AS (SELECT x, count(*) AS n FROM t GROUP BY 1),
-f AS (SELECT min(n) AS floor FROM (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) AS above FROM c GROUP BY n)
-      WHERE above <= {lm.VOCABULARY}),
-k AS (SELECT r, p, CASE WHEN n >= (SELECT floor FROM f) THEN x ELSE '' END AS x FROM t JOIN c USING (x)),
-u AS (SELECT x, count(*) AS n FROM k GROUP BY 1),
-total AS (SELECT count(*) AS n FROM k),
-b AS (SELECT r, p, x, lag(x) OVER (PARTITION BY r ORDER BY p) AS v FROM k),
-pairs AS (SELECT v, x, count(*) AS n FROM b WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= {lm.LEAST}),
-s AS (SELECT r, sum(CASE WHEN b.v IS NULL THEN ln(u.n) - ln(total.n) WHEN pairs.n IS NOT NULL THEN ln(pairs.n) - ln(uv.n)
-                         ELSE ln({lm.BACKOFF}::DOUBLE) + ln(u.n) - ln(total.n) END) AS log_prob,
-             count_if(b.v IS NOT NULL AND pairs.n IS NULL) AS n_backoff
-      FROM b JOIN u ON b.x = u.x LEFT JOIN u uv ON b.v = uv.x LEFT JOIN pairs ON b.v = pairs.v AND b.x = pairs.x, total GROUP BY 1)
+own AS (SELECT r, x, count(*) AS n FROM t GROUP BY 1, 2),
+total AS (SELECT count(*) AS n FROM t),
+size AS (SELECT r, count(*) AS n FROM t GROUP BY 1),
+b AS (SELECT r, p, x, lag(x) OVER (PARTITION BY r ORDER BY p) AS v FROM t),
+mine AS (SELECT r, v, x, count(*) AS n FROM b GROUP BY 1, 2, 3),
+pairs AS (SELECT v, x, sum(n) AS n FROM mine WHERE v IS NOT NULL GROUP BY 1, 2),
+f AS (SELECT mine.r, mine.n, mine.v, coalesce(pairs.n - mine.n, 0) AS cvx, cv.n - ov.n AS cv, greatest(cx.n - ox.n, 1) AS cx,
+             greatest(total.n - size.n, 1) AS rest
+      FROM mine JOIN c cx ON cx.x = mine.x JOIN own ox ON ox.r = mine.r AND ox.x = mine.x
+      LEFT JOIN c cv ON cv.x = mine.v LEFT JOIN own ov ON ov.r = mine.r AND ov.x = mine.v
+      LEFT JOIN pairs ON pairs.v = mine.v AND pairs.x = mine.x JOIN size ON size.r = mine.r, total),
+s AS (SELECT r, sum(n * CASE WHEN v IS NULL THEN ln(cx) - ln(rest) WHEN cvx > 0 THEN ln(cvx) - ln(cv)
+                             ELSE ln({lm.BACKOFF}::DOUBLE) + ln(cx) - ln(rest) END) AS log_prob,
+             CAST(coalesce(sum(n) FILTER (v IS NOT NULL AND cvx = 0), 0) AS BIGINT) AS n_backoff FROM f GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_backoff, 0) AS n_backoff, round(coalesce(log_prob, 0.0), 6) AS log_prob,
        CASE WHEN len(w) > 0 THEN round(log_prob / len(w), 6) END AS score
 FROM d LEFT JOIN s ON d.r = s.r

@@ -85,35 +85,51 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     assert rows(ann.op3(df).select("query_id", "rank", "vec_id")) == want
 
 
-def lm_brute(data, size, least=2, backoff=0.4):
+def test_vectors_of_two_lengths(spark):
+    """The commonest length of the vectors counts for the queries, too."""
+    r = np.random.default_rng(4)
+    for odd in (3, 5):
+        data = [(k, r.normal(size=odd if k % 50 == 0 else 4).tolist()) for k in range(200)]
+        df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+        assert ann.op3(df).count() == 0
+        got = ann.search(df, df.where("vec_id % 50 in (0, 1)"), 2)
+        assert sorted({x["query_id"] for x in got.collect()}) == [1, 51, 101, 151]
+    tie = [(k, [1.0, 0.0] if k % 2 else [1.0, 0.0, 0.0]) for k in range(1, 101)]            # as many of each: the shorter
+    df = spark.createDataFrame(tie, "vec_id long, embedding array<double>")
+    assert ann.op3(df).count() == 0 and ann.search(df, df.where("vec_id = 7"), 3).select("vec_id").collect() == [(1,), (3,), (5,)]
+
+
+def test_clashing_names(spark):
+    r = np.random.default_rng(5)
+    data = [(k, r.normal(size=4).tolist()) for k in range(120)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    extra = df.selectExpr("*", *[f"'x' AS `{c}`" for c in ("id", "v", "list", "score", "rank", "query_id", "h1", "d", "ids")])
+    assert rows(ann.op3(extra)) == rows(ann.op3(df))
+
+
+def lm_brute(data, backoff=0.4):
     w = [[x.decode() for x in re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower())] for _, t in data]
-    c = Counter(x for d in w for x in d)
-    floor, above = None, 0
-    for n, m in sorted(Counter(c.values()).items(), reverse=True):
-        above += m
-        if above <= size:
-            floor = n
-    known = {x for x, n in c.items() if floor is not None and n >= floor}
-    w = [[x if x in known else None for x in d] for d in w]
     c, pairs = Counter(x for d in w for x in d), Counter(p for d in w for p in zip(d, d[1:]))
     total, out = sum(c.values()), []
     for (i, _), d in zip(data, w):
-        s, n = (math.log(c[d[0]] / total) if d else 0.0), 0
+        mine, ours = Counter(d), Counter(zip(d, d[1:]))
+        rest = max(total - len(d), 1)
+        s, n = (math.log(max(c[d[0]] - mine[d[0]], 1) / rest) if d else 0.0), 0
         for p in zip(d, d[1:]):
-            if pairs[p] >= least:
-                s += math.log(pairs[p] / c[p[0]])
+            if pairs[p] > ours[p]:
+                s += math.log((pairs[p] - ours[p]) / (c[p[0]] - mine[p[0]]))
             else:
-                s, n = s + math.log(backoff * c[p[1]] / total), n + 1
+                s, n = s + math.log(backoff * max(c[p[1]] - mine[p[1]], 1) / rest), n + 1
         out.append((i, len(d), n, round(s, 4)))
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("size,head", [(1 << 15, 1 << 10), (150, 8), (1, 1)])
+@pytest.mark.parametrize("size,head", [(1 << 17, 1 << 10), (150, 8), (1, 1)])
 def test_backoff_against_brute_force(spark, edge, clashing, nothing, size, head):
     data = [(r[0], r[1]) for r in edge_rows()]
     got = sorted(((r["doc_id"], r["n_words"], r["n_backoff"], round(r["log_prob"], 4))
                   for r in lm.score(edge, size=size, head=head).collect()), key=repr)
-    want = lm_brute(data, size)
+    want = lm_brute(data)
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert all(abs(g[3] - w[3]) <= 2e-4 for g, w in zip(got, want))
     assert lm.score(nothing).count() == 0
