@@ -31,11 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinari.llm import words
-from opinari.llm.common import join_hot, written
+from opinari.llm.common import HOT_SHARE, written
 from opinari.llm.words import mix64
 
 SIZE = 1 << 17        # words whose counts are broadcast (24 bytes each)
@@ -133,9 +134,9 @@ def _pair_sums(shared):
         f = shared.value
         dense = np.zeros((f.head, f.head), dtype=np.int64)
         for batch in batches:
-            found: list[tuple] = []
+            # Beyond the head few pairs repeat inside a batch; Spark's map-side sums take the rest.
             for portion in words.portions(batch, 0):
-                keys, vs, ws = [], [], []
+                keys, vs, ws, ks = [], [], [], []
                 for i, j, first, h, *_ in words.slices(portion.column(0), words.ALNUM):
                     doc = np.repeat(np.arange(j - i), np.diff(first))
                     inside = doc[1:] == doc[:-1]
@@ -147,44 +148,39 @@ def _pair_sums(shared):
                     keys.append(key[~top])
                     vs.append(np.where(v > 0, 0, hv.view(np.int64))[~top])
                     ws.append(np.where(w > 0, 0, hw.view(np.int64))[~top])
+                    ks.append(np.where(key > 0, 0, np.maximum(v, w))[~top])
                 if keys:
                     key, at, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
-                    found.append((key, n, np.concatenate(vs)[at], np.concatenate(ws)[at]))
-            if found:
-                key, n, v, w = (np.concatenate(x) for x in zip(*found))
-                key, at, which = np.unique(key, return_index=True, return_inverse=True)
-                n, v, w = np.bincount(which, weights=n).astype(np.int64), v[at], w[at]
-                # A word with a number is in the key already.
-                yield from words.parts([key, n, pa.array(v, mask=v == 0), pa.array(w, mask=w == 0)], ["pair", "n", "v", "w"])
+                    v, w, k = (np.concatenate(x)[at] for x in (vs, ws, ks))
+                    # Numbers of two are in the key already, that of one is k.
+                    yield from words.parts([key, n, pa.array(v, mask=v == 0), pa.array(w, mask=w == 0), pa.array(k, mask=k == 0)],
+                                           ["pair", "n", "v", "w", "k"])
         a, b = np.nonzero(dense)
         none = pa.nulls(len(a), pa.int64())
-        yield from words.parts([(a.astype(np.int64) << _SHIFT) | b, dense[a, b], none, none], ["pair", "n", "v", "w"])
+        yield from words.parts([(a.astype(np.int64) << _SHIFT) | b, dense[a, b], none, none, none], ["pair", "n", "v", "w", "k"])
     return run
 
 
 def pair_table(texts: DataFrame, sums: DataFrame, shared) -> DataFrame:
     """(pair, top, n, cv, cw) of every pair of ``texts (text)`` that occurs more than once, with the counts of its words; and
     (pair, false, n, 0, 0) of every word without a number that does. Written."""
-    found = texts.mapInArrow(_pair_sums(shared), "pair long, n long, v long, w long").groupBy("pair") \
-        .agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.max("w").alias("w")).where("n > 1")
+    found = texts.mapInArrow(_pair_sums(shared), "pair long, n long, v long, w long, k long").groupBy("pair") \
+        .agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.max("w").alias("w"), F.max("k").alias("k")).where("n > 1")
     found = written(found, "pair_sums")
     # Words without a number are rare, so no key of these joins is hot.
     count = lambda c: sums.select(F.col("w").alias(c), F.col("n").alias(f"c{c}"))
-    rare = found.where("v is not null or w is not null").join(count("v"), "v", "left").join(count("w"), "w", "left")
-    both = found.where("v is null and w is null").select("pair", "n", F.lit(None).cast("long").alias("cv"), F.lit(None).cast("long").alias("cw"))
+    rare = found.where("pair < 0").join(count("v"), "v", "left").join(count("w"), "w", "left").select("pair", "n", "k", "cv", "cw")
+    null = F.lit(None).cast("long")
+    both = found.where("pair > 0").select("pair", "n", "k", null.alias("cv"), null.alias("cw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of words with a number."""
         f = shared.value
         for batch in batches:
-            pair = batch.column(0).to_numpy()
+            pair, k = batch.column(0).to_numpy(), batch.column(2).fill_null(0).to_numpy()
             a, b, top = _split(f, pair)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top), batch.column(1), pa.array(f.counts[a]), pa.array(f.counts[b])],
-                                             names=["pair", "top", "n", "cv", "cw"])
-
-    both = both.mapInArrow(run, "pair long, top boolean, n long, cv long, cw long")
-
-    # Of a mixed pair the count of the word with a number comes from the document that asks: -1.
-    rare = rare.select("pair", F.lit(False).alias("top"), "n", F.coalesce("cv", F.lit(-1)).alias("cv"), F.coalesce("cw", F.lit(-1)).alias("cw"))
+            cv, cw = (pa.compute.coalesce(batch.column(c), pa.array(f.counts[np.where(pair > 0, x, k)])) for c, x in ((3, a), (4, b)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top), batch.column(1), cv, cw], names=["pair", "top", "n", "cv", "cw"])
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
@@ -196,7 +192,7 @@ def pair_table(texts: DataFrame, sums: DataFrame, shared) -> DataFrame:
                                              names=["pair", "top", "n", "cv", "cw"])
 
     kind = "pair long, top boolean, n long, cv long, cw long"
-    return written(both.union(rare).union(sums.mapInArrow(alone, kind)), "pairs")
+    return written(both.union(rare).mapInArrow(run, kind).union(sums.mapInArrow(alone, kind)), "pairs")
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, head: int = HEAD,
@@ -211,15 +207,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     dense = np.zeros((head, head), dtype=np.int64)
     pair = top["pair"].to_numpy(np.int64)
     dense[pair >> _SHIFT, pair & np.int64((1 << 32) - 1)] = top["n"]
-    dense = share(dense)
+    rest = table.where("not top").select("pair", "n", "cv", "cw")
+    # Pairs with more than a ten-thousandth of all occurrences: at most HOT_SHARE rows.
+    total = rest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = (F.col("n") > max(1, total // HOT_SHARE)) & (F.col("pair") > 0)
+    hot = rest.where(is_hot).select("pair", "n").orderBy("pair").toPandas()
+    dense = share((dense, hot["pair"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, near = known.value, dense.value
+        f, (near, hot_pair, hot_n) = known.value, dense.value
         for batch in (p for whole in batches for p in words.portions(whole, 2)):
             m = batch.num_rows
             row = batch.column(0).to_numpy()
             n, base, back = np.zeros(m, np.int64), np.zeros(m), np.zeros(m, np.int64)
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]       # owner, key, times, cv or 0, cw or 0, kind
+            out: list[list[np.ndarray]] = [[] for _ in range(5)]       # owner, key, times, own v (0: a word alone), own w
             for i, j, first, h, *_ in words.slices(batch.column(2), words.ALNUM):
                 n[i:j] = np.diff(first)
                 if not len(h):
@@ -238,55 +239,57 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                 np.add.at(back, i + doc, ~start)
                 # Its count comes by the join.
                 some = at[w[at] == 0]
-                for box, x in zip(out, (row[i + doc[some]], _alone_key(h[some]), mine[some], mine[some] * 0, mine[some] * 0, np.ones(len(some), np.int8))):
+                for box, x in zip(out, (row[i + doc[some]], _alone_key(h[some]), mine[some], mine[some] * 0, mine[some] * 0)):
                     box.append(x)
                 second = np.flatnonzero(~start)
                 key = _pair_key(w[second - 1], w[second], h[second - 1], h[second])
                 p, times, _ = _grouped(key, doc[second])
                 s, key = second[p], key[p]
                 a, b, both = _split(f, key)
-                c = near[a[both], b[both]] - times[both]
+                place = np.minimum(np.searchsorted(hot_pair, key), max(len(hot_pair) - 1, 0))
+                warm = (hot_pair[place] == key) & ~both if len(hot_pair) else np.zeros(len(key), dtype=bool)
+                c = near[np.where(both, a, 0), np.where(both, b, 0)]
+                c[warm] = hot_n[place[warm]]
+                both |= warm
+                c = c[both] - times[both]
                 hit, s_top, t_top = c > 0, s[both], times[both]
                 gain = np.log(np.maximum(c, 1)) - np.log(np.maximum(left[s_top - 1], 1)) - np.log(backoff) \
                     - np.log(np.maximum(left[s_top], 1)) + rest[doc[s_top]]
                 np.add.at(base, i + doc[s_top][hit], (t_top * gain)[hit])
                 np.add.at(back, i + doc[s_top][hit], -t_top[hit])
                 s, key, times = s[~both], key[~both], times[~both]
-                # What is left of the words with a number, or less one the own occurrences of those without.
-                lv, lw = (np.where(w[x] > 0, np.maximum(left[x], 0), -1 - mine[x]) for x in (s - 1, s))
-                for box, x in zip(out, (row[i + doc[s]], key, times, lv, lw, np.zeros(len(s), np.int8))):
+                for box, x in zip(out, (row[i + doc[s]], key, times, mine[s - 1], mine[s])):
                     box.append(x)
             cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
             k = len(cat[0])
             null = lambda kind: pa.nulls(k, kind)
             zero = np.zeros(m, np.int64)
+            small = lambda x: pa.array(np.r_[zero, x].astype(np.int32))
             # A document's own row has a key that no pair has, so it meets nothing.
             yield from words.parts(
-                [np.r_[row, cat[0]], np.r_[-1 - row, cat[1]], np.r_[back, cat[2]],
-                 np.r_[zero, cat[3]], np.r_[zero, cat[4]], np.r_[zero, cat[5]].astype(np.int8),
+                [np.r_[row, cat[0]], np.r_[-1 - row, cat[1]], pa.array(np.r_[back, cat[2]].astype(np.int32)),
+                 small(cat[3]), small(cat[4]),
                  pa.concat_arrays([pa.array(n), null(pa.int64())]), pa.concat_arrays([pa.array(base), null(pa.float64())]),
                  pa.concat_arrays([batch.column(1), null(batch.column(1).type)])],
-                ["row", "pair", "n", "lv", "lw", "kind", "n_words", "base", "doc_id"])
+                ["row", "pair", "n", "dv", "dw", "n_words", "base", "doc_id"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(run, f"row long, pair long, n long, lv long, lw long, kind byte, n_words long, base double, doc_id {kind}")
-    asked = table.where("not top").select("pair", F.col("n").alias("m"), F.col("n").alias("c"), "cv", "cw")
-    total = asked.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-    joined = join_hot(rows, asked, ["pair"], "m", total)
-    others = F.col("c") - F.col("n")                                   # occurrences in other documents
-    left = lambda mine, all_: F.greatest(F.when(F.col(mine) >= 0, F.col(mine)).otherwise(F.col(all_) + F.col(mine) + 1), F.lit(1))
-    met = (F.col("kind") == 0) & (others > 0)
+    rows = rows.mapInArrow(run, f"row long, pair long, n int, dv int, dw int, n_words long, base double, doc_id {kind}")
+    joined = rows.join(rest.where(~is_hot).withColumnRenamed("n", "c"), "pair", "left")
+    others = F.greatest(F.col("c") - F.col("n"), F.lit(0))             # occurrences in other documents
+    left = lambda c, d: F.log(F.greatest(F.col(c) - F.col(d), F.lit(1)))
+    met = (F.col("dv") > 0) & (others > 0)
     # Of a pair: c(vw) / c(v) in place of backoff * c(w) / N; the document's own log N is added below.
-    gain = F.log(F.greatest(others, F.lit(1))) - F.log(left("lv", "cv")) - F.log(left("lw", "cw")) - F.log(F.lit(backoff))
-    more = F.when(F.col("kind") == 1, F.log(F.greatest(others, F.lit(1)))).when(met, gain)
+    gain = F.log(F.greatest(others, F.lit(1))) - left("cv", "dv") - left("cw", "dw") - F.log(F.lit(backoff))
+    more = F.when(met, gain).when(F.col("dv") == 0, F.log(F.greatest(others, F.lit(1))))
     summed = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.max("base").alias("base"),
         F.sum(F.when(F.col("n_words").isNotNull(), F.col("n"))).alias("back"),
         F.coalesce(F.sum(F.when(met & F.col("n_words").isNull(), F.col("n"))), F.lit(0)).alias("hits"),
         F.coalesce(F.sum(F.when(F.col("n_words").isNull(), F.col("n") * more)), F.lit(0.0)).alias("more"))
-    rest = F.log(F.greatest(F.lit(known.value.total) - F.col("n_words"), F.lit(1)))
+    rest_ = F.log(F.greatest(F.lit(known.value.total) - F.col("n_words"), F.lit(1)))
     summed = summed.select("doc_id", "n_words", (F.col("back") - F.col("hits")).alias("n_backoff"),
-                           (F.col("base") + F.col("more") + F.col("hits") * rest).alias("log_prob"))
+                           (F.col("base") + F.col("more") + F.col("hits") * rest_).alias("log_prob"))
     return summed.select("doc_id", "n_words", "n_backoff", "log_prob",
                          F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")).alias("score"))
