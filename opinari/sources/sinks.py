@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinari.schemas import CATALOG_ENTRY
+from opinari.sources import loads
 from opinari.sources.files import list_layer
 
 
@@ -28,32 +29,48 @@ def _layer_path(base: str, layer: str) -> str:
     return f"{base.rstrip('/')}/{layer}"
 
 
-def load_raw(df: DataFrame, base: str, ingest_date: str | None = None) -> str:
-    """Append to the raw layer, partitioned by ingest date."""
+def load_raw(df: DataFrame, base: str, ingest_date: str | None = None, load_id: str | None = None) -> str:
+    """Append to the raw layer, partitioned by ingest date. With a ``load_id`` the load can be repeated:
+    see :mod:`opinari.sources.loads`, whose ``read`` then reads the layer. A layer takes one kind only."""
     day = ingest_date or dt.date.today().isoformat()
     path = _layer_path(base, "raw")
+    if load_id:
+        loads.load(df.withColumn("ingest_date", F.lit(day)), path, load_id, ("ingest_date",))
+        return path
     df.withColumn("ingest_date", F.lit(day)).write.mode("append").partitionBy("ingest_date").parquet(path)
     return path
 
 
 def load_processed(df: DataFrame, base: str, processing_type: str, date: str | None = None,
-                   partition_by: tuple[str, ...] = ()) -> str:
+                   partition_by: tuple[str, ...] = (), load_id: str | None = None) -> str:
     """S10 + S12: snappy Parquet tagged with the processing type, partitioned
-    by type and date plus any extra columns (game id, …)."""
+    by type and date plus any extra columns (game id, …); ``load_id`` as in :func:`load_raw`."""
     day = date or dt.date.today().isoformat()
     path = _layer_path(base, "processed")
+    if load_id:
+        tagged = df.withColumn("processing_type", F.lit(processing_type)).withColumn("load_date", F.lit(day))
+        loads.load(tagged, path, load_id, ("processing_type", "load_date", *partition_by))
+        return path
     (df.withColumn("processing_type", F.lit(processing_type)).withColumn("load_date", F.lit(day))
      .write.mode("append").option("compression", "snappy")
      .partitionBy("processing_type", "load_date", *partition_by).parquet(path))
     return path
 
 
-def load_curated(spark: SparkSession, df: DataFrame, base: str, dataset_name: str) -> str:
+def load_curated(spark: SparkSession, df: DataFrame, base: str, dataset_name: str, load_id: str | None = None) -> str:
     """Curated table, one partition per load, plus the load's quality profile
-    (A15) appended beside it; earlier loads are not read again."""
+    (A15) appended beside it; earlier loads are not read again. ``load_id`` as in :func:`load_raw`: the profile is
+    a load of its own with the same id, made from the committed rows."""
     from opinari.operators.quality import table_profile
 
     path, load = f"{_layer_path(base, 'curated')}/{dataset_name}", uuid.uuid4().hex
+    if load_id:
+        loads.load(df, path, load_id)
+        this = loads.read(spark, path, load_column="load_id").where(F.col("load_id") == load_id).drop("load_id")
+        profile = table_profile(this).withColumn("dataset", F.lit(dataset_name)).withColumn("load_id", F.lit(load_id)) \
+            .withColumn("profiled_at", F.current_timestamp())
+        loads.load(profile, f"{_layer_path(base, 'curated')}/_profiles", f"{dataset_name}-{load_id}")
+        return path
     df.withColumn("load_id", F.lit(load)).write.mode("append").partitionBy("load_id").parquet(path)
     this = spark.read.parquet(f"{path}/load_id={load}")
     profile = table_profile(this).withColumn("dataset", F.lit(dataset_name)).withColumn("load_id", F.lit(load)) \
