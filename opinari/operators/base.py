@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinari.session import scratch_path
+
 
 def with_columns_once(df: DataFrame, **cols: Column) -> DataFrame:
     """Add columns that later filters must not re-evaluate.
@@ -63,3 +65,10 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for tables that several branches of a plan need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

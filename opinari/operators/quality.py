@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS, QUALITY_RULES, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
-from opinari.operators.base import key_hash
+from opinari.operators.base import key_hash, written
 
 
 def _median(c: Column, exact: bool) -> Column:
@@ -311,8 +311,8 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: boo
     # Second pass: distinct characters (c), words (w) and aspects (a) of every
     # row, tagged by a one-letter prefix, in one explode and one grouped count
     # (partial counts map-side). Aspect counts leave the aggregate as one
-    # list (at most one entry per lexicon aspect and label). The most frequent
-    # words are taken from the same grouped items, whose exchange is reused.
+    # list (at most one entry per lexicon aspect and label). The grouped items are
+    # written once, and the most frequent words are taken from the same table.
     empty = F.array().cast("array<string>")
     lists = [_tag(F.when(nn, F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?s)(.)"), 1)))
                   .otherwise(empty), "c"),
@@ -322,8 +322,8 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: boo
         lists.append(_tag(found, "a"))
         if "sentiment" in df.columns:
             lists.append(F.transform(found, lambda x: F.concat(F.lit("a"), x, F.lit("_"), F.col("sentiment"))))
-    items = (df.select(F.explode(F.concat(*lists)).alias("it"))
-             .groupBy("it").agg(F.count(F.lit(1)).alias("n")))
+    items = written(df.select(F.explode(F.concat(*lists)).alias("it"))
+                    .groupBy("it").agg(F.count(F.lit(1)).alias("n")), "report-items")
     kind = F.substring("it", 1, 1)
     stats = items.agg(F.count_if(kind == "c").alias("dc"),
                       F.max(F.when(F.col("it") == "c ", 1).otherwise(0)).alias("hs"),
