@@ -12,7 +12,10 @@ the other documents hold, so its own occurrences are taken off.
    the ``head`` most frequent numbers would be the hot keys of any join; they live
    in a dense ``head`` x ``head`` table, which is small and broadcast.
 3. Every document's remaining pairs, one row per distinct pair, and its words without
-   a number are joined to the counts by hash and summed per document.
+   a number are joined to the counts by hash and summed per document. Rows that can't
+   meet a count stay out of the join: a bitmap of the table's keys, 16 bits a key
+   and 16 MB at most, is broadcast. A bit set by another key lets a row through
+   in vain, so a full bitmap costs shuffle and no result.
 
 With c the corpus' counts less the document's own and N the words of the other
 documents: ``S(w | v) = c(v w) / c(v)`` if c(v w) > 0, else ``backoff * max(c(w), 1) / max(N, 1)``; the
@@ -42,6 +45,8 @@ from opinari.llm.words import mix64
 SIZE = 1 << 17        # words whose counts are broadcast (24 bytes each)
 HEAD = 1 << 10
 BACKOFF = 0.4
+KEY_BITS = 16         # of the bitmap, per key of the table
+MAX_BITS = 1 << 27
 _SHIFT = np.int64(32)
 _ALONE = np.uint64(0xA0761D6478BD642F)
 
@@ -195,8 +200,42 @@ def pair_table(texts: DataFrame, sums: DataFrame, shared) -> DataFrame:
     return written(both.union(rare).mapInArrow(run, kind).union(sums.mapInArrow(alone, kind)), "pairs")
 
 
+@dataclass
+class Held:
+    """Which keys a table may hold, by one bit of a key's hash."""
+    bitmap: np.ndarray      # bytes, their number a power of two
+
+    def may(self, key: np.ndarray) -> np.ndarray:
+        at = _place(key, len(self.bitmap) * 8)
+        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _place(key: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(key.view(np.uint64)) & np.uint64(bits - 1)).view(np.int64)
+
+
+def held_keys(keys: DataFrame, bits: int | None = None) -> Held:
+    """The bitmap of ``keys (pair)``; ``bits`` is a power of two from 32,768 on, by default made from the number of keys."""
+    if bits is None:
+        bits = 1 << 15
+        wanted = min(KEY_BITS * keys.count(), MAX_BITS)
+        while bits < wanted:
+            bits *= 2
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place(batch.column(0).to_numpy(), bits) + 1)], names=["at"])
+
+    blocks = keys.select("pair").mapInArrow(places, "at long").groupBy(F.bitmap_bucket_number("at").alias("block")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).toPandas()    # bits / 32,768 rows of 4 KB at most
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
+    for block, found in zip(blocks["block"], blocks["bits"]):
+        bitmap[(block - 1) * 4096:block * 4096] = np.frombuffer(found, np.uint8)
+    return Held(bitmap)
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, head: int = HEAD,
-          backoff: float = BACKOFF) -> DataFrame:
+          backoff: float = BACKOFF, bits: int | None = None) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by backing off), log_prob and score (log_prob per word) of every row."""
     texts = docs.select(F.col(text).alias("text"))
     share = docs.sparkSession.sparkContext.broadcast
@@ -213,9 +252,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     is_hot = (F.col("n") > max(1, total // HOT_SHARE)) & (F.col("pair") > 0)
     hot = rest.where(is_hot).select("pair", "n").orderBy("pair").toPandas()
     dense = share((dense, hot["pair"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
+    rest = rest.where(~is_hot)
+    held = share(held_keys(rest, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, (near, hot_pair, hot_n) = known.value, dense.value
+        f, (near, hot_pair, hot_n), table = known.value, dense.value, held.value
         for batch in (p for whole in batches for p in words.portions(whole, 2)):
             m = batch.num_rows
             row = batch.column(0).to_numpy()
@@ -239,6 +280,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                 np.add.at(back, i + doc, ~start)
                 # Its count comes by the join.
                 some = at[w[at] == 0]
+                some = some[table.may(_alone_key(h[some]))]
                 for box, x in zip(out, (row[i + doc[some]], _alone_key(h[some]), mine[some], mine[some] * 0, mine[some] * 0)):
                     box.append(x)
                 second = np.flatnonzero(~start)
@@ -257,7 +299,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                     - np.log(np.maximum(left[s_top], 1)) + rest[doc[s_top]]
                 np.add.at(base, i + doc[s_top][hit], (t_top * gain)[hit])
                 np.add.at(back, i + doc[s_top][hit], -t_top[hit])
-                s, key, times = s[~both], key[~both], times[~both]
+                far = np.flatnonzero(~both)
+                far = far[table.may(key[far])]
+                s, key, times = s[far], key[far], times[far]
                 for box, x in zip(out, (row[i + doc[s]], key, times, mine[s - 1], mine[s])):
                     box.append(x)
             cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
@@ -276,7 +320,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.mapInArrow(run, f"row long, pair long, n int, dv int, dw int, n_words long, base double, doc_id {kind}")
-    joined = rows.join(rest.where(~is_hot).withColumnRenamed("n", "c"), "pair", "left")
+    joined = rows.join(rest.withColumnRenamed("n", "c"), "pair", "left")
     others = F.greatest(F.col("c") - F.col("n"), F.lit(0))             # occurrences in other documents
     left = lambda c, d: F.log(F.greatest(F.col(c) - F.col(d), F.lit(1)))
     met = (F.col("dv") > 0) & (others > 0)

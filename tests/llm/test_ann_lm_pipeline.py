@@ -136,6 +136,18 @@ def test_backoff_against_brute_force(spark, edge, clashing, nothing, size, head)
     assert lm.score(clashing).count() == edge.count()
 
 
+def test_bitmap_of_keys(spark):
+    """Every key may be held; few others while the bitmap follows the keys, all of them where it is full."""
+    r = np.random.default_rng(6)
+    keys, others = r.integers(-1 << 63, 1 << 63, 40_000), r.integers(-1 << 63, 1 << 63, 40_000)
+    df = spark.createDataFrame([(int(k),) for k in keys], "pair long").repartition(5)
+    held = lm.held_keys(df)
+    assert held.may(keys).all() and 0.01 < held.may(others).mean() < 0.1
+    many = spark.range(2_000_000).withColumnRenamed("id", "pair")
+    assert lm.held_keys(many, 1 << 15).may(others).all()
+    assert not lm.held_keys(df.limit(0)).may(keys).any() and not len(held.may(keys[:0]))
+
+
 def test_stages(spark, edge, clashing, nothing):
     sf = "/root/testdata/sf0.001"
     docs = clashing
