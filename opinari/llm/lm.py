@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinari.llm import words
@@ -47,6 +47,7 @@ HEAD = 1 << 10
 BACKOFF = 0.4
 KEY_BITS = 16         # of the bitmap, per key of the table
 MAX_BITS = 1 << 27
+_COUNTED = "pair long, n long, cv long, cw long"
 _SHIFT = np.int64(32)
 _ALONE = np.uint64(0xA0761D6478BD642F)
 
@@ -59,11 +60,19 @@ class Frequent:
     total: int
     head: int
 
+    def __post_init__(self):
+        # Hashes are spread evenly: their first bits tell nearly where they stand. The last entry is beyond all.
+        self.bits = max(1, 2 * len(self.hashes)).bit_length()
+        self.starts = np.searchsorted(self.hashes, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+        self.hashes = np.r_[self.hashes, np.uint64((1 << 64) - 1)]
+        self.numbers = np.r_[self.numbers, 0]
+
     def read(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(h), dtype=np.int64)
-        at = np.searchsorted(self.hashes, h)
-        at[at == len(self.hashes)] = 0
+        at = self.starts[(h >> np.uint64(64 - self.bits)).view(np.int64)]
+        short = np.flatnonzero(self.hashes[at] < h)
+        while len(short):
+            at[short] += 1
+            short = short[self.hashes[at[short]] < h[short]]
         return np.where(self.hashes[at] == h, self.numbers[at], 0)
 
 
@@ -123,21 +132,27 @@ def _split(f: Frequent, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return a, b, (pair > 0) & (a < f.head) & (b < f.head)
 
 
+def _heads(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first, count): places by key, and where in that order each distinct key begins and how often it occurs."""
+    order = np.argsort(key)
+    k = key[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+    return order, first, np.diff(np.r_[first, len(k)])
+
+
 def _grouped(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first place, count) of every distinct (key, doc) and, for all places, the number of theirs."""
-    order = np.lexsort((key, doc))
-    k, d = key[order], doc[order]
-    head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])]) if len(k) else np.zeros(0, np.int64)
-    count = np.diff(np.r_[head, len(k)])
-    which = np.empty(len(k), dtype=np.int64)
-    which[order] = np.repeat(np.arange(len(head)), count)
-    return order[head] if len(k) else head, count, which
+    """(a place, count) of every distinct (key, doc), by place, and for all places the count of theirs."""
+    order, first, count = _heads(mix64(key.view(np.uint64)) ^ doc.astype(np.uint64) * words.ODD_PAIR)
+    each = np.empty(len(key), dtype=np.int64)
+    each[order] = np.repeat(count, count)
+    place = np.sort(order[first])
+    return place, each[place], each
 
 
 def _pair_sums(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
-        dense = np.zeros((f.head, f.head), dtype=np.int64)
+        dense = np.zeros(f.head * f.head, dtype=np.int64)
         for batch in batches:
             # Beyond the head few pairs repeat inside a batch; Spark's map-side sums take the rest.
             for portion in words.portions(batch, 0):
@@ -149,55 +164,69 @@ def _pair_sums(shared):
                     v, w, hv, hw = n[:-1][inside], n[1:][inside], h[:-1][inside], h[1:][inside]
                     key = _pair_key(v, w, hv, hw)
                     a, b, top = _split(f, key)
-                    np.add.at(dense, (a[top], b[top]), 1)
+                    np.add.at(dense, a[top] * f.head + b[top], 1)
                     keys.append(key[~top])
                     vs.append(np.where(v > 0, 0, hv.view(np.int64))[~top])
                     ws.append(np.where(w > 0, 0, hw.view(np.int64))[~top])
                     ks.append(np.where(key > 0, 0, np.maximum(v, w))[~top])
                 if keys:
-                    key, at, n = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
-                    v, w, k = (np.concatenate(x)[at] for x in (vs, ws, ks))
+                    key = np.concatenate(keys)
+                    order, first, n = _heads(key)
+                    at = order[first]
+                    key, v, w, k = (x[at] for x in (key, *map(np.concatenate, (vs, ws, ks))))
                     # Numbers of two are in the key already, that of one is k.
                     yield from words.parts([key, n, pa.array(v, mask=v == 0), pa.array(w, mask=w == 0), pa.array(k, mask=k == 0)],
                                            ["pair", "n", "v", "w", "k"])
-        a, b = np.nonzero(dense)
+        at = np.flatnonzero(dense)
+        a, b = np.divmod(at, f.head)
         none = pa.nulls(len(a), pa.int64())
-        yield from words.parts([(a.astype(np.int64) << _SHIFT) | b, dense[a, b], none, none, none], ["pair", "n", "v", "w", "k"])
+        yield from words.parts([(a << _SHIFT) | b, dense[at], none, none, none], ["pair", "n", "v", "w", "k"])
     return run
 
 
-def pair_table(texts: DataFrame, sums: DataFrame, shared) -> DataFrame:
-    """(pair, top, n, cv, cw) of every pair of ``texts (text)`` that occurs more than once, with the counts of its words; and
-    (pair, false, n, 0, 0) of every word without a number that does. Written."""
+def _top(head: int) -> Column:
+    """Pairs of the dense table."""
+    return (F.col("pair") > 0) & (F.shiftright("pair", 32) < head) & (F.col("pair").bitwiseAND((1 << 32) - 1) < head)
+
+
+def pair_tables(texts: DataFrame, sums: DataFrame, shared) -> tuple[DataFrame, DataFrame]:
+    """(pair, n) of every pair of two numbers in ``texts (text)`` that occurs more than once; and (pair, n, cv, cw) of all other
+    such pairs, with the counts of their words, and (pair, n, 0, 0) of every such word without a number. Both written."""
     found = texts.mapInArrow(_pair_sums(shared), "pair long, n long, v long, w long, k long").groupBy("pair") \
         .agg(F.sum("n").alias("n"), F.max("v").alias("v"), F.max("w").alias("w"), F.max("k").alias("k")).where("n > 1")
     found = written(found, "pair_sums")
     # Words without a number are rare, so no key of these joins is hot.
     count = lambda c: sums.select(F.col("w").alias(c), F.col("n").alias(f"c{c}"))
     rare = found.where("pair < 0").join(count("v"), "v", "left").join(count("w"), "w", "left").select("pair", "n", "k", "cv", "cw")
-    null = F.lit(None).cast("long")
-    both = found.where("pair > 0").select("pair", "n", "k", null.alias("cv"), null.alias("cw"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The counts of words with a number."""
+    def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The count of the word with a number, if there is one."""
         f = shared.value
         for batch in batches:
-            pair, k = batch.column(0).to_numpy(), batch.column(2).fill_null(0).to_numpy()
-            a, b, top = _split(f, pair)
-            cv, cw = (pa.compute.coalesce(batch.column(c), pa.array(f.counts[np.where(pair > 0, x, k)])) for c, x in ((3, a), (4, b)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top), batch.column(1), cv, cw], names=["pair", "top", "n", "cv", "cw"])
+            known = pa.array(f.counts[batch.column(2).fill_null(0).to_numpy()])
+            cv, cw = (pa.compute.coalesce(batch.column(c), known) for c in (3, 4))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cv, cw], names=["pair", "n", "cv", "cw"])
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for batch in batches:
             h, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
             some = (f.read(h) == 0) & (n > 1)
-            zero = np.zeros(int(some.sum()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(_alone_key(h[some])), pa.array(zero > 0), pa.array(n[some]), pa.array(zero), pa.array(zero)],
-                                             names=["pair", "top", "n", "cv", "cw"])
+            zero = pa.array(np.zeros(int(some.sum()), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(_alone_key(h[some])), pa.array(n[some]), zero, zero], names=["pair", "n", "cv", "cw"])
 
-    kind = "pair long, top boolean, n long, cv long, cw long"
-    return written(both.union(rare).mapInArrow(run, kind).union(sums.mapInArrow(alone, kind)), "pairs")
+    rare = written(rare.mapInArrow(other, _COUNTED).union(sums.mapInArrow(alone, _COUNTED)), "pairs")
+    return found.where("pair > 0").select("pair", "n"), rare
+
+
+def _word_counts_of(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = shared.value
+        for batch in batches:
+            pair = batch.column(0).to_numpy()
+            cv, cw = f.counts[pair >> _SHIFT], f.counts[pair & np.int64((1 << 32) - 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cv), pa.array(cw)], names=["pair", "n", "cv", "cw"])
+    return run
 
 
 @dataclass
@@ -241,19 +270,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     share = docs.sparkSession.sparkContext.broadcast
     sums = word_counts(texts)
     known = share(frequent(sums, size, head))
-    table = pair_table(texts, sums, known)
-    top = table.where("top").select("pair", "n").toPandas()       # at most head * head rows
+    numbered, rare = pair_tables(texts, sums, known)
+    top = numbered.where(_top(head)).toPandas()       # at most head * head rows
     dense = np.zeros((head, head), dtype=np.int64)
     pair = top["pair"].to_numpy(np.int64)
     dense[pair >> _SHIFT, pair & np.int64((1 << 32) - 1)] = top["n"]
-    rest = table.where("not top").select("pair", "n", "cv", "cw")
+    numbered = numbered.where(~_top(head))
     # Pairs with more than a ten-thousandth of all occurrences: at most HOT_SHARE rows.
-    total = rest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    is_hot = (F.col("n") > max(1, total // HOT_SHARE)) & (F.col("pair") > 0)
-    hot = rest.where(is_hot).select("pair", "n").orderBy("pair").toPandas()
+    total = numbered.select("n").union(rare.select("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = F.col("n") > max(1, total // HOT_SHARE)
+    hot = numbered.where(is_hot).orderBy("pair").toPandas()
     dense = share((dense, hot["pair"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
-    rest = rest.where(~is_hot)
-    held = share(held_keys(rest, bits))
+    numbered = numbered.where(~is_hot)
+    held = share(held_keys(numbered.select("pair").union(rare.select("pair")), bits))
+    rest = numbered.mapInArrow(_word_counts_of(known), _COUNTED).union(rare)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, (near, hot_pair, hot_n), table = known.value, dense.value, held.value
@@ -268,16 +298,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                     continue
                 doc = np.repeat(np.arange(j - i), np.diff(first))
                 w = f.read(h)
-                at, own, which = _grouped(h.view(np.int64), doc)
-                mine = own[which]                                    # occurrences in the document, of each place
+                at, _, mine = _grouped(h.view(np.int64), doc)        # mine: occurrences in the document, of each place
                 left = np.where(w > 0, f.counts[w] - mine, -1)       # in others; -1: not known here
                 rest = np.log(np.maximum(f.total - n[i:j], 1))
                 start = np.zeros(len(h), dtype=bool)
                 start[first[:-1][first[:-1] < first[1:]]] = True
                 # Everything backs off at first; a word without a number is taken to be in no other document.
                 alone = np.where(w > 0, np.log(np.maximum(left, 1)), 0.0) - rest[doc] + np.where(start, 0.0, np.log(backoff))
-                np.add.at(base, i + doc, alone)
-                np.add.at(back, i + doc, ~start)
+                base[i:j] += np.bincount(doc, alone, j - i)
+                back[i:j] += np.bincount(doc[~start], minlength=j - i)
                 # Its count comes by the join.
                 some = at[w[at] == 0]
                 some = some[table.may(_alone_key(h[some]))]
@@ -297,8 +326,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                 hit, s_top, t_top = c > 0, s[both], times[both]
                 gain = np.log(np.maximum(c, 1)) - np.log(np.maximum(left[s_top - 1], 1)) - np.log(backoff) \
                     - np.log(np.maximum(left[s_top], 1)) + rest[doc[s_top]]
-                np.add.at(base, i + doc[s_top][hit], (t_top * gain)[hit])
-                np.add.at(back, i + doc[s_top][hit], -t_top[hit])
+                base[i:j] += np.bincount(doc[s_top][hit], (t_top * gain)[hit], j - i)
+                back[i:j] -= np.bincount(doc[s_top][hit], t_top[hit], j - i).astype(np.int64)
                 far = np.flatnonzero(~both)
                 far = far[table.may(key[far])]
                 s, key, times = s[far], key[far], times[far]
@@ -320,7 +349,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.mapInArrow(run, f"row long, pair long, n int, dv int, dw int, n_words long, base double, doc_id {kind}")
-    joined = rows.join(rest.withColumnRenamed("n", "c"), "pair", "left")
+    # The table is the smaller side by far: hashed, so that the documents' rows need no sort.
+    joined = rows.join(rest.withColumnRenamed("n", "c").hint("shuffle_hash"), "pair", "left")
     others = F.greatest(F.col("c") - F.col("n"), F.lit(0))             # occurrences in other documents
     left = lambda c, d: F.log(F.greatest(F.col(c) - F.col(d), F.lit(1)))
     met = (F.col("dv") > 0) & (others > 0)
