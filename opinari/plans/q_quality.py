@@ -15,10 +15,13 @@ from opinari.config import QUALITY_RULES
 from opinari.functions import text as tx
 from opinari.operators import filters, language
 from opinari.operators import quality as Q
+from opinari.operators import report_state
+from opinari.operators.base import written
 from opinari.plans import jobs
 from opinari.plans import sqlfrag as S
 from opinari.plans.q_text import CLEAN_JOB_CTES, CLEAN_JOB_SELECT, _SENT_SQL, detector
-from opinari.plans.registry import query
+from opinari.plans.registry import ORACLE, query
+from opinari.session import scratch_path
 from opinari.sources.tables import comments
 
 SCORED = f"""WITH {S.COMMENTS_CTE},
@@ -276,3 +279,15 @@ rows AS (
 SELECT section, metric, round(value, 6) AS value FROM rows""")
 def quality_report(spark, sf):
     return round_doubles(Q.quality_report(scored(spark, sf)))
+
+
+@query("quality_report_by_load", f"SELECT * FROM ({ORACLE['quality_report']}) WHERE metric <> 'median_confidence'")
+def quality_report_by_load(spark, sf):
+    """A21 from the states of three loads, which are all comments dealt by a hash; without the one sketched metric."""
+    rows = written(scored(spark, sf).select("comment_id", "cleaned_comment", "sentiment", "sentiment_confidence", "detected_aspects"), "scored")
+    table = scratch_path(spark, "report-states")
+    part = F.pmod(F.xxhash64("comment_id"), F.lit(3))
+    for i in range(3):
+        report_state.add(rows.where(part == i).drop("comment_id"), table, f"load-{i}")
+    report = report_state.report(report_state.merge(report_state.states(spark, table)))
+    return round_doubles(report.where("metric <> 'median_confidence'"))
