@@ -128,25 +128,28 @@ def confidence_profile(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS,
         F.count_if(c > t.high_confidence).alias("high_confidence_count"))
 
 
-def quality_terms(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> list[Column]:
-    """A11 ratio terms as aggregate expressions; each only if its column exists."""
-    n = F.count(F.lit(1))
-    terms = []
+def quality_conditions(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> list[tuple[float, Column]]:
+    """(weight, condition) of each share; each only if its column exists."""
+    found = []
     if "cleaned_comment" in df.columns:
         ln = F.length("cleaned_comment")
-        terms.append(-20.0 * F.try_divide(F.count_if(ln == 0), n))
-        terms.append(-10.0 * F.try_divide(F.count_if(ln < t.min_comment_length), n))
+        found += [(-20.0, ln == 0), (-10.0, ln < t.min_comment_length)]
     if "sentiment_confidence" in df.columns:
-        terms.append(-15.0 * F.try_divide(F.count_if(F.col("sentiment_confidence") < t.low_confidence), n))
+        found.append((-15.0, F.col("sentiment_confidence") < t.low_confidence))
     if "detected_aspects" in df.columns:
-        terms.append(5.0 * F.try_divide(F.count_if(F.size("detected_aspects") > 0), n))
-    return terms
+        found.append((5.0, F.size("detected_aspects") > 0))
+    return found
+
+
+def score_of_shares(terms: list[Column]) -> Column:
+    """100 and the weighted shares, held between 0 and 100."""
+    # ``least``/``greatest`` skip nulls: a share of no rows must not become a score.
+    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), reduce(lambda a, b: a + b, terms, F.lit(100.0))))
 
 
 def quality_score_expr(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> Column:
-    raw = reduce(lambda a, b: a + b, quality_terms(df, t), F.lit(100.0))
-    # ``least``/``greatest`` skip nulls, so an empty table is tested first.
-    return F.when(F.count(F.lit(1)) > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), raw)))
+    n = F.count(F.lit(1))
+    return F.when(n > 0, score_of_shares([weight * F.try_divide(F.count_if(c), n) for weight, c in quality_conditions(df, t)]))
 
 
 def quality_score(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from opinari.config import DEFAULT_THRESHOLDS, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
 from opinari.operators.base import written
+from opinari.operators.quality import score_of_shares
 from opinari.sources import loads
 
 KLL_K = 4000
@@ -136,11 +137,11 @@ def history(spark: SparkSession, table: str) -> DataFrame:
     one = fixed.groupBy("load_id").agg(*[_of("count", c).alias(c) for c in (
         "rows", "texts", "chars", "empty", "very_short", "low_confidence", "with_aspects")],
         _of("min", "length").alias("min_length"), _of("max", "length").alias("max_length"))
-    share = lambda c, weight: F.coalesce(weight * F.try_divide(F.col(c), F.col("rows")), F.lit(0.0))
-    raw = F.lit(100.0) + share("empty", -20.0) + share("very_short", -10.0) + share("low_confidence", -15.0) + share("with_aspects", 5.0)
+    weights = {"empty": -20.0, "very_short": -10.0, "low_confidence": -15.0, "with_aspects": 5.0}               # A11
+    shares = [F.coalesce(weight * F.try_divide(c, "rows"), F.lit(0.0)) for c, weight in weights.items()]
     return one.select("load_id", F.col("rows").alias("record_count"), F.try_divide("chars", "texts").cast("double").alias("avg_length"),
                       "min_length", "max_length", F.col("empty").alias("empty_comments"),
-                      F.when(F.col("rows") > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), raw))).alias("quality_score"))
+                      F.when(F.col("rows") > 0, score_of_shares(shares)).alias("quality_score"))
 
 
 def report(merged: DataFrame, top_words: int = 10, exact_words: bool = True) -> DataFrame:

@@ -33,6 +33,16 @@ def event_rate(spark, sf):
     return round_doubles(r.select(_start(), "event_type", "events", "rate_per_sec"))
 
 
+@query("event_rate_sliding", f"""SELECT strftime(s, {DFMT}) AS window_start, event_type, count(*) AS events,
+  round(count(*) / 3600.0, 6) AS rate_per_sec
+FROM (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 1 MINUTE * unnest(generate_series(0, 59)) AS s FROM events)
+GROUP BY 1, 2""")
+def event_rate_sliding(spark, sf):
+    """E1 over the last hour, every minute."""
+    r = E.event_rate(_events(spark, sf), "1 hour", "1 minute")
+    return round_doubles(r.select(_start(), "event_type", "events", "rate_per_sec"))
+
+
 @query("latency_quantiles", f"""SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), {DFMT}) AS window_start,
   event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95
 FROM events GROUP BY 1, 2""")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import ALERT_RULES, AlertRule
 from opinari.operators.quantiles import exact_quantiles
+from opinari.streaming.panes import sliding_sums
 
 
 def with_event_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -27,8 +28,11 @@ def with_event_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     return df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
 
 
-def _window(ts_col: str, duration: str, slide: str | None):
-    return F.window(ts_col, duration, slide) if slide else F.window(ts_col, duration)
+def _counted(df: DataFrame, duration: str, slide: str | None, ts_col: str, sums: dict, keys=()) -> DataFrame:
+    """Counts per window; with a slide from panes (a stream then needs a watermark and append mode)."""
+    if slide:
+        return sliding_sums(df, duration, slide, sums, keys, ts_col)
+    return df.groupBy(F.window(ts_col, duration).alias("window"), *keys).agg(*[c.alias(k) for k, c in sums.items()])
 
 
 def event_rate(df: DataFrame, duration: str = "5 minutes", slide: str | None = None,
@@ -37,8 +41,7 @@ def event_rate(df: DataFrame, duration: str = "5 minutes", slide: str | None = N
     seconds are those of the window itself."""
     seconds = (F.unix_micros(F.col("window.end").cast("timestamp"))
                - F.unix_micros(F.col("window.start").cast("timestamp"))) / 1e6
-    return (df.groupBy(_window(ts_col, duration, slide).alias("window"), series)
-            .agg(F.count(F.lit(1)).alias("events"))
+    return (_counted(df, duration, slide, ts_col, {"events": F.count(F.lit(1))}, [series])
             .withColumn("rate_per_sec", F.col("events") / seconds))
 
 
@@ -77,11 +80,10 @@ def latest_state(df: DataFrame, key: str = "user_id", ts_col: str = "ts",
 
 
 def error_ratio(df: DataFrame, duration: str = "5 minutes", ts_col: str = "ts",
-                series: str = "event_type", error_value: str = "error") -> DataFrame:
-    """Share of error events in % per range."""
-    return (df.groupBy(F.window(ts_col, duration).alias("window"))
-            .agg(F.count(F.lit(1)).alias("events"),
-                 F.count_if(F.col(series) == error_value).alias("errors"))
+                series: str = "event_type", error_value: str = "error", slide: str | None = None) -> DataFrame:
+    """Share of error events in % per fixed (or sliding) range."""
+    sums = {"events": F.count(F.lit(1)), "errors": F.count_if(F.col(series) == error_value)}
+    return (_counted(df, duration, slide, ts_col, sums)
             .withColumn("error_pct", F.col("errors") * 100.0 / F.col("events")))
 
 
@@ -120,11 +122,14 @@ def alerts(ratios: DataFrame, rules=ALERT_RULES, metric_col: str = "error_pct")
         F.when(resolved.isNull(), "active").otherwise("resolved").alias("status"), "peak_value")
 
 
-def quality_over_time(df: DataFrame, duration: str = "1 hour", ts_col: str = "created_at") -> DataFrame:
-    """The A11 quality score per window of comment time."""
-    from opinari.operators.quality import quality_score_expr
-    return (df.groupBy(F.window(ts_col, duration).alias("window"))
-            .agg(F.count(F.lit(1)).alias("record_count"), quality_score_expr(df).alias("quality_score")))
+def quality_over_time(df: DataFrame, duration: str = "1 hour", ts_col: str = "created_at", slide: str | None = None) -> DataFrame:
+    """The A11 quality score per (fixed or sliding) window of comment time."""
+    from opinari.operators.quality import quality_conditions, score_of_shares
+    found = quality_conditions(df)
+    sums = {"record_count": F.count(F.lit(1)), **{f"_q{i}": F.count_if(c) for i, (_, c) in enumerate(found)}}
+    counted = _counted(df, duration, slide, ts_col, sums)
+    score = score_of_shares([weight * F.try_divide(f"_q{i}", "record_count") for i, (weight, _) in enumerate(found)])
+    return counted.select("window", "record_count", score.alias("quality_score"))
 
 
 # ---------------------------------------------------------------------------
