@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from opinari.config import DEFAULT_THRESHOLDS, QUALITY_RULES, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
 from opinari.operators.base import key_hash, written
+from opinari.operators.frequent import most_frequent
 
 
 def _median(c: Column, exact: bool) -> Column:
@@ -102,9 +103,9 @@ def vocabulary(df: DataFrame, col: str = "cleaned_comment", exact: bool = True)
 
 
 def top_words(df: DataFrame, col: str = "cleaned_comment", n: int = 10) -> DataFrame:
-    """A5: the ``n`` most frequent words (ties by word); per-partition top-k."""
-    return (words_long(df, col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), "word").limit(n))
+    """A5: the ``n`` most frequent words (ties by word), exactly; candidates are counted, not the whole vocabulary
+    (:mod:`opinari.operators.frequent`)."""
+    return most_frequent(words_long(df, col), "word", n)
 
 
 def sentiment_distribution(df: DataFrame) -> DataFrame:
