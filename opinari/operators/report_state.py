@@ -71,10 +71,6 @@ def _fixed_rows(df: DataFrame, t: Thresholds) -> list[tuple]:
     return rows
 
 
-def _tagged(kind: str, values: Column) -> Column:
-    return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("item")))
-
-
 def state(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """The state of one load: one wide aggregate, and one grouped count of characters, words, aspects and lengths,
     summed on each task before the shuffle."""
@@ -85,15 +81,17 @@ def state(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
                                            for i, (kind, item, _) in enumerate(fixed)])))
     c = F.col("cleaned_comment")
     none = F.array().cast("array<string>")
-    lists = [_tagged("char", F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?s)(.)"), 1))),
-             _tagged("word", tx.words(c)), _tagged("length", F.array(F.length(c)))]
-    lists = [F.when(c.isNotNull(), x).otherwise(_tagged("word", none)) for x in lists]
+    # An empty pattern splits into characters without a regular expression per character.
+    lists = {"char": F.array_distinct(F.split(F.lower(c), "")), "word": tx.words(c), "length": F.array(F.length(c).cast("string"))}
+    lists = {kind: F.when(c.isNotNull(), x).otherwise(none) for kind, x in lists.items()}
     if "detected_aspects" in df.columns:
         found = F.coalesce(F.col("detected_aspects"), none)
-        lists.append(_tagged("aspect", found))
         if "sentiment" in df.columns:
-            lists.append(F.transform(found, lambda a: F.struct(F.lit("aspect").alias("kind"), F.concat(a, F.lit("_"), F.col("sentiment")).alias("item"))))
-    values = df.select(F.inline(F.concat(*lists))).where("item is not null").groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n"))
+            found = F.concat(found, F.transform(found, lambda a: F.concat(a, F.lit("_"), F.col("sentiment"))))
+        lists["aspect"] = found
+    tagged = df.select(F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), x.alias("items")) for kind, x in lists.items()])))
+    values = tagged.select("kind", F.explode("items").alias("item")).where("item is not null and (kind <> 'char' or item <> '')") \
+        .groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n"))
     values = written(values, "report-values")
     sketch = values.agg(F.hll_sketch_agg(F.when(F.col("kind") == "word", F.col("item")), HLL_BITS).alias("s"))
     null = lambda to: F.lit(None).cast(to)
