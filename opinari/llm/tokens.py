@@ -121,8 +121,19 @@ class Remembered(dict):
         return found
 
 
+def _check_cut(vocabulary: Vocabulary) -> None:
+    """Refuse a file whose words and marks are cut otherwise than by hand: every character up to
+    U+00FF and every pair of them must come out as the library has it."""
+    t = vocabulary.tokenizer
+    plain = [c for c in map(chr, range(256)) if c.isprintable() and not c.isspace()]
+    for chunk in [*plain, *(a + b for a in plain for b in plain)]:
+        if vocabulary.pre_tokens(chunk) != [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(chunk))]:
+            raise ValueError(f"this tokenizer cuts {chunk!r} in another way")
+
+
 def load(path: str) -> Vocabulary:
-    """Read a ``tokenizers`` file and prove its whole tokens."""
+    """Read a ``tokenizers`` file and prove its whole tokens. Files with another normaliser than
+    NFC, blanks and lower case, or other steps than one split and bytes, are refused."""
     with open(path, encoding="utf-8") as f:
         content = f.read()
     spec = json.loads(content)
@@ -131,6 +142,16 @@ def load(path: str) -> Vocabulary:
     spaces = [a for a in spec["added_tokens"] if a["lstrip"] or a["rstrip"] or a["content"] != "".join(a["content"].split())]
     if not drops or spaces or spec["post_processor"]:
         raise ValueError("texts can be cut at blanks only for tokenizers that drop white space")
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if steps != [{"type": "NFC"}, blanks, {"type": "Lowercase"}]:
+        raise ValueError("the normaliser must be NFC, white space to blanks, lower case")
+    cut = [x["type"] for x in spec["pre_tokenizer"].get("pretokenizers", [])]
+    last = (spec["pre_tokenizer"].get("pretokenizers") or [{}])[-1]
+    if cut != ["Split", "ByteLevel"] or last["add_prefix_space"] or last["use_regex"]:
+        raise ValueError("pre-tokens must come from one split, then plain bytes")
+    if spec["model"].get("dropout"):
+        raise ValueError("merges must not be dropped at random")
     t = Tokenizer.from_str(content)
     special = [a["content"] for a in spec["added_tokens"]]
     end = spec["model"]["end_of_word_suffix"] or ""
@@ -140,7 +161,9 @@ def load(path: str) -> Vocabulary:
             alone = token[:len(token) - len(end)] if end else token
             if alone and [x.id for x in t.model.tokenize(alone)] == [number]:
                 whole[alone] = number
-    return Vocabulary(content, special, whole, splits[0]["pattern"]["Regex"])
+    vocabulary = Vocabulary(content, special, whole, splits[0]["pattern"]["Regex"])
+    _check_cut(vocabulary)
+    return vocabulary
 
 
 def chunks(text: str | None) -> list[str]:

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -30,6 +31,46 @@ def data(spark):
     return r, spark.createDataFrame(r, SCHEMA)
 
 
+def _no_lower(spec):
+    spec["normalizer"]["normalizers"].pop()
+
+
+def _compatibility(spec):
+    spec["normalizer"]["normalizers"][0]["type"] = "NFKC"
+
+
+def _no_normaliser(spec):
+    spec["normalizer"] = None
+
+
+def _own_split(spec):
+    spec["pre_tokenizer"]["pretokenizers"][1]["use_regex"] = True
+
+
+def _prefix(spec):
+    spec["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"] = True
+
+
+def _single_letters(spec):
+    split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+    split["Regex"] = split["Regex"].replace(r"[\p{L}]+", r"[\p{L}]")
+
+
+def _dropout(spec):
+    spec["model"]["dropout"] = 0.1
+
+
+@pytest.mark.parametrize("change", [_no_lower, _compatibility, _no_normaliser, _own_split, _prefix, _single_letters, _dropout])
+def test_other_tokenizers_are_refused(tmp_path, change):
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    change(spec)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        tokens.load(str(path))
+
+
 def test_whole_tokens_are_proven(vocabulary, library):
     assert len(vocabulary.whole) > 30_000
     for piece in list(vocabulary.whole)[::997]:
