@@ -175,7 +175,8 @@ def best_language(model: TrigramModel):
             best = len(names) - 1 - score[::-1].argmax(axis=0)
             yield pa.array(np.array(names, object)[best], pa.string(), mask=~(sums > 0).any(axis=0))
 
-    return F.arrow_udf(run, "string")
+    # A filter on the language must not be pushed below and score the texts once more.
+    return F.arrow_udf(run, "string").asNondeterministic()
 
 
 def _in_row(model: TrigramModel) -> bool:
@@ -219,8 +220,8 @@ def detect(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,
     (``id_col`` unique)."""
     if not _in_row(model):
         return df.join(detect_ids(df, model, id_col, text_col, out_col, min_chars), id_col, "left")
-    found = best_language(model)(normalised(text_col))
-    return df.withColumn(out_col, F.when(_short(text_col, min_chars) | found.isNull(), F.lit("unknown")).otherwise(found))
+    asked = F.when(~_short(text_col, min_chars), normalised(text_col))
+    return df.withColumn(out_col, F.coalesce(best_language(model)(asked), F.lit("unknown")))
 
 
 def english_fallback(df: DataFrame, text_col: str, out_col: str = "detected_language") -> DataFrame:

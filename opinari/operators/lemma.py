@@ -9,26 +9,33 @@ occurs as a token somewhere in the table, and the shortest known form wins
 2. distinct vocabulary (partial aggregate, so a token filling a third of the
    corpus shrinks map-side before the shuffle);
 3. candidates per vocabulary token, semi-joined with the vocabulary, reduced
-   with ``min_by`` to one lemma per token; only tokens whose lemma differs
-   are kept;
-4. join those with each text's distinct tokens (hot tokens by broadcast, see
-   ``join_hot``) and collect one replacement map per text (bounded by that
-   text's distinct tokens);
-5. join the map back by id and apply it to the token array in place, so
-   token positions are never shuffled.
+   to one lemma per token; only tokens whose lemma differs are kept;
+4. these are written and counted. Up to ``IN_ROW`` of them go to the workers and
+   each text's tokens are replaced in their row: one vectorised lookup per
+   Arrow batch, nothing of the texts is shuffled or joined back;
+5. more of them are joined with each text's distinct tokens (hot tokens by
+   broadcast, see ``join_hot``) into one replacement map per text (bounded by
+   that text's distinct tokens), which is joined back by id and applied to the
+   token array in place.
 
 The tokens are written once, beside their id, to the shared folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinari.config import NOUN_SUFFIX_RULES, SPARK_ENGLISH_STOPWORDS, CleaningConfig
 from opinari.functions import text as tx
-from opinari.operators.base import join_hot, with_columns_once
-from opinari.session import scratch_path
+from opinari.operators.base import join_hot, with_columns_once, written
+
+#: Tokens with another lemma that the workers may hold (about 50 bytes each).
+IN_ROW = 500_000
 
 
 def candidate_forms(token) -> F.Column:
@@ -53,24 +60,41 @@ def lemma_map(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     return best.select("token", F.element_at(candidate_forms("token"), (F.col("_rank") % 100 + 1).cast("int")).alias("lemma"), "n")
 
 
+def replaced(changed: DataFrame):
+    """``changed (token, lemma)`` as a column function of a token array. Not to
+    be repeated by filters that are pushed below it, so marked as such."""
+    table = changed.select("token", "lemma").toArrow().combine_chunks()
+    shared = changed.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens, lemmas = (shared.value.column(c).combine_chunks() for c in ("token", "lemma"))
+        for batch in batches:
+            found = lemmas.take(pc.index_in(batch.values, value_set=tokens))
+            yield pa.ListArray.from_arrays(batch.offsets, pc.coalesce(found, batch.values))
+
+    return F.arrow_udf(run, "array<string>").asNondeterministic()
+
+
 def lemmatize(df: DataFrame, id_col: str, tokens_col: str, out_col: str = "lemmas") -> DataFrame:
     """Replace each token of ``tokens_col`` with its lemma; the result is
     an array in the original order. Rows with no tokens get ``[]``. ``id_col``
-    must be unique."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "tokens")
-    df.write.parquet(path)
-    df = spark.read.schema(df.schema).parquet(path)
+    must be unique if more than ``IN_ROW`` tokens have another lemma."""
+    df = written(df, "tokens")
     per_doc = df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
+    changed = written(lemma_map(per_doc).filter(F.col("lemma") != F.col("token")), "lemmas")
+    n = changed.count()
+    none = F.array().cast("array<string>")
+    if not n:
+        return df.withColumn(out_col, F.coalesce(F.col(tokens_col), none))
+    if n <= IN_ROW:
+        return df.withColumn(out_col, replaced(changed)(F.coalesce(F.col(tokens_col), none)))
     total = df.agg(F.coalesce(F.sum(F.size(F.array_distinct(tokens_col))), F.lit(0))).first()[0]
-    changed = lemma_map(per_doc).filter(F.col("lemma") != F.col("token"))
     repl = (join_hot(per_doc, changed, "token", "n", total, "inner")
             .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_m")))
     toks = F.col(tokens_col)
     lem = F.when(F.col("_m").isNull(), toks).otherwise(
         F.transform(toks, lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t)))
-    return (df.join(repl, id_col, "left")
-            .withColumn(out_col, F.coalesce(lem, F.array().cast("array<string>"))).drop("_m"))
+    return df.join(repl, id_col, "left").withColumn(out_col, F.coalesce(lem, none)).drop("_m")
 
 
 def drop_stopwords(df: DataFrame, tokens_col: str, stopwords=SPARK_ENGLISH_STOPWORDS) -> DataFrame:
@@ -88,7 +112,7 @@ def drop_stopwords(df: DataFrame, tokens_col: str, stopwords=SPARK_ENGLISH_STOPW
 def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_comment",
                id_col: str = "comment_id", config: CleaningConfig = CleaningConfig()) -> DataFrame:
     """T4: text rules (T4a–c), lower case, then tokens → stop words → lemmas
-    → joined by one space. ``id_col`` must be unique."""
+    → joined by one space. ``id_col`` as in :func:`lemmatize`."""
     d = with_columns_once(df, _deep=tx.deep_clean_text(F.col(text_col), config.remove_punctuation))
     if not (config.remove_stopwords or config.lemmatize):
         return d.withColumn(out_col, F.trim(F.col("_deep"))).drop("_deep")
@@ -96,7 +120,5 @@ def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_c
     if config.remove_stopwords:
         d = drop_stopwords(d, "_toks")
     if config.lemmatize:
-        # Only ids and tokens are written and joined; the other columns meet them by id.
-        lemmas = lemmatize(d.select(id_col, "_toks"), id_col, "_toks", "_lem").select(id_col, "_lem")
-        d = df.join(lemmas.withColumnRenamed("_lem", "_toks"), id_col, "left")
+        d = lemmatize(d, id_col, "_toks", "_lem").drop("_toks").withColumnRenamed("_lem", "_toks")
     return d.select(*df.columns, F.array_join("_toks", " ").alias(out_col))

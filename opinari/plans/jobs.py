@@ -14,7 +14,7 @@ from opinari.config import (DEFAULT_THRESHOLDS, FIXTURE_LEXICON, FIXTURE_SCORER,
 from opinari.functions import text as tx
 from opinari.operators import aspects as ops_aspects
 from opinari.operators import filters
-from opinari.operators.base import with_columns_once, written
+from opinari.operators.base import with_columns_once
 from opinari.operators.dedup import dedup_first
 from opinari.operators.lemma import deep_clean
 from opinari.operators.sentiment import score_lexicon
@@ -83,10 +83,9 @@ def clean_job(comments: DataFrame, detect: Callable[[DataFrame], DataFrame] | No
     if config.supported_languages and detect is None:
         raise ValueError("a language filter needs a language detector")
     d = dedup_first(light_clean(comments), ["game_id", "cleaned_comment"], "comment_id")
-    # Written before and after the deep clean: it and the detector join back to their input,
-    # which would stand in the plan, and be computed, once for each.
-    d = written(d.drop("value").withColumnRenamed("cleaned_comment", "_light"), "deduplicated")
-    d = written(deep_clean(d, "_light", "cleaned_comment", "comment_id", config).drop("_light"), "deep-cleaned")
+    # The deep clean writes rows and tokens once; lemmas and language are found in their row after that.
+    d = d.drop("value").withColumnRenamed("cleaned_comment", "_light")
+    d = deep_clean(d, "_light", "cleaned_comment", "comment_id", config).drop("_light")
     d = filters.length_range(d, "cleaned_comment", thresholds.clean_min_length,
                              thresholds.clean_max_length)
     if config.supported_languages:
