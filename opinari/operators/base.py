@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +77,53 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def portions(weight: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of portions of an Arrow batch whose ``weight`` (null counts as 0) sums to about ``limit``, so that
+    what Python makes of a portion stays small beside the batch."""
+    ends = np.cumsum(np.asarray(pc.fill_null(weight, 0).cast(pa.int64())))
+    i, done = 0, 0
+    while i < len(ends):
+        j = max(int(np.searchsorted(ends, done + limit, side="right")), i + 1)
+        yield i, j - i
+        i, done = j, int(ends[j - 1])
+
+
+class NumberTable:
+    """Places of 64-bit numbers in ``numbers`` (distinct), as a hash table in numpy: a lookup costs a few array accesses,
+    not a binary search."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.numbers = np.append(numbers.astype(np.int64), np.int64(0))
+        self.bits = max(4, int(4 * len(numbers)).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        self.probes, left = 0, np.arange(len(numbers), dtype=np.int32)
+        while len(left):
+            at = self._at(self.numbers[left], self.probes)
+            free = self.slot[at] < 0
+            self.slot[at[free]] = left[free]                  # of several in one slot the last stays
+            left = left[self.slot[at] != left]
+            self.probes += 1
+
+    def _at(self, numbers: np.ndarray, probe: int) -> np.ndarray:
+        mixed = numbers.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(64 - self.bits)).view(np.int64) + probe) & ((1 << self.bits) - 1)
+
+    def places(self, numbers: np.ndarray) -> np.ndarray:
+        """The place of each of ``numbers``, or -1."""
+        out = np.full(len(numbers), -1, np.int32)
+        asked, index = numbers, None
+        for probe in range(self.probes):
+            found = self.slot[self._at(asked, probe)]
+            hit = (found >= 0) & (self.numbers[found] == asked)
+            if index is None:
+                out[hit] = found[hit]
+                index = np.flatnonzero((found >= 0) & ~hit)
+            else:
+                out[index[hit]] = found[hit]
+                index = index[(found >= 0) & ~hit]
+            if not len(index):
+                break
+            asked = numbers[index]
+        return out

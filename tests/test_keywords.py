@@ -3,9 +3,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from opinari.operators import aspects, keywords
+from opinari.operators.base import NumberTable, portions
 
 
 def data(seed, n_texts, n_words):
@@ -53,3 +56,22 @@ def test_small_and_empty_lexicons(spark):
     none = words.limit(0)
     for hits in (aspects.keyword_hits(df, none, "id"), keywords.gram_hits(df, none, "id", "cleaned_comment")):
         assert hits.columns == ["id", "aspect", "keyword"] and hits.count() == 0
+
+
+def test_a_text_is_not_copied_per_gram(spark):
+    df = spark.createDataFrame([(1, "one two three"), (2, None)], "id long, cleaned_comment string")
+    words = spark.createDataFrame([("a", "two"), ("b", "two"), ("a", "three"), ("a", "fore"), ("a", "e")], "aspect string, keyword string")
+    out = keywords.gram_hits(df, words, "id", "cleaned_comment")
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [(1, "a", "e"), (1, "a", "three"), (1, "a", "two"), (1, "b", "two")]
+
+
+def test_number_table_and_portions():
+    r = np.random.default_rng(1)
+    numbers = np.unique(r.integers(-1 << 62, 1 << 62, 20_000))
+    asked = np.concatenate([r.permutation(numbers), r.integers(-1 << 62, 1 << 62, 20_000), np.zeros(3, np.int64)])
+    at = NumberTable(numbers).places(asked)
+    known = np.isin(asked, numbers)
+    assert (at >= 0).tolist() == known.tolist() and (numbers[at[known]] == asked[known]).all()
+    assert NumberTable(numbers[:0]).places(asked).max() == -1
+    assert list(portions(pa.array([5, None, 5, 30, 1, 1]), 10)) == [(0, 3), (3, 1), (4, 2)]
