@@ -57,13 +57,12 @@ J_EDGE_WS = rf"^[{JWS}]+|[{JWS}]+$"
 # for an interior "@" ahead, then take the whole run. (The plain form
 # backtracks over every start in long runs without spaces.)
 EMAIL_LINEAR = rf"(?<![^{JWS}])(?=[^{JWS}]+?@[^{JWS}])[^{JWS}]++"
-# Counting forms of T10 for the table-level sums (A2), over text whose
-# whitespace is mapped to " ": a word of a non-blank sentence is a run of
-# characters that are neither space nor an end mark; a non-blank sentence
-# starts at the first such character after the text start or an end mark.
-# Both are linear scans with no per-sentence array.
-SENTENCE_WORD = r"[^ .!?]+"
-SENTENCE_START = r"(?:^|[.!?]) *+[^ .!?]"
+# Counting forms of T10 for the table-level sums (A2): a word of a non-blank
+# sentence is a run of characters that are neither whitespace nor an end mark; a
+# non-blank sentence starts at the first such character after the text start or
+# an end mark. Both are linear scans with no per-sentence array.
+SENTENCE_WORD = rf"[^{JWS}.!?]++"
+SENTENCE_START = rf"(?:^|[.!?])[{JWS}]*+[^{JWS}.!?]"
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -117,14 +116,15 @@ def deep_clean_text(c, remove_punctuation: bool = False) -> Column:
     for tag in ("IMG", "URL", "QUOTE"):
         t = F.regexp_replace(t, rf"(?s)\[{tag}\].*?\[/{tag}\]", "")
     t = strip_urls(t)
-    t = strip_emails(t)
+    # Nothing above adds an "@", and most texts have none: they skip the scan.
+    t = F.when(_c(c).contains("@"), strip_emails(t)).otherwise(t)
     t = strip_punctuation(t, remove_punctuation)
     return F.lower(t)
 
 
-def tokenize(c) -> Column:
-    """T5: words and single punctuation marks of the lower-cased text."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit(J_TOKEN), 1)
+def tokenize(c, lowered: bool = False) -> Column:
+    """T5: words and single punctuation marks of the lower-cased text (``lowered``: it is lower-cased already)."""
+    return F.regexp_extract_all(_c(c) if lowered else F.lower(_c(c)), F.lit(J_TOKEN), 1)
 
 
 def remove_stopwords(tokens, stopwords=SPARK_ENGLISH_STOPWORDS) -> Column:
@@ -159,7 +159,7 @@ def sentence_word_counts(c) -> Column:
 def sentence_totals(c) -> tuple[Column, Column]:
     """T10 summed per text: (non-blank sentences, words in them); equal to
     ``size`` and the sum of ``sentence_word_counts``."""
-    t = spaces_only(F.coalesce(_c(c), F.lit("")))
+    t = F.coalesce(_c(c), F.lit(""))
     return F.regexp_count(t, F.lit(SENTENCE_START)), F.regexp_count(t, F.lit(SENTENCE_WORD))
 
 
@@ -168,9 +168,10 @@ def spaces_only(c) -> Column:
     return F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
 
 
-def words(c) -> Column:
-    """``\\b\\w+\\b`` on the lower-cased text = maximal word-character runs."""
-    return F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit(WORD_RUN), 1)
+def words(c, lowered: bool = False) -> Column:
+    """``\\b\\w+\\b`` on the lower-cased text (``lowered``: it is already) = maximal word-character runs."""
+    t = F.coalesce(_c(c), F.lit(""))
+    return F.regexp_extract_all(t if lowered else F.lower(t), F.lit(WORD_RUN), 1)
 
 
 def text_key(c) -> Column:
@@ -216,5 +217,12 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), J_EDGE_WS, "")
 
 
+def stripped_shorter(c, n: int) -> Column:
+    """``length(strip_ws(c)) < n`` without making the stripped text: the scan ends at the n-th character that counts."""
+    if n <= 0:
+        return F.when(_c(c).isNotNull(), F.lit(False))
+    return ~_c(c).rlike(rf"(?s)[^{JWS}]" + (rf".{{{n - 2},}}?[^{JWS}]" if n > 1 else ""))
+
+
 def round6(c) -> Column:
     return F.round(_c(c), 6)

@@ -30,7 +30,7 @@ def length_range(df: DataFrame, col: str = "cleaned_comment", lo: int = 10,
 
 def drop_blank(df: DataFrame, col: str = "cleaned_comment") -> DataFrame:
     """P5: drop empty text (after stripping whitespace)."""
-    return df.filter(F.length(F.regexp_replace(F.col(col), tx.J_WS_RUN, "")) > 0)
+    return df.filter(~tx.stripped_shorter(F.col(col), 1))
 
 
 def language_filter(df: DataFrame, col: str = "detected_language",

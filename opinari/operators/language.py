@@ -20,15 +20,17 @@ non-blank characters are ``unknown``, as in the reference.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinari.functions import text as tx
+from opinari.operators import base
 from opinari.operators.base import with_columns_once
 from opinari.session import scratch_path
 
@@ -48,7 +50,9 @@ def trigrams_of(c: Column) -> Column:
 
 
 #: Characters that one numpy pass takes; longer texts are cut, so memory does not follow a text's length.
-PORTION = 1 << 20
+PORTION = 1 << 18
+#: Characters whose trigrams are counted together.
+COUNTED = 1 << 20
 #: A profile of up to this many grams x languages goes to the workers as a matrix of doubles.
 PROFILE_CELLS = 4_000_000
 #: Beyond that the profile is joined, marked for broadcast up to this many grams.
@@ -57,18 +61,24 @@ PROFILE_BROADCAST_GRAMS = 1_000_000
 MAX_LANGUAGES = 200
 
 
-def portions(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(trigrams, index of their text) in portions of about PORTION characters.
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of an Arrow column, made one portion at a time."""
+    for at, n in base.portions(pc.binary_length(column), PORTION):
+        yield from column.slice(at, n).to_pylist()
+
+
+def portions(texts: Iterable[str | None], limit: int = PORTION) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(trigrams, index of their text) in portions of about ``limit`` characters.
     A trigram is a number: three code points of 21 bits, so no two share one.
     Pieces of a longer text overlap by two characters."""
     pieces, rows, size = [], [], 0
     for i, t in enumerate(texts):
-        for at in range(0, max(len(t or "") - 2, 0), PORTION):
-            piece = t[at:at + PORTION + 2]
+        for at in range(0, max(len(t or "") - 2, 0), limit):
+            piece = t[at:at + limit + 2]
             pieces.append(piece)
             rows.append(i)
             size += len(piece)
-            if size >= PORTION:
+            if size >= limit:
                 yield _trigram_numbers(pieces, rows)
                 pieces, rows, size = [], [], 0
     if pieces:
@@ -77,10 +87,10 @@ def portions(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 def _trigram_numbers(pieces: list[str], rows: list[int]) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32).astype(np.int64)
-    row = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+    row = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(p) for p in pieces])
     inside = row[2:] == row[:-2]
     numbers = (points[:-2] << 42 | points[1:-1] << 21 | points[2:])[inside]
-    return numbers, np.array(rows)[row[2:][inside]]
+    return numbers, np.array(rows, dtype=np.int32)[row[2:][inside]]
 
 
 def gram_numbers(grams: list[str]) -> np.ndarray:
@@ -98,7 +108,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         codes = batch.column(0).dictionary_encode()
         names, of_text = codes.dictionary.to_pylist(), np.asarray(codes.indices)
-        for numbers, row in portions(batch.column(1).to_pylist()):
+        for numbers, row in portions(_texts(batch.column(1)), COUNTED):
             lang = of_text[row]
             for i in np.unique(lang):
                 found, c = np.unique(numbers[lang == i], return_counts=True)
@@ -160,20 +170,21 @@ def best_language(model: TrigramModel):
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers, weights, names, (prior, norm) = *shared.value[:3], shared.value[3].T
+        table = base.NumberTable(numbers)
         for batch in batches:
-            texts = batch.to_pylist()
-            sums = np.zeros((len(names), len(texts)))
-            for found, row in portions(texts):
-                at = np.searchsorted(numbers, found)
-                at[at == len(numbers)] = 0
-                known = numbers[at] == found
-                at, row = at[known], row[known]
-                for i, w in enumerate(weights):
-                    sums[i] += np.bincount(row, w[at], len(texts))
-            count = np.array([max(len(t or "") - 2, 0) for t in texts])
-            score = np.where(sums > 0, prior[:, None] - count * norm[:, None] + sums, -np.inf)
-            best = len(names) - 1 - score[::-1].argmax(axis=0)
-            yield pa.array(np.array(names, object)[best], pa.string(), mask=~(sums > 0).any(axis=0))
+            for first, n in base.portions(pc.binary_length(batch), PORTION):
+                texts = batch.slice(first, n).to_pylist()
+                sums = np.zeros((len(names), n))
+                for found, row in portions(texts):
+                    at = table.places(found)
+                    known = at >= 0
+                    at, row = at[known], row[known]
+                    for i, w in enumerate(weights):
+                        sums[i] += np.bincount(row, w[at], n)
+                count = np.array([max(len(t or "") - 2, 0) for t in texts])
+                score = np.where(sums > 0, prior[:, None] - count * norm[:, None] + sums, -np.inf)
+                best = len(names) - 1 - score[::-1].argmax(axis=0)
+                yield pa.array(np.array(names, object)[best], pa.string(), mask=~(sums > 0).any(axis=0))
 
     # A filter on the language must not be pushed below and score the texts once more.
     return F.arrow_udf(run, "string").asNondeterministic()
@@ -184,7 +195,7 @@ def _in_row(model: TrigramModel) -> bool:
 
 
 def _short(text_col: str, min_chars: int) -> Column:
-    return F.length(tx.strip_ws(F.coalesce(F.col(text_col), F.lit("")))) < min_chars
+    return tx.stripped_shorter(F.coalesce(F.col(text_col), F.lit("")), min_chars)
 
 
 def detect_ids(df: DataFrame, model: TrigramModel, id_col: str, text_col: str,

@@ -11,8 +11,8 @@ occurs as a token somewhere in the table, and the shortest known form wins
 3. candidates per vocabulary token, semi-joined with the vocabulary, reduced
    to one lemma per token; only tokens whose lemma differs are kept;
 4. these are written and counted. Up to ``IN_ROW`` of them go to the workers and
-   each text's tokens are replaced in their row: one vectorised lookup per
-   Arrow batch, nothing of the texts is shuffled or joined back;
+   each text's tokens are replaced in their row: one lookup per distinct token
+   of a portion of an Arrow batch, nothing of the texts is shuffled or joined back;
 5. more of them are joined with each text's distinct tokens (hot tokens by
    broadcast, see ``join_hot``) into one replacement map per text (bounded by
    that text's distinct tokens), which is joined back by id and applied to the
@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 
 from opinari.config import NOUN_SUFFIX_RULES, SPARK_ENGLISH_STOPWORDS, CleaningConfig
 from opinari.functions import text as tx
-from opinari.operators.base import join_hot, with_columns_once, written
+from opinari.operators.base import join_hot, portions, with_columns_once, written
 
 #: Tokens with another lemma that the workers may hold (about 50 bytes each).
 IN_ROW = 500_000
+#: Tokens that the lookup takes at once (about 100 bytes each).
+PORTION = 100_000
 
 
 def candidate_forms(token) -> F.Column:
@@ -67,10 +69,15 @@ def replaced(changed: DataFrame):
     shared = changed.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens, lemmas = (shared.value.column(c).combine_chunks() for c in ("token", "lemma"))
+        table = dict(zip(*(shared.value.column(c).to_pylist() for c in ("token", "lemma"))))
         for batch in batches:
-            found = lemmas.take(pc.index_in(batch.values, value_set=tokens))
-            yield pa.ListArray.from_arrays(batch.offsets, pc.coalesce(found, batch.values))
+            for at, n in portions(pc.list_value_length(batch), PORTION):
+                part = batch.slice(at, n)
+                first = part.offsets[0].as_py()
+                codes = part.values.slice(first, part.offsets[n].as_py() - first).dictionary_encode()
+                # Each distinct token of a portion is looked up once.
+                found = pa.array([table.get(t, t) for t in codes.dictionary.to_pylist()], pa.string())
+                yield pa.ListArray.from_arrays(pc.subtract(part.offsets, first), found.take(codes.indices))
 
     return F.arrow_udf(run, "array<string>").asNondeterministic()
 
@@ -116,9 +123,10 @@ def deep_clean(df: DataFrame, text_col: str = "value", out_col: str = "cleaned_c
     d = with_columns_once(df, _deep=tx.deep_clean_text(F.col(text_col), config.remove_punctuation))
     if not (config.remove_stopwords or config.lemmatize):
         return d.withColumn(out_col, F.trim(F.col("_deep"))).drop("_deep")
-    d = d.withColumn("_toks", tx.tokenize(F.col("_deep"))).drop("_deep")
+    d = d.withColumn("_toks", tx.tokenize(F.col("_deep"), lowered=True)).drop("_deep")
     if config.remove_stopwords:
         d = drop_stopwords(d, "_toks")
     if config.lemmatize:
         d = lemmatize(d, id_col, "_toks", "_lem").drop("_toks").withColumnRenamed("_lem", "_toks")
-    return d.select(*df.columns, F.array_join("_toks", " ").alias(out_col))
+    # Filters on the text must not join the tokens once more.
+    return with_columns_once(d, _joined=F.array_join("_toks", " ")).select(*df.columns, F.col("_joined").alias(out_col))

@@ -37,3 +37,10 @@ def test_a_filter_does_not_repeat_the_lookup(spark):
     out = lemma.deep_clean(df).where(F.length("cleaned_comment") > 3).where(F.col("cleaned_comment").contains("cat"))
     assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert out.count() == 20 and "cats" not in out.first()["cleaned_comment"]
+
+
+def test_the_lookup_goes_by_portions(spark, monkeypatch):
+    monkeypatch.setattr(lemma, "PORTION", 3)
+    df = spark.createDataFrame(ROWS * 3, "id int, toks array<string>").coalesce(1)
+    got = lemma.lemmatize(df, "id", "toks", "lem").collect()
+    assert len(got) == 3 * len(ROWS) and all(r["lem"] == WANT[r["id"]] for r in got if r["id"] in WANT)

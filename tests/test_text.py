@@ -170,3 +170,17 @@ def test_jvm_whitespace_class_equals_python(spark):
     df = spark.createDataFrame(rows, "cp int, ch string")
     got = {r.cp for r in df.filter(F.col("ch").rlike(f"^[{tx.JWS}]$")).collect()}
     assert got == {c for c, ch in rows if re.match(r"\s", ch)}
+
+
+def test_stripped_shorter_equals_the_length_of_the_stripped_text(spark):
+    rows = [None, "", " ", "\t\n ", "a", " a ", "ab", " a b\x1c", "abcdefghi", " abcdefghij\n", "a" + " " * 5000, "\U0001F600" * 9,
+            "\U0001F600" * 10, "a\nb\nc\nd\ne", "a" * 8 + " " * 50, "a        b"]
+    df = _col(spark, rows)
+    for n in (0, 1, 2, 3, 10):
+        got = df.select(tx.stripped_shorter("t", n), F.length(tx.strip_ws("t")) < n).collect()
+        assert [r[0] for r in got] == [r[1] for r in got]
+
+
+def test_emails_go_with_and_without_a_mark(spark):
+    rows = {"Mail me@ex.org now": "mail  now", "no MARK here": "no mark here", "[IMG]a@b[/IMG] x": " x", "a@ b": "a b", None: ""}
+    assert [r[0] for r in _col(spark, list(rows)).select(tx.deep_clean_text("t")).collect()] == list(rows.values())
