@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS, QUALITY_RULES, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
-from opinari.operators.base import key_hash, written
+from opinari.operators.base import key_hash, with_columns_once, written
 from opinari.operators.frequent import most_frequent
 
 
@@ -186,7 +186,7 @@ def validate_cleaned(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataF
     n = F.length("cleaned_comment")
     agg = df.agg(F.count(F.lit(1)).alias("total_comments"), F.avg(n).alias("avg_comment_length"),
                  F.min(n).alias("min_comment_length"), F.max(n).alias("max_comment_length"),
-                 F.count_if(F.length(tx.strip_ws(F.col("cleaned_comment"))) == 0).alias("empty_comments"),
+                 F.count_if(tx.stripped_shorter("cleaned_comment", 1)).alias("empty_comments"),
                  F.count_distinct("game_id").alias("unique_games"))
     has_meta = "cleaned_at" in df.columns and "comment_length" in df.columns
     warnings = F.array_remove(F.array(
@@ -265,10 +265,6 @@ def quality_metric_rows(spark: SparkSession, df: DataFrame, t: Thresholds = DEFA
     return j.select("metric_name", "value", "threshold", status.alias("status"))
 
 
-def _tag(arr: Column, prefix: str) -> Column:
-    return F.transform(arr, lambda x: F.concat(F.lit(prefix), x))
-
-
 def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: bool = True,
                    top_words: int = 10) -> DataFrame:
     """The combined report as a long table ``(section, metric, value)``.
@@ -276,10 +272,13 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: boo
     One wide aggregate for every scalar metric (A1, A2, A6, A7, text counts of
     A3/A4, aspect total), and one tagged explode of characters, words, aspects
     and aspects by sentiment (A3, A4, A5, A8, A9). Each part would otherwise
-    re-read and re-clean the table on its own. ``exact=False`` takes
+    re-read and re-clean the table on its own; what the two need of ``df`` is written
+    once, so that its texts are cleaned and scored once. ``exact=False`` takes
     approximate medians, whose state is bounded; the exact ones hold every
     distinct length and confidence."""
     text = "cleaned_comment"
+    needed = [text, "sentiment", "sentiment_confidence", "detected_aspects"]
+    df = written(df.select(*[c for c in needed if c in df.columns]), "report-rows")
     c = F.col(text)
     nn = c.isNotNull()
     ln = F.when(nn, F.length(c))
@@ -312,29 +311,31 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: boo
         metrics.append(("absa", "total_with_aspects", F.count_if(F.size("detected_aspects") > 0)))
     one = df.agg(*[m.cast("double").alias(f"m{i}") for i, (_, _, m) in enumerate(metrics)])
     names = {name: f"m{i}" for i, (_, name, _) in enumerate(metrics)}
-    # Second pass: distinct characters (c), words (w) and aspects (a) of every
-    # row, tagged by a one-letter prefix, in one explode and one grouped count
-    # (partial counts map-side). Aspect counts leave the aggregate as one
-    # list (at most one entry per lexicon aspect and label). The grouped items are
-    # written once, and the most frequent words are taken from the same table.
-    empty = F.array().cast("array<string>")
-    lists = [_tag(F.when(nn, F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"(?s)(.)"), 1)))
-                  .otherwise(empty), "c"),
-             _tag(F.when(nn, tx.words(c)).otherwise(empty), "w")]
+    # Second pass: distinct characters, words and aspects of every row, by kind, in
+    # one explode and one grouped count (partial counts map-side); characters by an
+    # empty pattern, which splits without a regular expression per character. Aspect
+    # counts leave the aggregate as one list (at most one entry per lexicon aspect and
+    # label). The grouped items are written once, and the most frequent words are
+    # taken from the same table.
+    none = F.array().cast("array<string>")
+    low = F.col("_low")
+    lists = {"char": F.when(low.isNotNull(), F.array_distinct(F.split(low, ""))).otherwise(none),
+             "word": F.when(low.isNotNull(), tx.words(low, lowered=True)).otherwise(none)}
     if "detected_aspects" in df.columns:
-        found = F.coalesce(F.col("detected_aspects"), empty)
-        lists.append(_tag(found, "a"))
+        found = F.coalesce(F.col("detected_aspects"), none)
+        lists["aspect"] = found
         if "sentiment" in df.columns:
-            lists.append(F.transform(found, lambda x: F.concat(F.lit("a"), x, F.lit("_"), F.col("sentiment"))))
-    items = written(df.select(F.explode(F.concat(*lists)).alias("it"))
-                    .groupBy("it").agg(F.count(F.lit(1)).alias("n")), "report-items")
-    kind = F.substring("it", 1, 1)
-    stats = items.agg(F.count_if(kind == "c").alias("dc"),
-                      F.max(F.when(F.col("it") == "c ", 1).otherwise(0)).alias("hs"),
-                      F.count_if(kind == "w").alias("uw"),
-                      F.sum(F.when(kind == "w", F.col("n"))).alias("tw"),
-                      F.collect_list(F.when(kind == "a", F.struct(F.expr("substring(it, 2)").alias("a"),
-                                                                  F.col("n").alias("n")))).alias("asp"))
+            lists["aspect"] = F.concat(found, F.transform(found, lambda x: F.concat(x, F.lit("_"), F.col("sentiment"))))
+    kinds = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), x.alias("items")) for k, x in lists.items()]))
+    items = with_columns_once(df, _low=F.lower(c)).select(kinds).select("kind", F.explode("items").alias("item")) \
+        .where("item is not null and (kind <> 'char' or item <> '')").groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n"))
+    items = written(items, "report-items")
+    kind = F.col("kind")
+    stats = items.agg(F.count_if(kind == "char").alias("dc"),
+                      F.max(F.when((kind == "char") & (F.col("item") == " "), 1).otherwise(0)).alias("hs"),
+                      F.count_if(kind == "word").alias("uw"),
+                      F.sum(F.when(kind == "word", F.col("n"))).alias("tw"),
+                      F.collect_list(F.when(kind == "aspect", F.struct(F.col("item").alias("a"), F.col("n").alias("n")))).alias("asp"))
     # One row with every scalar: each input aggregate runs exactly once.
     row = combine_rows(one, stats)
     n, sent, sent_words = F.col(names["total_texts"]), F.col(names["_sent"]), F.col(names["_sent_words"])
@@ -362,6 +363,6 @@ def quality_report(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, exact: boo
         out = F.concat(out, F.transform(F.coalesce(F.col("asp"), F.array()), lambda x: F.struct(
             F.lit("absa").alias("section"), F.concat(F.lit("aspect_"), x["a"]).alias("metric"),
             x["n"].cast("double").alias("value"))))
-    words = items.filter(kind == "w").orderBy(F.desc("n"), "it").limit(top_words).select(
-        F.lit("top_words").alias("section"), F.expr("substring(it, 2)").alias("metric"), F.col("n").cast("double").alias("value"))
+    words = items.filter(kind == "word").orderBy(F.desc("n"), "item").limit(top_words).select(
+        F.lit("top_words").alias("section"), F.col("item").alias("metric"), F.col("n").cast("double").alias("value"))
     return row.select(F.inline(out)).union(words)

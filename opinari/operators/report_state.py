@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS, SENTIMENT_LABELS, Thresholds
 from opinari.functions import text as tx
-from opinari.operators.base import written
+from opinari.operators.base import with_columns_once, written
 from opinari.operators.quality import score_of_shares
 from opinari.sources import loads
 
@@ -82,14 +82,15 @@ def state(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     c = F.col("cleaned_comment")
     none = F.array().cast("array<string>")
     # An empty pattern splits into characters without a regular expression per character.
-    lists = {"char": F.array_distinct(F.split(F.lower(c), "")), "word": tx.words(c), "length": F.array(F.length(c).cast("string"))}
+    low = F.col("_low")
+    lists = {"char": F.array_distinct(F.split(low, "")), "word": tx.words(low, lowered=True), "length": F.array(F.length(c).cast("string"))}
     lists = {kind: F.when(c.isNotNull(), x).otherwise(none) for kind, x in lists.items()}
     if "detected_aspects" in df.columns:
         found = F.coalesce(F.col("detected_aspects"), none)
         if "sentiment" in df.columns:
             found = F.concat(found, F.transform(found, lambda a: F.concat(a, F.lit("_"), F.col("sentiment"))))
         lists["aspect"] = found
-    tagged = df.select(F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), x.alias("items")) for kind, x in lists.items()])))
+    tagged = with_columns_once(df, _low=F.lower(c)).select(F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), x.alias("items")) for kind, x in lists.items()])))
     values = tagged.select("kind", F.explode("items").alias("item")).where("item is not null and (kind <> 'char' or item <> '')") \
         .groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n"))
     values = written(values, "report-values")
