@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from opinari.config import DEFAULT_THRESHOLDS
 from opinari.functions import text as tx
-from opinari.operators.base import join_hot
+from opinari.operators.base import join_hot, written
 
 
 def split_bucket(id_col: str) -> Column:
@@ -51,7 +51,12 @@ def classifier_pipeline(reg_param: float = 0.0, max_iter: int = 20, num_features
 
 
 def train_classifier(train: DataFrame, reg_param: float = 0.0, max_iter: int = 20) -> PipelineModel:
-    return classifier_pipeline(reg_param, max_iter).fit(train)
+    """M3 fitted. The term counts are written once: both the weights and the regression are fitted on them, so texts are
+    read, joined and cut into tokens once."""
+    *counting, idf, lr = classifier_pipeline(reg_param, max_iter).getStages()
+    counts = written(PipelineModel(stages=counting).transform(train).select(lr.getLabelCol(), "tf"), "term-counts")
+    weights = idf.fit(counts)
+    return PipelineModel(stages=[*counting, weights, lr.fit(weights.transform(counts))])
 
 
 def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
