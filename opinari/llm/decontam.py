@@ -258,7 +258,7 @@ def _merge_spans(name: str):
 def _matcher(shared, row: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
-        for batch in batches:
+        for batch in (p for whole in batches for p in words.portions(whole, 1)):
             m = batch.num_rows
             n, spans, items = np.zeros(m, np.int64), [[] for _ in range(m)], [[] for _ in range(m)]
             for i, j, first, h, *_ in words.slices(batch.column(1), words.ALNUM):
@@ -324,7 +324,7 @@ def _remover(shared, where: tuple[int, int | None], max_coverage: float):
     at, sized = where
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for whole in batches for p in words.portions(whole, at)):     # a slice is all that is made anew
             column = batch.column(at)
             raw, bounds = words.buffers(column)
             changed: dict[int, str | None] = {}

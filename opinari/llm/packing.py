@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinari.llm import tokens
+from opinari.llm import tokens, wordids
 from opinari.llm.common import written
 
 WINDOW = 2048
@@ -89,32 +89,34 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int], int
 
 def pieces(docs: DataFrame, vocabulary: tokens.Vocabulary, end: int = 1, window: int = WINDOW,
            doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False,
-           remembered: int = tokens.REMEMBERED) -> DataFrame:
+           remembered: int = wordids.REMEMBERED) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids, little-endian) of every piece.
-    ``remembered`` bounds a worker's memory of chunks: fewer cost more CPU time."""
+    ``remembered`` bounds a worker's memory of words: fewer cost more CPU time."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     last = np.array([end], dtype="<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens.remembered(shared, "ids", remembered)
+        known = wordids.of_worker(shared, remembered)
         for batch in batches:
-            owner, start, length, crc, total, ids = [], [], [], [], [], []
-            for k, t in enumerate(batch.column(1)):
-                got = memoryview(b"".join(map(known.__getitem__, tokens.chunks(t.as_py()))) + last)
-                n = len(got) // 4
-                for at in range(0, n, window):
-                    part = got[4 * at:4 * (at + window)]
-                    owner.append(k)
-                    start.append(at)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    total.append(n)
+            for part, found, bounds in known.portions(batch, 1):
+                data = memoryview(np.ascontiguousarray(found, dtype="<u4").view(np.uint8))
+                total = np.diff(bounds) + 1
+                many = -(-total // window)
+                owner = np.repeat(np.arange(part.num_rows), many)
+                start = (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * window
+                length = np.minimum(total[owner] - start, window)
+                lo = 4 * (bounds[:-1][owner] + start)
+                closing = start + length == total[owner]
+                hi = lo + 4 * (length - closing)
+                crc, ids = [], []
+                for i, j, c in zip(lo.tolist(), hi.tolist(), closing.tolist()):
+                    crc.append(zlib.crc32(last, zlib.crc32(data[i:j])) if c else zlib.crc32(data[i:j]))
                     if keep_ids:
-                        ids.append(bytes(part))
-            columns = [batch.column(0).take(pa.array(owner, pa.int64())), *[pa.array(x, pa.int64()) for x in (start, length, crc, total)]]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names=names)
+                        ids.append(bytes(data[i:j]) + last * c)
+                columns = [part.column(0).take(pa.array(owner)), *[pa.array(x, pa.int64()) for x in (start, length, crc, total[owner])]]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * keep_ids, names=names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
