@@ -89,16 +89,17 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int], int
 
 def pieces(docs: DataFrame, vocabulary: tokens.Vocabulary, end: int = 1, window: int = WINDOW,
            doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False,
-           remembered: int = wordids.REMEMBERED) -> DataFrame:
+           remembered: int = wordids.REMEMBERED, merges: int = tokens.REMEMBERED // 3) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids, little-endian) of every piece.
-    ``remembered`` bounds a worker's memory of words: fewer cost more CPU time."""
+    ``remembered`` and ``merges`` bound a worker's memory of words (about 40 bytes each) and of merged
+    pre-tokens (about 200): fewer cost more CPU time."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     last = np.array([end], dtype="<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = wordids.of_worker(shared, remembered)
+        known = wordids.of_worker(shared, remembered, merges)
         for batch in batches:
             for part, found, bounds in known.portions(batch, 1):
                 data = memoryview(np.ascontiguousarray(found, dtype="<u4").view(np.uint8))

@@ -43,10 +43,12 @@ class Vocabulary:
     special: list[str]
     whole: dict[str, int]          # pre-token as the model sees it -> id
     pattern: str                   # of the pre-tokens
+    merges: int = REMEMBERED // 3  # merged pre-tokens remembered
     _loaded: dict = field(default_factory=dict)
 
     def __getstate__(self):
-        return {"content": self.content, "special": self.special, "whole": self.whole, "pattern": self.pattern, "_loaded": {}}
+        return {"content": self.content, "special": self.special, "whole": self.whole, "pattern": self.pattern,
+                "merges": self.merges, "_loaded": {}}
 
     @property
     def tokenizer(self) -> Tokenizer:
@@ -80,7 +82,7 @@ class Vocabulary:
         """Ids of a pre-token that is no whole token, little-endian."""
         if "m" not in self._loaded:
             tokenize = self.tokenizer.model.tokenize
-            self._loaded["m"] = Remembered(lambda p: _packed([t.id for t in tokenize(p)]), REMEMBERED // 3)
+            self._loaded["m"] = Remembered(lambda p: _packed([t.id for t in tokenize(p)]), self.merges)
         return self._loaded["m"][piece]
 
     def count(self, chunk: str) -> int:

@@ -6,11 +6,12 @@ for why texts may be cut there."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 
-from opinari.llm import words
+from opinari.llm import tokens, words
 from opinari.llm.tokens import Vocabulary
 from opinari.llm.words import mix64
 
@@ -86,10 +87,10 @@ class WordIds:
 _WORKER: dict = {}
 
 
-def of_worker(shared, most: int = REMEMBERED) -> WordIds:
-    """This worker's memory for a broadcast vocabulary."""
-    key = (most, shared.value.content[:200], len(shared.value.content))
+def of_worker(shared, most: int = REMEMBERED, merges: int = tokens.REMEMBERED // 3) -> WordIds:
+    """This worker's memory for a broadcast vocabulary: ``most`` words and ``merges`` merged pre-tokens."""
+    key = (most, merges, shared.value.content[:200], len(shared.value.content))
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = WordIds(shared.value, most)
+        _WORKER[key] = WordIds(replace(shared.value, merges=merges, _loaded={}), most)
     return _WORKER[key]
